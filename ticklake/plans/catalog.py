@@ -15,3 +15,14 @@ for _name in ("q1_session_duration_by_map", "q2_pair_proximity", "q2b_pair_dista
 
 register("tick_grid", A["tick_grid"])(an.tick_grid_gaps)
 register("mv_sector_hotspots", A["mv_sector_hotspots"])(an.mv_sector_hotspots)
+
+# ---------------------------------------------------------------- validating load (ING-*)
+from ticklake.oracle.ingest import SQL as G  # noqa: E402
+from ticklake.plans import ingest as ing  # noqa: E402
+
+for _name in ("etl_missing_key", "etl_bad_type", "etl_overflow", "etl_out_of_range",
+              "etl_fk_player", "etl_fk_session", "etl_fk_sector", "etl_no_consent",
+              "etl_dup_batch", "etl_dup_core", "etl_unclassified", "etl_reject_log",
+              "etl_accept", "etl_summary"):
+    register(_name, G[_name])(getattr(ing, _name))
+register("topk_recent_rejects", G["topk_recent_rejects"])(ing.topk_recent_rejects)

@@ -217,7 +217,8 @@ class Warehouse:
             F.lit("100").alias("raw_armadura"), _str(eid % 50).alias("raw_municion"),
             sector.alias("raw_id_sector"),
             F.lit("events").alias("archivo_origen"),
-            F.col("ts").alias("cargado_en"))
+            F.col("ts").alias("cargado_en"),
+            F.col("event_id").alias("_row_id"))
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
