@@ -48,3 +48,19 @@ def arg_extreme(df: DataFrame, group: Sequence[str], value: str, item: str,
     return df.groupBy(*group).agg(
         F.min_by(item, F.struct(value, item)).alias(f"{prefix}argmin"),
         F.max_by(item, F.struct(F.col(value), neg)).alias(f"{prefix}argmax"))
+
+
+def rank_distributed(df: DataFrame, group: Sequence[str], value: str, name: str = "rk",
+                     ascending: bool = True) -> DataFrame:
+    """``RANK() OVER (PARTITION BY group ORDER BY value)`` without one task per group.
+
+    rank(v) = 1 + number of rows of the group with a smaller value. Rows are
+    first reduced to (group, value, count) - partially aggregated map-side -
+    and only that table is windowed; the rank is joined back on (group, value).
+    """
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
+    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select(*group, value, (F.coalesce(F.sum("__c").over(w), F.lit(0)) + 1)
+                          .alias(name))
+    return df.join(ranks, [*group, value], "left")

@@ -25,4 +25,11 @@ for _name in ("etl_missing_key", "etl_bad_type", "etl_overflow", "etl_out_of_ran
               "etl_dup_batch", "etl_dup_core", "etl_unclassified", "etl_reject_log",
               "etl_accept", "etl_summary"):
     register(_name, G[_name])(getattr(ing, _name))
-register("topk_recent_rejects", G["topk_recent_rejects"])(ing.topk_recent_rejects)
+register("topk_recent", G["topk_recent_rejects"])(ing.topk_recent_rejects)
+
+# ---------------------------------------------------------------- primitives and audits (§2.1-2.9, §2.11)
+from ticklake.oracle.primitives import Q as PQ  # noqa: E402
+from ticklake.plans.primitives import P  # noqa: E402
+
+for _name, _fn in P.items():
+    register(_name, PQ.get(_name))(_fn)
