@@ -1,14 +1,20 @@
 """Pair operators over simultaneous events (JN-3, JN-4, FLT-8).
 
-``pair_proximity`` finds unordered pairs of entities closer than a radius at
-the same instant. A brute-force self-join on (session, tick) is quadratic in
-the entities per instant; the grid variant joins on (session, tick, cell) with
-cell size = radius, so only entities in neighbouring cells meet. Each point is
-sent to its own cell and the 13 "forward" neighbours (half of the 26), which
-finds every unordered pair exactly once; pairs inside one cell are oriented
-by ``a < b``, pairs across cells are oriented afterwards.
-
-``co_presence`` pairs entities sharing an exact key (session, tick, sector).
+``pair_proximity`` finds unordered pairs of entities within a radius at the
+same instant. A brute-force self-join on (session, tick) is quadratic in the
+entities per instant; the grid variant joins on (session, tick, cell) with
+cell size = radius, so only entities in neighbouring cells meet. Each point
+is sent to its own cell and the "forward" half of its neighbours, which finds
+every unordered pair exactly once: pairs inside one cell are oriented by
+``a < b``, pairs across cells are oriented afterwards. The grid covers the
+first ``grid_axes`` coordinates (2 = the map plane: 5 copies per point; 3 =
+full space: 14 copies); the exact 3-D test runs on every candidate.
+
+Distances are tested exactly: positions are scaled to integer units of the
+decimal scale and squared in 64-bit integers, guarded so no square is formed
+for a coordinate gap larger than the radius (no overflow, no BigDecimal).
+
+``co_presence`` pairs entities sharing an exact key (session, tick, place).
 Hot join keys are split by AQE's skew-join handling (both operators are plain
 shuffled equi-joins, so ``spark.sql.adaptive.skewJoin`` applies).
 """
@@ -19,69 +25,108 @@ from collections.abc import Sequence
 from decimal import Decimal
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.geometry import sq_dist3
 
-# Offsets (dx, dy, dz) lexicographically >= (0, 0, 0): the cell itself and 13 neighbours.
-FORWARD_OFFSETS = [o for o in product((-1, 0, 1), repeat=3) if o >= (0, 0, 0)]
+def _fanout_partitions(df: DataFrame, partitions: int | None) -> int:
+    """Partitions for a self-join whose output is much larger than its input.
+
+    AQE sizes post-shuffle partitions from the *input* bytes, which collapses
+    a small-input / large-output pair join into a few tasks; an explicit
+    count (which AQE keeps) spreads the pairs over the cluster.
+    """
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def forward_offsets(axes: int) -> list[tuple[int, ...]]:
+    """Neighbour offsets lexicographically >= 0: the cell itself and half of the others."""
+    return [o for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
 
 
-def _radius_sq(radius) -> F.Column:
-    r = Decimal(str(radius))
-    return F.lit(r * r)
+def _units(c: str, scale: int) -> Column:
+    """Exact integer value of a DECIMAL(p<=15, scale) column in units of 10^-scale.
+
+    Through a double: |value| < 2^53 units keeps every unit exact, and the
+    rounding error of the scaling is far below half a unit.
+    """
+    return F.rint(F.col(c).cast("double") * F.lit(float(10 ** scale))).cast("long")
 
 
 def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
                    entity: str = "id_jugador", pos: Sequence[str] = ("pos_x", "pos_y", "pos_z"),
-                   radius=50, grid: bool = True) -> DataFrame:
-    """Rows (instant..., a, b, sq_dist, dist) for a < b within ``radius`` (inclusive)."""
-    instant = list(instant)
-    base = events.select(*instant, entity, *pos).filter(
-        F.col(pos[0]).isNotNull() & F.col(pos[1]).isNotNull() & F.col(pos[2]).isNotNull())
-    r2 = _radius_sq(radius)
+                   radius=50, grid: bool = True, grid_axes: int = 2, scale: int = 4,
+                   carry: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Rows (instant..., a, b, dist, carried a_*/b_* columns) for a < b within ``radius``.
+
+    ``scale`` is the decimal scale of the position columns; ``carry`` lists
+    per-event columns to bring along for both sides (e.g. names).
+    """
+    instant, carry = list(instant), list(carry)
+    r_units = int(Decimal(str(radius)) * (10 ** scale))
+    base = events.select(*instant, entity, *carry,
+                         *[_units(p, scale).alias(f"u{i}") for i, p in enumerate(pos)])
+    base = base.filter(F.col("u0").isNotNull() & F.col("u1").isNotNull() & F.col("u2").isNotNull())
+
+    def side(df, tag, ent):
+        return df.select(*instant, F.col(entity).alias(ent),
+                         *[F.col(c).alias(f"{tag}_{c}") for c in carry],
+                         *[F.col(f"u{i}").alias(f"{tag}{i}") for i in range(3)])
+
+    n = _fanout_partitions(events, partitions)
     if not grid:
-        a = base.select(*[F.col(c).alias(c) for c in instant], F.col(entity).alias("a"),
-                        *[F.col(p).alias(f"a_{p}") for p in pos])
-        b = base.select(*[F.col(c).alias(c) for c in instant], F.col(entity).alias("b"),
-                        *[F.col(p).alias(f"b_{p}") for p in pos])
-        j = a.join(b, on=instant).filter(F.col("a") < F.col("b"))
+        base = base.repartition(n, *instant)
+        j = side(base, "a", "e1").join(side(base, "b", "e2"), on=instant) \
+            .filter(F.col("e1") < F.col("e2"))
     else:
-        rr = F.lit(float(radius))
-        cells = [F.floor(F.col(p).cast("double") / rr).cast("long").alias(f"c{i}")
-                 for i, p in enumerate(pos)]
-        pts = base.select(*instant, entity, *pos, *cells)
-        offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
-                         for dx, dy, dz in FORWARD_OFFSETS])
+        cells = [F.floor(F.col(f"u{i}") / F.lit(r_units)).cast("long").alias(f"c{i}")
+                 for i in range(grid_axes)]
+        pts = base.select("*", *cells)
+        offs = F.array(*[F.struct(*[F.lit(d).alias(f"d{i}") for i, d in enumerate(o)])
+                         for o in forward_offsets(grid_axes)])
         a = (pts.select("*", F.explode(offs).alias("o"))
-             .select(*instant, F.col(entity).alias("e1"),
-                     *[F.col(p).alias(f"a_{p}") for p in pos],
-                     (F.col("c0") + F.col("o.dx")).alias("k0"),
-                     (F.col("c1") + F.col("o.dy")).alias("k1"),
-                     (F.col("c2") + F.col("o.dz")).alias("k2"),
-                     ((F.col("o.dx") == 0) & (F.col("o.dy") == 0) & (F.col("o.dz") == 0)).alias("same")))
-        b = pts.select(*instant, F.col(entity).alias("e2"),
-                       *[F.col(p).alias(f"b_{p}") for p in pos],
-                       F.col("c0").alias("k0"), F.col("c1").alias("k1"), F.col("c2").alias("k2"))
-        j = (a.join(b, on=[*instant, "k0", "k1", "k2"])
+             .select("*", *[(F.col(f"c{i}") + F.col(f"o.d{i}")).alias(f"k{i}") for i in range(grid_axes)],
+                     F.expr(" AND ".join(f"o.d{i} = 0" for i in range(grid_axes))).alias("same")))
+        b = pts.select("*", *[F.col(f"c{i}").alias(f"k{i}") for i in range(grid_axes)])
+        keys = [f"k{i}" for i in range(grid_axes)]
+        sa = a.select(*instant, F.col(entity).alias("e1"), *[F.col(c).alias(f"a_{c}") for c in carry],
+                      *[F.col(f"u{i}").alias(f"a{i}") for i in range(3)], *keys, "same")
+        sb = b.select(*instant, F.col(entity).alias("e2"), *[F.col(c).alias(f"b_{c}") for c in carry],
+                      *[F.col(f"u{i}").alias(f"b{i}") for i in range(3)], *keys)
+        sa, sb = sa.repartition(n, *instant, *keys), sb.repartition(n, *instant, *keys)
+        j = (sa.join(sb, on=[*instant, *keys])
              .filter((~F.col("same") & (F.col("e1") != F.col("e2"))) | (F.col("e1") < F.col("e2"))))
-        swap = F.col("e1") > F.col("e2")
-        j = j.select(*instant,
-                     F.least("e1", "e2").alias("a"), F.greatest("e1", "e2").alias("b"),
-                     *[F.when(swap, F.col(f"b_{p}")).otherwise(F.col(f"a_{p}")).alias(f"a_{p}") for p in pos],
-                     *[F.when(swap, F.col(f"a_{p}")).otherwise(F.col(f"b_{p}")).alias(f"b_{p}") for p in pos])
-    sq = sq_dist3(tuple(F.col(f"a_{p}") for p in pos), tuple(F.col(f"b_{p}") for p in pos))
-    return (j.select(*instant, "a", "b", sq.alias("sq_dist"))
-            .filter(F.col("sq_dist") <= r2)
-            .withColumn("dist", F.sqrt(F.col("sq_dist").cast("double"))))
+    # Exact test in integer units; no square is formed for a gap > radius.
+    gaps = [F.col(f"b{i}") - F.col(f"a{i}") for i in range(3)]
+    close = F.abs(gaps[0]) <= r_units
+    for g in gaps[1:]:
+        close = close & (F.abs(g) <= r_units)
+    sq = F.when(close, gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
+    swap = F.col("e1") > F.col("e2")
+    out = j.select(*instant,
+                   F.least("e1", "e2").alias("a"), F.greatest("e1", "e2").alias("b"),
+                   *[F.when(swap, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias(f"a_{c}") for c in carry],
+                   *[F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}") for c in carry],
+                   sq.alias("sq_units"))
+    return (out.filter(F.col("sq_units") <= F.lit(r_units * r_units))
+            .withColumn("dist", F.sqrt(F.col("sq_units").cast("double") / F.lit(float(10 ** (2 * scale)))))
+            .drop("sq_units"))
 
 
 def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
-                place: str = "id_sector", entity: str = "id_jugador") -> DataFrame:
-    """Rows (instant..., place, a, b) for a < b at the same place; NULL places never pair."""
-    instant = list(instant)
-    base = events.select(*instant, place, entity).filter(F.col(place).isNotNull())
-    a = base.withColumnRenamed(entity, "a")
-    b = base.withColumnRenamed(entity, "b")
+                place: str = "id_sector", entity: str = "id_jugador",
+                carry: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Rows (instant..., place, a, b, a_*/b_* carried) for a < b at the same place.
+
+    NULL places never pair. Input rows are made distinct on
+    (instant, place, entity, carry) first, so a pair is emitted at most once
+    per instant and place.
+    """
+    instant, carry = list(instant), list(carry)
+    # One shuffle on the join key serves both the dedup and the self-join.
+    base = (events.select(*instant, place, entity, *carry).filter(F.col(place).isNotNull())
+            .repartition(_fanout_partitions(events, partitions), *instant, place)
+            .dropDuplicates([*instant, place, entity, *carry]))
+    a = base.select(*instant, place, F.col(entity).alias("a"), *[F.col(c).alias(f"a_{c}") for c in carry])
+    b = base.select(*instant, place, F.col(entity).alias("b"), *[F.col(c).alias(f"b_{c}") for c in carry])
     return a.join(b, on=[*instant, place]).filter(F.col("a") < F.col("b"))

@@ -54,7 +54,28 @@ def step_distances(events: DataFrame, keys: Sequence[str] = ("id_jugador", "id_p
 def path_length(events: DataFrame, keys: Sequence[str] = ("id_jugador", "id_partida"),
                 order: str = "tic", pos: Sequence[str] = ("pos_x", "pos_y", "pos_z"),
                 chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Per entity: ``steps_sum`` (sum of non-NULL step distances, NULL if none) and ``n_rows``."""
-    d = step_distances(events, keys, order, pos, chunk)
-    return d.groupBy(*keys).agg(F.sum("dist_al_anterior").alias("steps_sum"),
-                                F.count(order).alias("n_rows"))
+    """Per entity: ``steps_sum`` (sum of non-NULL step distances, NULL if none) and ``n_rows``.
+
+    Steps inside a tick chunk are summed right after the chunk-local lag (the
+    aggregate reuses the window's partitioning: no extra shuffle); the one
+    step that crosses into each chunk comes from a per-chunk summary (first
+    and last position), so no row is joined back.
+    """
+    keys = list(keys)
+    d = events.select(*keys, order, *pos).withColumn(
+        "__chunk", F.floor(F.col(order) / F.lit(chunk)).cast("long"))
+    w = Window.partitionBy(*keys, "__chunk").orderBy(order)
+    step = dist3(tuple(F.lag(c).over(w) for c in pos), tuple(F.col(c) for c in pos))
+    d = d.select(*keys, "__chunk", order, F.struct(*pos).alias("__p"), step.alias("__step"))
+    per_chunk = d.groupBy(*keys, "__chunk").agg(
+        F.sum("__step").alias("__inner"), F.count(order).alias("__n"),
+        F.min_by("__p", F.col(order)).alias("__first"), F.max_by("__p", F.col(order)).alias("__last"))
+    w2 = Window.partitionBy(*keys).orderBy("__chunk")
+    prev = F.lag("__last").over(w2)
+    cross = dist3(tuple(prev[c] for c in pos), tuple(F.col("__first")[c] for c in pos))
+    per_chunk = per_chunk.select(*keys, "__inner", "__n", cross.alias("__cross"))
+    g = per_chunk.groupBy(*keys).agg(F.sum("__inner").alias("__i"), F.sum("__cross").alias("__c"),
+                                     F.sum("__n").alias("n_rows"))
+    total = F.when(F.col("__i").isNull() & F.col("__c").isNull(), F.lit(None).cast("double")) \
+        .otherwise(F.coalesce("__i", F.lit(0.0)) + F.coalesce("__c", F.lit(0.0)))
+    return g.select(*keys, total.alias("steps_sum"), "n_rows")

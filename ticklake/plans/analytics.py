@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ticklake.functions import avg_exact, epoch_minutes, ratio_round, round_to
 from ticklake.operators.joins import scalar
 from ticklake.operators.pairs import co_presence, pair_proximity
-from ticklake.operators.ranking import arg_extreme, rank_first, rank_within
-from ticklake.operators.trajectory import path_length, step_distances
+from ticklake.operators.ranking import rank_first, rank_within
+from ticklake.operators.trajectory import path_length
 from ticklake.sources.bindings import Warehouse
 
 TICKS_PER_SECOND = 35      # fixed value: tick rate used for speed per second
@@ -104,12 +104,16 @@ def q3a_session_path_length(w: Warehouse) -> DataFrame:
 def q3_shortest_longest_path(w: Warehouse) -> DataFrame:
     d = (session_paths(w).filter(F.col("steps_sum").isNotNull())
          .select("id_jugador", "id_partida", round_to("steps_sum", 4).alias("distancia_total")))
+    # One aggregate per player: extremes, average and the arg-extremes (TOP-1/2),
+    # ties going to the smallest session id.
     per_player = d.groupBy("id_jugador").agg(
         F.count_distinct("id_partida").alias("total_partidas"),
         F.min("distancia_total").alias("mn"), F.max("distancia_total").alias("mx"),
-        F.avg("distancia_total").alias("av"))
-    extremes = arg_extreme(d, ["id_jugador"], "distancia_total", "id_partida")
-    return (per_player.join(extremes, "id_jugador").join(_player_names(w), "id_jugador")
+        F.avg("distancia_total").alias("av"),
+        F.min_by("id_partida", F.struct("distancia_total", "id_partida")).alias("argmin"),
+        F.max_by("id_partida", F.struct(F.col("distancia_total"), (-F.col("id_partida")).alias("n")))
+        .alias("argmax"))
+    return (per_player.join(_player_names(w), "id_jugador")
             .orderBy("av")
             .select(F.col("alias").alias("jugador"), "codigo_anonimo", "total_partidas",
                     round_to("mn", 4).alias("trayectoria_mas_corta"),
@@ -194,23 +198,26 @@ def mv_sector_hotspots(w: Warehouse) -> DataFrame:
 
 
 # ------------------------------------------------------------------ Q6 / V2
-def copresent_pairs(w: Warehouse) -> DataFrame:
-    return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador")
+def copresent_pairs(w: Warehouse, carry=()) -> DataFrame:
+    return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador", carry=carry)
 
 
 def q6_copresence_pct(w: Warehouse) -> DataFrame:
-    pairs = copresent_pairs(w)
+    # Names are attached per event (before pairing), not per pair: the
+    # dimension joins then touch each event once instead of every pair.
+    sec = w.sector.select("id_sector", F.col("codigo_sector").alias("sector"))
+    names = w.player.select("id_jugador", "alias")
+    ev = w.tick_event.select("id_partida", "tic", "id_sector", "id_jugador") \
+        .join(sec, "id_sector").join(names, "id_jugador")
+    pairs = co_presence(ev, ("id_partida", "tic"), "id_sector", "id_jugador", carry=("sector", "alias"))
+    g = (pairs.groupBy("id_partida", F.col("a_sector").alias("sector"),
+                       F.col("a_alias").alias("jugador_a"), F.col("b_alias").alias("jugador_b"))
+         .agg(F.count_distinct("tic").alias("tics_compartidos")))
     session_ticks = w.tick_event.groupBy("id_partida").agg(
         F.count_distinct("tic").alias("ticks_partida"))
-    pa = w.player.select(F.col("id_jugador").alias("a"), F.col("alias").alias("jugador_a"))
-    pb = w.player.select(F.col("id_jugador").alias("b"), F.col("alias").alias("jugador_b"))
-    sec = w.sector.select("id_sector", F.col("codigo_sector").alias("sector"))
     place = _session_place(w).select("id_partida", F.col("nombre_episodio").alias("episodio"),
                                      F.col("codigo_mapa").alias("mapa"))
-    g = (pairs.join(sec, "id_sector").join(place, "id_partida").join(pa, "a").join(pb, "b")
-         .groupBy("id_partida", "episodio", "mapa", "sector", "jugador_a", "jugador_b")
-         .agg(F.count_distinct("tic").alias("tics_compartidos")))
-    return (g.join(session_ticks, "id_partida", "left")
+    return (g.join(place, "id_partida").join(session_ticks, "id_partida", "left")
             .orderBy("id_partida", F.desc("tics_compartidos"))
             .select("id_partida", "episodio", "mapa", "sector", "jugador_a", "jugador_b",
                     "tics_compartidos",
@@ -219,8 +226,11 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
 
 
 def v_sector_copresence(w: Warehouse) -> DataFrame:
+    # Input rows are distinct per (session, tick, sector, player), so a pair
+    # occurs once per tick and COUNT(DISTINCT tic) = COUNT(*): a plain count
+    # that combines map-side before the shuffle.
     g = (copresent_pairs(w).groupBy("id_partida", "id_sector", "a", "b")
-         .agg(F.count_distinct("tic").alias("tics_compartidos"))
+         .agg(F.count(F.lit(1)).alias("tics_compartidos"))
          .filter(F.col("tics_compartidos") > 0))
     pa = w.player.select(F.col("id_jugador").alias("a"), F.col("alias").alias("alias_a"))
     pb = w.player.select(F.col("id_jugador").alias("b"), F.col("alias").alias("alias_b"))
