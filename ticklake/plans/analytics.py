@@ -43,6 +43,16 @@ def _player_names(w: Warehouse) -> DataFrame:
     return w.player.join(w.volunteer.select("id_usuario", "codigo_anonimo"), "id_usuario")
 
 
+def _canonical(dim: DataFrame, key: str, name: str, out: str) -> DataFrame:
+    """(key, out): every id mapped to the smallest id carrying the same name.
+
+    Grouping by the canonical id is grouping by the name, but on an integer
+    key; the name is joined back onto the (much smaller) result.
+    """
+    canon = dim.groupBy(name).agg(F.min(key).alias(out))
+    return dim.select(key, name).join(canon, name).select(key, out)
+
+
 # ------------------------------------------------------------------ Q1
 def q1_session_duration_by_map(w: Warehouse) -> DataFrame:
     p = w.session.filter(F.col("fecha_fin").isNotNull())
@@ -66,18 +76,22 @@ def near_pairs(w: Warehouse, radius=NEAR_RADIUS, grid: bool = True) -> DataFrame
 
 
 def q2_pair_proximity(w: Warehouse, radius=NEAR_RADIUS, grid: bool = True) -> DataFrame:
-    pairs = near_pairs(w, radius, grid)
-    by_ids = (pairs.groupBy("id_partida", "a", "b")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("dist").alias("s"), F.min("dist").alias("m")))
-    pa = w.player.select(F.col("id_jugador").alias("a"), F.col("alias").alias("jugador_a"))
-    pb = w.player.select(F.col("id_jugador").alias("b"), F.col("alias").alias("jugador_b"))
-    g = (by_ids.join(pa, "a").join(pb, "b")
-         .groupBy("id_partida", "jugador_a", "jugador_b")      # aliases merge equal names
-         .agg(F.sum("n").alias("tics_dentro_umbral"),
-              (F.sum("s") / F.sum("n")).alias("avg_d"), F.min("m").alias("min_d")))
-    return (g.select("id_partida", "jugador_a", "jugador_b", "tics_dentro_umbral",
-                     round_to("avg_d", 4).alias("distancia_promedio"),
-                     round_to("min_d", 4).alias("distancia_minima"))
+    canon = _canonical(w.player, "id_jugador", "alias", "cj")
+    ev = w.tick_event.select("id_partida", "tic", "id_jugador", "pos_x", "pos_y", "pos_z") \
+        .join(canon, "id_jugador")
+    pairs = pair_proximity(ev, ("id_partida", "tic"), "id_jugador", ("pos_x", "pos_y", "pos_z"),
+                           radius=radius, grid=grid, carry=("cj",))
+    # Grouped by alias through the canonical ids: equal aliases merge.
+    g = (pairs.groupBy("id_partida", "a_cj", "b_cj")
+         .agg(F.count(F.lit(1)).alias("tics_dentro_umbral"),
+              F.avg("dist").alias("avg_d"), F.min("dist").alias("min_d")))
+    names = w.player.select("id_jugador", "alias")
+    na = names.select(F.col("id_jugador").alias("a_cj"), F.col("alias").alias("jugador_a"))
+    nb = names.select(F.col("id_jugador").alias("b_cj"), F.col("alias").alias("jugador_b"))
+    return (g.join(na, "a_cj").join(nb, "b_cj")
+            .select("id_partida", "jugador_a", "jugador_b", "tics_dentro_umbral",
+                    round_to("avg_d", 4).alias("distancia_promedio"),
+                    round_to("min_d", 4).alias("distancia_minima"))
             .orderBy("distancia_promedio"))
 
 
@@ -203,21 +217,25 @@ def copresent_pairs(w: Warehouse, carry=()) -> DataFrame:
 
 
 def q6_copresence_pct(w: Warehouse) -> DataFrame:
-    # Names are attached per event (before pairing), not per pair: the
-    # dimension joins then touch each event once instead of every pair.
-    sec = w.sector.select("id_sector", F.col("codigo_sector").alias("sector"))
-    names = w.player.select("id_jugador", "alias")
+    # Grouped by codes and aliases through canonical ids (integer keys),
+    # attached per event before pairing; names are joined to the result.
+    cs = _canonical(w.sector, "id_sector", "codigo_sector", "cs")
+    cp = _canonical(w.player, "id_jugador", "alias", "cj")
     ev = w.tick_event.select("id_partida", "tic", "id_sector", "id_jugador") \
-        .join(sec, "id_sector").join(names, "id_jugador")
-    pairs = co_presence(ev, ("id_partida", "tic"), "id_sector", "id_jugador", carry=("sector", "alias"))
-    g = (pairs.groupBy("id_partida", F.col("a_sector").alias("sector"),
-                       F.col("a_alias").alias("jugador_a"), F.col("b_alias").alias("jugador_b"))
+        .join(cs, "id_sector").join(cp, "id_jugador")
+    pairs = co_presence(ev, ("id_partida", "tic"), "id_sector", "id_jugador", carry=("cs", "cj"))
+    g = (pairs.groupBy("id_partida", F.col("a_cs").alias("cs"), "a_cj", "b_cj")
          .agg(F.count_distinct("tic").alias("tics_compartidos")))
     session_ticks = w.tick_event.groupBy("id_partida").agg(
         F.count_distinct("tic").alias("ticks_partida"))
     place = _session_place(w).select("id_partida", F.col("nombre_episodio").alias("episodio"),
                                      F.col("codigo_mapa").alias("mapa"))
+    sec = w.sector.select(F.col("id_sector").alias("cs"), F.col("codigo_sector").alias("sector"))
+    names = w.player.select("id_jugador", "alias")
+    na = names.select(F.col("id_jugador").alias("a_cj"), F.col("alias").alias("jugador_a"))
+    nb = names.select(F.col("id_jugador").alias("b_cj"), F.col("alias").alias("jugador_b"))
     return (g.join(place, "id_partida").join(session_ticks, "id_partida", "left")
+            .join(sec, "cs").join(na, "a_cj").join(nb, "b_cj")
             .orderBy("id_partida", F.desc("tics_compartidos"))
             .select("id_partida", "episodio", "mapa", "sector", "jugador_a", "jugador_b",
                     "tics_compartidos",

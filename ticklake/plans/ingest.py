@@ -27,7 +27,12 @@ LOG_COLUMNS = ["origen", "linea_raw", "motivo"]
 
 
 def classified(w: Warehouse) -> DataFrame:
-    return C.classify(w.staging, w.player, w.volunteer, w.session, w.sector, w.preloaded_fact)
+    """The bound staging classified against the pre-loaded fact (built once per warehouse)."""
+    cls = getattr(w, "_classified", None)
+    if cls is None:
+        cls = C.classify(w.staging, w.player, w.volunteer, w.session, w.sector, w.preloaded_fact)
+        w._classified = cls
+    return cls
 
 
 def reject_log(w: Warehouse) -> DataFrame:

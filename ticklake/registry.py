@@ -13,6 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ticklake.session import configure
 from ticklake.sources.bindings import Warehouse
 
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One bound warehouse per (application, directory): its DataFrames are
+    immutable plans, so queries share them instead of re-deriving the star
+    schema (and re-analysing it) on every call."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return _WAREHOUSES[key]
+
 _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
 
@@ -37,7 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(Warehouse(spark, sf_dir))
+            return fn(warehouse(spark, sf_dir))
         run.__name__ = fn.__name__
         return run
     return {k: bind(v) for k, v in _BUILDERS.items()}
