@@ -15,8 +15,10 @@ decimal scale and squared in 64-bit integers, guarded so no square is formed
 for a coordinate gap larger than the radius (no overflow, no BigDecimal).
 
 ``co_presence`` pairs entities sharing an exact key (session, tick, place).
-Hot join keys are split by AQE's skew-join handling (both operators are plain
-shuffled equi-joins, so ``spark.sql.adaptive.skewJoin`` applies).
+Hot join keys are split by AQE's skew-join handling: both operators are plain
+equi-joins whose shuffles the planner inserts, so ``spark.sql.adaptive.skewJoin``
+can split an oversized (session, tick, cell) partition across tasks. (A
+user ``repartition`` would pin the partitioning and switch that off.)
 """
 
 from __future__ import annotations
@@ -29,16 +31,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _fanout_partitions(df: DataFrame, partitions: int | None) -> int:
-    """Partitions for a self-join whose output is much larger than its input.
-
-    AQE sizes post-shuffle partitions from the *input* bytes, which collapses
-    a small-input / large-output pair join into a few tasks; an explicit
-    count (which AQE keeps) spreads the pairs over the cluster.
-    """
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def forward_offsets(axes: int) -> list[tuple[int, ...]]:
     """Neighbour offsets lexicographically >= 0: the cell itself and half of the others."""
     return [o for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
@@ -56,7 +48,7 @@ def _units(c: str, scale: int) -> Column:
 def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
                    entity: str = "id_jugador", pos: Sequence[str] = ("pos_x", "pos_y", "pos_z"),
                    radius=50, grid: bool = True, grid_axes: int = 2, scale: int = 4,
-                   carry: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                   carry: Sequence[str] = ()) -> DataFrame:
     """Rows (instant..., a, b, dist, carried a_*/b_* columns) for a < b within ``radius``.
 
     ``scale`` is the decimal scale of the position columns; ``carry`` lists
@@ -73,9 +65,7 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
                          *[F.col(c).alias(f"{tag}_{c}") for c in carry],
                          *[F.col(f"u{i}").alias(f"{tag}{i}") for i in range(3)])
 
-    n = _fanout_partitions(events, partitions)
     if not grid:
-        base = base.repartition(n, *instant)
         j = side(base, "a", "e1").join(side(base, "b", "e2"), on=instant) \
             .filter(F.col("e1") < F.col("e2"))
     else:
@@ -93,7 +83,6 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
                       *[F.col(f"u{i}").alias(f"a{i}") for i in range(3)], *keys, "same")
         sb = b.select(*instant, F.col(entity).alias("e2"), *[F.col(c).alias(f"b_{c}") for c in carry],
                       *[F.col(f"u{i}").alias(f"b{i}") for i in range(3)], *keys)
-        sa, sb = sa.repartition(n, *instant, *keys), sb.repartition(n, *instant, *keys)
         j = (sa.join(sb, on=[*instant, *keys])
              .filter((~F.col("same") & (F.col("e1") != F.col("e2"))) | (F.col("e1") < F.col("e2"))))
     # Exact test in integer units; no square is formed for a gap > radius.
@@ -115,7 +104,7 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
 
 def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
                 place: str = "id_sector", entity: str = "id_jugador",
-                carry: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                carry: Sequence[str] = ()) -> DataFrame:
     """Rows (instant..., place, a, b, a_*/b_* carried) for a < b at the same place.
 
     NULL places never pair. Input rows are made distinct on
@@ -123,9 +112,7 @@ def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"
     per instant and place.
     """
     instant, carry = list(instant), list(carry)
-    # One shuffle on the join key serves both the dedup and the self-join.
     base = (events.select(*instant, place, entity, *carry).filter(F.col(place).isNotNull())
-            .repartition(_fanout_partitions(events, partitions), *instant, place)
             .dropDuplicates([*instant, place, entity, *carry]))
     a = base.select(*instant, place, F.col(entity).alias("a"), *[F.col(c).alias(f"a_{c}") for c in carry])
     b = base.select(*instant, place, F.col(entity).alias("b"), *[F.col(c).alias(f"b_{c}") for c in carry])

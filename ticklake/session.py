@@ -25,6 +25,10 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Floor for coalesced partitions. Pair joins turn a small input into a
+    # large output, and AQE sizes partitions by input bytes; a low floor keeps
+    # small inputs spread over the cores (large inputs are unaffected).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
 

@@ -169,29 +169,39 @@ class Warehouse:
     def _derive_tick_event(self) -> DataFrame:
         """One row per (session, player, tick): the lowest event_id wins.
 
-        A grouped min over a struct (partial aggregation map-side) rather than
-        a window, so a hot key is combined before the shuffle.
+        A grouped aggregate (partial aggregation map-side) rather than a
+        window, so a hot key is combined before the shuffle.
         """
         ev = self.events
+        # Fixed-width aggregation buffers (min_by over numbers) keep this a
+        # hash aggregate with map-side combine; the event type is only needed
+        # as its sector rule: 0 = view, 1 = error, 2 = other.
+        kind = (F.when(F.col("event_type") == "view", 0)
+                .when(F.col("event_type") == "error", 1).otherwise(2))
+        eid = F.col("event_id")
         first = (ev.groupBy("day", "user_id", "hour")
-                 .agg(F.min(F.struct("event_id", "event_type", "value", "k")).alias("f")))
+                 .agg(F.min(eid).alias("event_id"), F.min_by(kind, eid).alias("kind"),
+                      F.min_by("value", eid).alias("value"), F.min_by("k", eid).alias("k")))
+        day = F.col("day")
+        sector = (F.when(F.col("kind") == 0, F.lit(None))
+                  .when(F.col("kind") == 1, (day + 3) % 10).otherwise(day % 10)).cast("long")
         return first.select(
-            F.col("f.event_id").cast("long").alias("id_evento"),
+            F.col("event_id").cast("long").alias("id_evento"),
             F.col("day").alias("id_partida"),
             F.col("user_id").cast("long").alias("id_jugador"),
-            self._sector_of(F.col("f.event_type"), F.col("day")).alias("id_sector"),
+            sector.alias("id_sector"),
             F.col("hour").alias("tic"),
-            F.col("f.value").cast(S.POS).alias("pos_x"),
-            F.col("f.k").cast(S.POS).alias("pos_y"),
+            F.col("value").cast(S.POS).alias("pos_x"),
+            F.col("k").cast(S.POS).alias("pos_y"),
             F.col("hour").cast(S.POS).alias("pos_z"),
             F.lit(0).cast(S.ANGLE).alias("angulo"),
             F.lit(0).cast(S.MOMENTUM).alias("momentum_x"),
             F.lit(0).cast(S.MOMENTUM).alias("momentum_y"),
             F.lit(0).cast(S.MOMENTUM).alias("momentum_z"),
             F.lit(90).cast(S.FOV).alias("fov"),
-            F.col("f.k").alias("salud"),
+            F.col("k").alias("salud"),
             F.lit(100).alias("armadura"),
-            (F.col("f.event_id") % 50).cast("int").alias("municion"))
+            (F.col("event_id") % 50).cast("int").alias("municion"))
 
     @cached_property
     def participation(self) -> DataFrame:
