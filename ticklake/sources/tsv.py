@@ -26,6 +26,12 @@ def read_staging(spark: SparkSession, path: str, loaded_at: Column | None = None
     loader persists staging before classifying, which fixes it.
     """
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("archivo_origen"))
+    return parse_lines(raw, loaded_at, header_first_field)
+
+
+def parse_lines(raw: DataFrame, loaded_at: Column | None = None,
+                header_first_field: str = "id_partida") -> DataFrame:
+    """Split ``value`` lines (with ``archivo_origen``) into staging rows; batch or streaming."""
     parts = F.split(F.col("value"), "\t", -1)
     fields = [F.nullif(F.get(parts, i), F.lit(NULL_MARKER)).alias(f)
               for i, f in enumerate(S.RAW_FIELDS)]
