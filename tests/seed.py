@@ -21,10 +21,10 @@ def _ts(s):
 
 
 def build(spark, ticks: int = 3600):
-    ep = spark.createDataFrame([(1, "Knee-Deep"), (2, "Shores"), (3, "Inferno")], S.EPISODE)
-    mp = spark.createDataFrame([(1, 1, "E1M1", "Hangar"), (2, 2, "E2M1", "Lab"), (3, 3, "E3M1", "Keep")], S.MAP)
-    sec = spark.createDataFrame([(1, 1, "SEC_START", 0, 0), (2, 1, "SEC_COURT", 1500, -800),
-                                 (3, 2, "SEC_CONT", -500, 1200), (4, 3, "SEC_THRONE", 666, 666)],
+    ep = spark.createDataFrame([(1, "Episode one"), (2, "Episode two"), (3, "Episode three")], S.EPISODE)
+    mp = spark.createDataFrame([(1, 1, "M1", "Map one"), (2, 2, "M2", "Map two"), (3, 3, "M3", "Map three")], S.MAP)
+    sec = spark.createDataFrame([(1, 1, "S_ENTRY", 0, 0), (2, 1, "S_YARD", 1500, -800),
+                                 (3, 2, "S_CORE", -500, 1200), (4, 3, "S_TOP", 666, 666)],
                                 "id_sector long, id_mapa int, codigo_sector string, x int, y int") \
         .select("id_sector", "id_mapa", "codigo_sector", F.col("x").cast(S.COORD).alias("coordenada_x"),
                 F.col("y").cast(S.COORD).alias("coordenada_y"))
@@ -50,8 +50,8 @@ def build(spark, ticks: int = 3600):
                   F.rint(F.lit(80.0) + F.lit(20.0) * F.sin(t / 20.0)).cast("int").alias("salud"),
                   F.rint(F.lit(50.0) + F.lit(50.0) * F.cos(t / 30.0)).cast("int").alias("armadura"),
                   F.rint(F.lit(50.0) + F.lit(40.0) * F.sin(t / 15.0)).cast("int").alias("municion")))
-    inst = spark.createDataFrame([(1, "BANGS", None)], S.INSTRUMENT)
-    dims = ["Boredom", "Anxiety", "Nausea", "Frustration", "Game-Satisfaction"]
+    inst = spark.createDataFrame([(1, "UX_SURVEY", None)], S.INSTRUMENT)
+    dims = ["dim_a", "dim_b", "dim_c", "dim_d", "dim_e"]
     items = spark.createDataFrame([(i, f"q{i}", dims[(i - 1) // 2], 1) for i in range(1, 11)], S.SURVEY_ITEM)
     resp = spark.createDataFrame([(u * 100 + i, _ts("2026-05-18 12:00:00"), u, i, 1, 1, None)
                                   for u in range(1, 7) for i in range(1, 11)], S.SURVEY_RESPONSE) \

@@ -1,4 +1,4 @@
-"""Goldens derivable from the reference's seed load (FIXTURES §2)."""
+"""Goldens derivable from a seed-shaped star schema (FIXTURES §2)."""
 
 from decimal import Decimal
 
@@ -19,7 +19,7 @@ def w(spark):
 
 def test_q1_durations(w):
     rows = an.q1_session_duration_by_map(w).collect()
-    assert [(r.mapa, r.total_partidas) for r in rows] == [("E1M1", 1), ("E2M1", 1), ("E3M1", 1)]
+    assert [(r.mapa, r.total_partidas) for r in rows] == [("M1", 1), ("M2", 1), ("M3", 1)]
     assert [r.duracion_promedio_min for r in rows] == [Decimal("25.00"), Decimal("40.00"), Decimal("15.00")]
     assert all(r.duracion_minima_min == r.duracion_promedio_min == r.duracion_maxima_min for r in rows)
 
@@ -49,7 +49,7 @@ def test_q5_and_mv_single_sector(w):
     q5 = an.q5_sector_hotspots(w).collect()
     assert len(q5) == 1
     r = q5[0]
-    assert (r.sector, r.total_presencias, r.jugadores_distintos) == ("SEC_START", 6 * TICKS, 6)
+    assert (r.sector, r.total_presencias, r.jugadores_distintos) == ("S_ENTRY", 6 * TICKS, 6)
     assert r.presencias_por_jugador == Decimal(TICKS).quantize(Decimal("0.01"))
     mv = an.mv_sector_hotspots(w).collect()
     assert len(mv) == 1 and mv[0].partidas_con_presencia == 3 and mv[0].rank_en_mapa == 1

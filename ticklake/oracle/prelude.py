@@ -64,7 +64,7 @@ participation AS (
          id_partida, id_jugador, CAST(NULL AS VARCHAR) AS rol FROM tick_event
 ),
 instrument AS (
-  SELECT 1 AS id_instrumento, 'BANGS' AS nombre, CAST(NULL AS VARCHAR) AS descripcion
+  SELECT 1 AS id_instrumento, 'UX_SURVEY' AS nombre, CAST(NULL AS VARCHAR) AS descripcion
 ),
 survey_item AS (
   SELECT CAST(p_partkey AS BIGINT) AS id_item, p_name AS texto_pregunta, p_type AS dimension,

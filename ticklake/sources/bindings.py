@@ -150,7 +150,7 @@ class Warehouse:
 
     @cached_property
     def instrument(self) -> DataFrame:
-        return self.spark.createDataFrame([(1, "BANGS", None)], S.INSTRUMENT)
+        return self.spark.createDataFrame([(1, "UX_SURVEY", None)], S.INSTRUMENT)
 
     @cached_property
     def survey_item(self) -> DataFrame:
