@@ -144,7 +144,9 @@ def mark_duplicates(df: DataFrame, fact_keys: DataFrame) -> DataFrame:
     """
     cand = F.col("_reason") == F.lit(CANDIDATE)
     order = F.struct("cargado_en", "archivo_origen", "linea_raw", "_row_id")
-    firsts = (df.filter(cand).groupBy(*FACT_KEY).agg(F.min(order).alias("_first")))
+    # ``df`` is read twice (aggregate and join back): callers persist it
+    # first (``IngestJob``, ``Warehouse``) so the classification runs once.
+    firsts = df.groupBy(*FACT_KEY).agg(F.min(F.when(cand, order)).alias("_first"))
     core = fact_keys.select(*FACT_KEY).distinct().withColumn("_in_core", F.lit(True))
     out = (df.join(firsts, list(FACT_KEY), "left")
            .join(core, list(FACT_KEY), "left"))
@@ -154,6 +156,12 @@ def mark_duplicates(df: DataFrame, fact_keys: DataFrame) -> DataFrame:
             .drop("_first", "_in_core"))
 
 
+def classify_primary(staging: DataFrame, player: DataFrame, volunteer: DataFrame,
+                     session: DataFrame, sector: DataFrame) -> DataFrame:
+    """Format flags, lookups and the primary reason: everything but the duplicate checks."""
+    return primary_reason(attach_references(type_flags(staging), player, volunteer, session, sector))
+
+
 def classify(staging: DataFrame, player: DataFrame, volunteer: DataFrame, session: DataFrame,
              sector: DataFrame, fact: DataFrame) -> DataFrame:
     """Full classification: one row per staging row with ``_reason`` and duplicate flags.

@@ -30,7 +30,9 @@ def classified(w: Warehouse) -> DataFrame:
     """The bound staging classified against the pre-loaded fact (built once per warehouse)."""
     cls = getattr(w, "_classified", None)
     if cls is None:
-        cls = C.classify(w.staging, w.player, w.volunteer, w.session, w.sector, w.preloaded_fact)
+        primary = w._stored("classified_primary", C.classify_primary(
+            w.staging, w.player, w.volunteer, w.session, w.sector))
+        cls = C.mark_duplicates(primary, w.preloaded_fact)
         w._classified = cls
     return cls
 
@@ -120,19 +122,20 @@ class IngestJob:
             fact = fact.unionByName(self.seed_fact.select(*C.FACT_KEY))
         return fact
 
-    def run(self, staging: DataFrame, batch_id: str) -> dict:
+    def run(self, staging: DataFrame, batch_id: str, stats: bool = True) -> dict:
         if "_row_id" not in staging.columns:
             staging = staging.withColumn("_row_id", F.monotonically_increasing_id())
-        # Persist staging (fixes row ids) and the classification (fixes the
-        # fact snapshot) on the shared checkpoint storage.
+        # Persist staging (fixes row ids) and the primary classification (read
+        # twice by the duplicate checks) on the shared checkpoint storage. The
+        # fact snapshot excludes this batch's own partition, so writing the
+        # accepted rows cannot change what the duplicate check sees.
         stage_path = scratch_path(self.spark, f"ingest/{batch_id}/staging")
         staging.write.mode("overwrite").parquet(stage_path)
         staged = self.spark.read.parquet(stage_path)
-        cls = C.classify(staged, self.player, self.volunteer, self.session, self.sector,
-                         self.current_fact(batch_id))
+        primary = C.classify_primary(staged, self.player, self.volunteer, self.session, self.sector)
         cls_path = scratch_path(self.spark, f"ingest/{batch_id}/classified")
-        cls.write.mode("overwrite").parquet(cls_path)
-        cls = self.spark.read.parquet(cls_path)
+        primary.write.mode("overwrite").parquet(cls_path)
+        cls = C.mark_duplicates(self.spark.read.parquet(cls_path), self.current_fact(batch_id))
 
         loaded_at = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
         log = C.reject_log(cls, registered_at=loaded_at, batch_id=batch_id)
@@ -142,6 +145,8 @@ class IngestJob:
         acc = acc.withColumn("id_evento", F.xxhash64(F.lit(batch_id), *C.FACT_KEY))
         acc = acc.select(*[f.name for f in S.TICK_EVENT.fields]).withColumn(BATCH_COL, F.lit(batch_id))
         write_batch(acc, self.paths.fact)
+        if not stats:
+            return {"batch": batch_id}
         return {"batch": batch_id,
                 "staging": staged.count(),
                 "rejects": self.spark.read.parquet(self.paths.log)
