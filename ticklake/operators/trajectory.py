@@ -66,13 +66,15 @@ def path_length(events: DataFrame, keys: Sequence[str] = ("id_jugador", "id_part
         "__chunk", F.floor(F.col(order) / F.lit(chunk)).cast("long"))
     w = Window.partitionBy(*keys, "__chunk").orderBy(order)
     step = dist3(tuple(F.lag(c).over(w) for c in pos), tuple(F.col(c) for c in pos))
-    d = d.select(*keys, "__chunk", order, F.struct(*pos).alias("__p"), step.alias("__step"))
+    d = d.select(*keys, "__chunk", order, *pos, step.alias("__step"))
+    # Per-coordinate min_by/max_by keep fixed-width buffers: a hash aggregate.
     per_chunk = d.groupBy(*keys, "__chunk").agg(
         F.sum("__step").alias("__inner"), F.count(order).alias("__n"),
-        F.min_by("__p", F.col(order)).alias("__first"), F.max_by("__p", F.col(order)).alias("__last"))
+        *[F.min_by(c, F.col(order)).alias(f"__first_{c}") for c in pos],
+        *[F.max_by(c, F.col(order)).alias(f"__last_{c}") for c in pos])
     w2 = Window.partitionBy(*keys).orderBy("__chunk")
-    prev = F.lag("__last").over(w2)
-    cross = dist3(tuple(prev[c] for c in pos), tuple(F.col("__first")[c] for c in pos))
+    cross = dist3(tuple(F.lag(f"__last_{c}").over(w2) for c in pos),
+                  tuple(F.col(f"__first_{c}") for c in pos))
     per_chunk = per_chunk.select(*keys, "__inner", "__n", cross.alias("__cross"))
     g = per_chunk.groupBy(*keys).agg(F.sum("__inner").alias("__i"), F.sum("__cross").alias("__c"),
                                      F.sum("__n").alias("n_rows"))
