@@ -147,3 +147,11 @@ def test_equal_aliases_merge_in_q2_q6_not_v2(spark):
         [("alias_1", "alias_2", 20), ("alias_2", "alias_2", 20)]
     v2 = [r for r in an.v_sector_copresence(w).collect() if r.id_partida == 1]
     assert sorted((r.jugador_a, r.jugador_b) for r in v2) == [(1, 2), (1, 9), (2, 9)]
+
+
+def test_series_equals_sequence(spark):
+    from ticklake.operators.series import series
+    df = spark.createDataFrame([(1, 0, 23), (2, 5, 5), (3, 9, 4), (4, -3, 10000)], "k int, lo int, hi int")
+    got = sorted((r.k, r.tic) for r in series(df, ["k"], "lo", "hi", chunk=7).collect())
+    exp = sorted((k, t) for k, lo, hi in [(1, 0, 23), (2, 5, 5), (4, -3, 10000)] for t in range(lo, hi + 1))
+    assert got == exp

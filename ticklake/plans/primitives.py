@@ -22,6 +22,7 @@ from ticklake.operators import audit as AU
 from ticklake.operators import classify as C
 from ticklake.operators.joins import existence_flag, scalar, star_chain, with_scalar
 from ticklake.operators.pairs import pair_proximity
+from ticklake.operators.series import series
 from ticklake.operators.ranking import arg_extreme, first_per_key, rank_distributed, rank_within
 from ticklake.operators.trajectory import lag_columns, path_length, step_distances
 from ticklake.plans import analytics as an
@@ -75,7 +76,7 @@ def src_insert_if_absent(w):
 def src_series(w):
     """Every tick between each session's first and last tick."""
     span = w.tick_event.groupBy("id_partida").agg(F.min("tic").alias("lo"), F.max("tic").alias("hi"))
-    return span.select("id_partida", F.explode(F.sequence("lo", "hi")).alias("tic"))
+    return series(span, ["id_partida"], "lo", "hi", "tic")
 
 
 @prim("snk_reject_log")
