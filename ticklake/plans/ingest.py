@@ -125,17 +125,16 @@ class IngestJob:
     def run(self, staging: DataFrame, batch_id: str, stats: bool = True) -> dict:
         if "_row_id" not in staging.columns:
             staging = staging.withColumn("_row_id", F.monotonically_increasing_id())
-        # Persist staging (fixes row ids) and the primary classification (read
-        # twice by the duplicate checks) on the shared checkpoint storage. The
-        # fact snapshot excludes this batch's own partition, so writing the
-        # accepted rows cannot change what the duplicate check sees.
-        stage_path = scratch_path(self.spark, f"ingest/{batch_id}/staging")
-        staging.write.mode("overwrite").parquet(stage_path)
-        staged = self.spark.read.parquet(stage_path)
-        primary = C.classify_primary(staged, self.player, self.volunteer, self.session, self.sector)
+        # Persist the primary classification (it carries every staging column,
+        # and the write fixes the row ids) on the shared checkpoint storage: the
+        # duplicate checks read it twice. The fact snapshot excludes this batch's
+        # own partition, so writing the accepted rows cannot change what the
+        # duplicate check sees.
+        primary = C.classify_primary(staging, self.player, self.volunteer, self.session, self.sector)
         cls_path = scratch_path(self.spark, f"ingest/{batch_id}/classified")
         primary.write.mode("overwrite").parquet(cls_path)
-        cls = C.mark_duplicates(self.spark.read.parquet(cls_path), self.current_fact(batch_id))
+        stored = self.spark.read.parquet(cls_path)
+        cls = C.mark_duplicates(stored, self.current_fact(batch_id))
 
         loaded_at = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
         log = C.reject_log(cls, registered_at=loaded_at, batch_id=batch_id)
@@ -148,7 +147,7 @@ class IngestJob:
         if not stats:
             return {"batch": batch_id}
         return {"batch": batch_id,
-                "staging": staged.count(),
+                "staging": stored.count(),
                 "rejects": self.spark.read.parquet(self.paths.log)
                 .filter(F.col(BATCH_COL) == batch_id).count(),
                 "accepted": self.spark.read.parquet(self.paths.fact)
