@@ -24,6 +24,11 @@ from ticklake.sources.bindings import Warehouse
 TICKS_PER_SECOND = 35      # fixed value: tick rate used for speed per second
 NEAR_RADIUS = 50           # fixed value: proximity threshold in map units
 
+# Large outputs are sorted with the remaining key columns as tie-breakers: the
+# result is deterministic, and a range shuffle can split a run of equal
+# leading sort values (one hot session) over several tasks.
+PAIR_TIEBREAK = ("id_partida", "jugador_a", "jugador_b")
+
 
 def _maps_with_episode(w: Warehouse) -> DataFrame:
     return w.map.join(w.episode, "id_episodio")
@@ -92,7 +97,7 @@ def q2_pair_proximity(w: Warehouse, radius=NEAR_RADIUS, grid: bool = True) -> Da
             .select("id_partida", "jugador_a", "jugador_b", "tics_dentro_umbral",
                     round_to("avg_d", 4).alias("distancia_promedio"),
                     round_to("min_d", 4).alias("distancia_minima"))
-            .orderBy("distancia_promedio"))
+            .orderBy("distancia_promedio", *PAIR_TIEBREAK))
 
 
 def q2b_pair_distance_sample(w: Warehouse, radius=NEAR_RADIUS, limit: int | None = None) -> DataFrame:
@@ -112,7 +117,7 @@ def session_paths(w: Warehouse) -> DataFrame:
 def q3a_session_path_length(w: Warehouse) -> DataFrame:
     p = session_paths(w).filter(F.col("steps_sum").isNotNull())
     return (p.select("id_jugador", "id_partida", round_to("steps_sum", 4).alias("distancia_total"))
-            .orderBy("distancia_total"))
+            .orderBy("distancia_total", "id_jugador", "id_partida"))
 
 
 def q3_shortest_longest_path(w: Warehouse) -> DataFrame:
@@ -165,7 +170,7 @@ def q4_survey_above_avg(w: Warehouse) -> DataFrame:
          .join(w.volunteer.select("id_usuario", "codigo_anonimo"), "id_usuario")
          .join(ans, ["id_usuario", "id_partida"])
          .join(w.survey_item, "id_item"))
-    return (j.orderBy(F.desc("total_tics"), "id_item")
+    return (j.orderBy(F.desc("total_tics"), "id_item", "id_jugador", "id_partida")
             .select(F.col("alias").alias("jugador"),
                     F.col("codigo_anonimo").alias("usuario_anonimo"),
                     F.col("total_tics").alias("tics_jugados"),
@@ -236,7 +241,7 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
     nb = names.select(F.col("id_jugador").alias("b_cj"), F.col("alias").alias("jugador_b"))
     return (g.join(place, "id_partida").join(session_ticks, "id_partida", "left")
             .join(sec, "cs").join(na, "a_cj").join(nb, "b_cj")
-            .orderBy("id_partida", F.desc("tics_compartidos"))
+            .orderBy("id_partida", F.desc("tics_compartidos"), "sector", "jugador_a", "jugador_b")
             .select("id_partida", "episodio", "mapa", "sector", "jugador_a", "jugador_b",
                     "tics_compartidos",
                     ratio_round(F.col("tics_compartidos") * 100, "ticks_partida", 2)
@@ -255,7 +260,7 @@ def v_sector_copresence(w: Warehouse) -> DataFrame:
     place = _session_place(w).select("id_partida", "nombre_episodio", "codigo_mapa")
     return (g.join(w.sector.select("id_sector", "codigo_sector"), "id_sector")
             .join(place, "id_partida").join(pa, "a").join(pb, "b")
-            .orderBy(F.desc("tics_compartidos"))
+            .orderBy(F.desc("tics_compartidos"), "id_partida", "id_sector", "a", "b")
             .select("id_partida", "id_sector", "codigo_sector", "nombre_episodio", "codigo_mapa",
                     F.col("a").alias("jugador_a"), "alias_a", F.col("b").alias("jugador_b"),
                     "alias_b", "tics_compartidos"))
