@@ -32,8 +32,30 @@ ADAPTIVE_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF}.items():
+# Sizing for a large cluster (hundreds of TB, ~1000 executors). Shuffles start
+# with many partitions and AQE coalesces them to ~256 MB each (respecting the
+# advisory size rather than maximising parallelism); scan splits are 512 MB;
+# a partition counts as skewed above 1 GB and 5x the median and is split;
+# dimension sides up to 64 MB (measured) are broadcast, nothing larger.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
+
+def configure(spark: SparkSession, profile: str | None = None) -> SparkSession:
+    """Apply the semantic and adaptive settings; ``profile="cluster"`` adds CLUSTER_CONF."""
+    conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF}
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
