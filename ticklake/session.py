@@ -25,9 +25,12 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Floor for coalesced partitions. Pair joins turn a small input into a
-    # large output, and AQE sizes partitions by input bytes; a low floor keeps
-    # small inputs spread over the cores (large inputs are unaffected).
+}
+
+# Sizing for one machine / tests. Pair joins turn a small input into a large
+# output, and AQE sizes partitions by input bytes; a low floor for coalesced
+# partitions keeps small inputs spread over the cores.
+LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
@@ -51,10 +54,10 @@ CLUSTER_CONF = {
 
 
 def configure(spark: SparkSession, profile: str | None = None) -> SparkSession:
-    """Apply the semantic and adaptive settings; ``profile="cluster"`` adds CLUSTER_CONF."""
+    """Apply the semantic and adaptive settings (never sizing, unless a profile
+    is named: ``"cluster"`` adds CLUSTER_CONF, ``"local"`` adds LOCAL_CONF)."""
     conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF}
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
+    conf.update({"cluster": CLUSTER_CONF, "local": LOCAL_CONF}.get(profile or "", {}))
     for k, v in conf.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
@@ -70,11 +73,11 @@ def build(master: str = "local[8]", app: str = "ticklake", shuffle_partitions: i
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TICKLAKE_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
+    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **LOCAL_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return configure(spark, profile="local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
