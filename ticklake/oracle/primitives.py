@@ -37,7 +37,9 @@ Q = {}
 Q["src_tsv_staging"] = star("", f"SELECT {', '.join(RAW)} FROM staging")
 Q["src_scan"] = star("", "SELECT * FROM tick_event")
 Q["src_insert_if_absent"] = star(TSTG, """
-SELECT DISTINCT k_jugador AS id_jugador, 'desconocido_' || CAST(k_jugador AS VARCHAR) AS alias
+SELECT id_jugador, alias, id_usuario FROM player
+UNION ALL
+SELECT DISTINCT k_jugador, 'desconocido_' || CAST(k_jugador AS VARCHAR), k_jugador
 FROM tstg WHERE k_jugador IS NOT NULL AND NOT EXISTS (SELECT 1 FROM player p WHERE p.id_jugador = k_jugador)""")
 Q["src_series"] = star("", """
 SELECT id_partida, CAST(UNNEST(generate_series(lo, hi)) AS INTEGER) AS tic

@@ -65,10 +65,16 @@ def src_scan(w):
 
 @prim("src_insert_if_absent")
 def src_insert_if_absent(w):
-    """Players referenced by a batch but unknown to the dimension: rows to insert."""
-    seen = typed_staging(w).filter(F.col("id_jugador").isNotNull()).select("id_jugador")
-    return SK.insert_if_absent(seen, w.player, ["id_jugador"]).select(
-        "id_jugador", F.concat(F.lit("desconocido_"), F.col("id_jugador").cast("string")).alias("alias"))
+    """``INSERT ... ON CONFLICT (id) DO NOTHING`` of the players a batch references:
+    the stored player table gets only the unknown ids, then it is read back."""
+    path = _uid(w, "players")
+    SK.reload(w.player, path)
+    seen = typed_staging(w).filter(F.col("id_jugador").isNotNull()).select(
+        "id_jugador", F.concat(F.lit("desconocido_"), F.col("id_jugador").cast("string")).alias("alias"),
+        F.col("id_jugador").alias("id_usuario"))
+    target = w.spark.read.parquet(path)
+    SK.insert_if_absent(seen, target, ["id_jugador"]).write.mode("append").parquet(path)
+    return w.spark.read.parquet(path)
 
 
 @prim("src_series")

@@ -30,7 +30,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, job: IngestJob,
         "value", F.col("_metadata.file_path").alias("archivo_origen"))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        job.run(parse_lines(batch), f"stream-{epoch_id:08d}")
+        job.run(parse_lines(batch), f"stream-{epoch_id:08d}", stats=False)
 
     writer = (lines.writeStream.queryName(query_name).foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint_location))
