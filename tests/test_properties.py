@@ -33,11 +33,12 @@ def _points(spark, n=600, seed_=7, spread=120.0, with_null=True):
                                        "pos_y decimal(12,4), pos_z decimal(12,4)")
 
 
-@pytest.mark.parametrize("axes,radius", [(2, 50), (3, 50), (1, 30), (2, 7.5)])
-def test_grid_equals_brute_force(spark, axes, radius):
+@pytest.mark.parametrize("axes,radius,factor", [(2, 50, 1), (2, 50, 2), (3, 50, 1), (3, 50, 3),
+                                                (1, 30, 2), (2, 7.5, 1), (2, 7.5, 4)])
+def test_grid_equals_brute_force(spark, axes, radius, factor):
     pts = _points(spark)
     cols = ["id_partida", "tic", "a", "b", "dist"]
-    g = pair_proximity(pts, radius=radius, grid=True, grid_axes=axes).select(*cols)
+    g = pair_proximity(pts, radius=radius, grid=True, grid_axes=axes, cell_factor=factor).select(*cols)
     b = pair_proximity(pts, radius=radius, grid=False).select(*cols)
     gs, bs = sorted(g.collect()), sorted(b.collect())
     assert len(gs) > 10 and gs == bs
