@@ -228,8 +228,12 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
     cp = _canonical(w.player, "id_jugador", "alias", "cj")
     ev = w.tick_event.select("id_partida", "tic", "id_sector", "id_jugador") \
         .join(cs, "id_sector").join(cp, "id_jugador")
-    pairs = co_presence(ev, ("id_partida", "tic"), "id_sector", "id_jugador", carry=("cs", "cj"))
-    g = (pairs.groupBy("id_partida", F.col("a_cs").alias("cs"), "a_cj", "b_cj")
+    # Joined on (session, tick, sector code) with the sector-id equality as a
+    # residual: the join's hash partitioning already holds every duplicate of a
+    # (group, tick), so the exact COUNT(DISTINCT tic) needs no shuffle of its own.
+    pairs = co_presence(ev, ("id_partida", "tic"), "cs", "id_jugador", carry=("id_sector", "cj")) \
+        .filter(F.col("a_id_sector") == F.col("b_id_sector"))
+    g = (pairs.groupBy("id_partida", "cs", "a_cj", "b_cj")
          .agg(F.count_distinct("tic").alias("tics_compartidos")))
     session_ticks = w.tick_event.groupBy("id_partida").agg(
         F.count_distinct("tic").alias("ticks_partida"))
