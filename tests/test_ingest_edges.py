@@ -127,3 +127,27 @@ def test_job_is_idempotent(spark, star, tmp_path):
     # a second, different batch sees b1's rows as already loaded
     second = job.run(_staging(spark), "b2")
     assert second["accepted"] == 0
+
+
+def test_tsv_escapes(spark, star, tmp_path):
+    from ticklake.sources.tsv import write_tsv
+    # "5" + escaped newline in the session field: decodes to "5\n" -> BAD_TYPE (T2)
+    fields = [r"5\n" if f == "raw_id_partida" else BASE[f] for f in S.RAW_FIELDS]
+    header = "\t".join(f.removeprefix("raw_") for f in S.RAW_FIELDS)
+    path = tmp_path / "esc.tsv"
+    path.write_text(header + "\n" + "\t".join(fields) + "\n")
+    stg = read_staging(spark, str(path))
+    assert stg.first().raw_id_partida == "5\n"
+    cls = C.classify(stg, star.player, star.volunteer, star.session, star.sector, star.fact)
+    assert [r._reason for r in cls.select("_reason").collect()] == ["BAD_TYPE"]
+    # round trip of awkward text through the writer and the reader
+    odd = ["a\\b", "tab\there", "new\nline", "\\N", None, "", "  ", "back\\\\n", "cr\rx"]
+    rows = []
+    for i, v in enumerate(odd):
+        r = dict(BASE, raw_pos_x=v, raw_tic=str(100 + i))
+        rows.append(tuple(r[f] for f in S.RAW_FIELDS) + ("x", T0, i))
+    schema = S.T.StructType([*S.STAGING.fields, S.T.StructField("_row_id", S.L, False)])
+    out = tmp_path / "rt"
+    write_tsv(spark.createDataFrame(rows, schema), str(out))
+    back = sorted(((r.raw_tic, r.raw_pos_x) for r in read_staging(spark, str(out)).collect()))
+    assert back == sorted((str(100 + i), v) for i, v in enumerate(odd))

@@ -16,6 +16,29 @@ from ticklake import schemas as S
 NULL_MARKER = r"\N"      # fixed value: the text-format NULL marker
 HEADER = "\t".join(f.removeprefix("raw_") for f in S.RAW_FIELDS)
 
+# Text-format escapes inside a field (escape letter -> character).
+ESCAPES = [("t", "\t"), ("n", "\n"), ("r", "\r")]
+
+
+def decode_field(c: Column) -> Column:
+    r"""Undo text-format escaping: ``\N`` alone is NULL, ``\\`` is a backslash,
+    ``\t`` ``\n`` ``\r`` are tab, newline, carriage return. The field is split
+    on escaped backslashes first, so ``\\n`` stays a backslash plus ``n``."""
+    def unescape(part):
+        for letter, char in ESCAPES:
+            part = F.regexp_replace(part, "\\\\" + letter, F.lit(char))
+        return part
+    decoded = F.array_join(F.transform(F.split(c, r"\\\\", -1), unescape), "\\")
+    return F.when(c == F.lit(NULL_MARKER), F.lit(None).cast("string")).otherwise(decoded)
+
+
+def encode_field(c: Column) -> Column:
+    r"""Text-format escaping of one field (NULL -> ``\N``)."""
+    out = F.regexp_replace(c, r"\\", r"\\\\")
+    for letter, char in ESCAPES:
+        out = F.regexp_replace(out, char, "\\\\" + letter)
+    return F.coalesce(out, F.lit(NULL_MARKER))
+
 
 def read_staging(spark: SparkSession, path: str, loaded_at: Column | None = None,
                  header_first_field: str = "id_partida") -> DataFrame:
@@ -33,8 +56,7 @@ def parse_lines(raw: DataFrame, loaded_at: Column | None = None,
                 header_first_field: str = "id_partida") -> DataFrame:
     """Split ``value`` lines (with ``archivo_origen``) into staging rows; batch or streaming."""
     parts = F.split(F.col("value"), "\t", -1)
-    fields = [F.nullif(F.get(parts, i), F.lit(NULL_MARKER)).alias(f)
-              for i, f in enumerate(S.RAW_FIELDS)]
+    fields = [decode_field(F.get(parts, i)).alias(f) for i, f in enumerate(S.RAW_FIELDS)]
     return (raw.filter(F.get(parts, 0).isNull() | (F.get(parts, 0) != F.lit(header_first_field)))
             .select(*fields, "archivo_origen",
                     (loaded_at if loaded_at is not None else F.localtimestamp()).alias("cargado_en"),
@@ -44,6 +66,6 @@ def parse_lines(raw: DataFrame, loaded_at: Column | None = None,
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Write staging-shaped rows as TSV with header (test fixtures, exports)."""
-    line = F.concat_ws("\t", *[F.coalesce(F.col(f), F.lit(NULL_MARKER)) for f in S.RAW_FIELDS])
+    line = F.concat_ws("\t", *[encode_field(F.col(f)) for f in S.RAW_FIELDS])
     (df.select(line.alias("value")).write.mode("overwrite")
      .option("header", "false").text(path))
