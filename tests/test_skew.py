@@ -80,3 +80,34 @@ def test_hot_place_copresence_is_split(spark, skew_conf):
     assert "SortMergeJoin(skew=true)" in plan
     # 1200 players share (session 1, tick 0, sector 1): all pairs are co-present
     assert pairs.filter("id_partida = 1").count() == 1200 * 1199 // 2
+
+
+def test_hot_copies_in_a_load(spark, skew_conf):
+    """A third of a batch is copies of one key: one row is accepted, the rest are
+    DUP_BATCH, and the join back to the per-key first row is split by AQE."""
+    import datetime as dt
+
+    from ticklake import schemas as S
+    from ticklake.operators import classify as C
+
+    import seed
+    w = seed.build(spark, 3)
+    base = dict(raw_id_partida="1", raw_id_jugador="1", raw_tic="7", raw_pos_x="1", raw_pos_y="2",
+                raw_pos_z="3", raw_angulo="0", raw_momentum_x="0", raw_momentum_y="0",
+                raw_momentum_z="0", raw_fov="90", raw_salud="50", raw_armadura="5",
+                raw_municion="5", raw_id_sector="1")
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [tuple(base[f] for f in S.RAW_FIELDS) + ("hot.tsv", t0, i) for i in range(1500)]
+    for i in range(3000):
+        r = dict(base, raw_id_jugador=str(1 + i % 2), raw_tic=str(100 + i))
+        rows.append(tuple(r[f] for f in S.RAW_FIELDS) + ("cold.tsv", t0, 10000 + i))
+    schema = S.T.StructType([*S.STAGING.fields, S.T.StructField("_row_id", S.L, False)])
+    stg = spark.createDataFrame(rows, schema)
+    primary = C.classify_primary(stg, w.player, w.volunteer, w.session, w.sector).cache()
+    cls = C.mark_duplicates(primary, spark.createDataFrame([], "id_partida int, id_jugador long, tic int"))
+    n, plan = _final_plan(cls)
+    assert n == 4500
+    assert "SortMergeJoin(skew=true)" in plan
+    dup = cls.filter("_dup_batch").count()
+    acc = C.accepted(cls).count()
+    assert (dup, acc) == (1499, 3001)
