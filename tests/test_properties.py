@@ -156,3 +156,17 @@ def test_series_equals_sequence(spark):
     got = sorted((r.k, r.tic) for r in series(df, ["k"], "lo", "hi", chunk=7).collect())
     exp = sorted((k, t) for k, lo, hi in [(1, 0, 23), (2, 5, 5), (4, -3, 10000)] for t in range(lo, hi + 1))
     assert got == exp
+
+
+def test_incremental_hotspot_refresh_equals_full_recompute(spark):
+    w = seed.build(spark, 10)
+    stored = an.hotspots(w.tick_event, w.sector, w.map, w.episode).cache()
+    # new rows only in sector 3 (map 2): map 1's row must be kept, map 2 recomputed
+    new_rows = (w.tick_event.filter("id_partida = 2")
+                .withColumn("id_sector", F.lit(3).cast("long"))
+                .withColumn("tic", F.col("tic") + 1000))
+    fact = w.tick_event.unionByName(new_rows)
+    inc = an.refresh_hotspots(stored, fact, new_rows, w.sector, w.map, w.episode)
+    full = an.hotspots(fact, w.sector, w.map, w.episode)
+    assert sorted(inc.collect()) == sorted(full.collect())
+    assert sorted(r.id_mapa for r in inc.collect()) == [1, 2]

@@ -48,7 +48,13 @@ Q["snk_reject_log"] = G["etl_reject_log"]
 Q["snk_insert_no_conflict"] = G["etl_accept"]
 Q["snk_reload"] = star("", "SELECT * FROM sector")
 Q["snk_view"] = A["v_player_trajectory"]
-Q["snk_materialize_refresh"] = A["mv_sector_hotspots"]
+_MV_BODY = A["mv_sector_hotspots"].split("\nSELECT e.id_episodio", 1)[1]
+Q["snk_materialize_refresh"] = star(STEPS + """,
+fact_after AS (
+  SELECT id_evento, id_partida, id_jugador, id_sector, tic, salud, municion FROM preloaded_fact
+  UNION ALL
+  SELECT -1, id_partida, id_jugador, id_sector, tic, salud, municion FROM accepted)""",
+    ("SELECT e.id_episodio" + _MV_BODY).replace("FROM tick_event et", "FROM fact_after et"))
 Q["snk_clustered_layout"] = star("", "SELECT * FROM tick_event")
 
 # §2.2 projections

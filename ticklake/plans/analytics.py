@@ -181,9 +181,9 @@ def q4_survey_above_avg(w: Warehouse) -> DataFrame:
 
 
 # ------------------------------------------------------------------ Q5 / MV
-def sector_presence(w: Warehouse) -> DataFrame:
+def sector_presence(fact: DataFrame) -> DataFrame:
     """Fact reduced to one row per sector id (path S starts here)."""
-    return w.tick_event.groupBy("id_sector").agg(
+    return fact.groupBy("id_sector").agg(
         F.count("id_evento").alias("total_eventos"),
         F.count_distinct("id_jugador").alias("jugadores_unicos"),
         F.count_distinct("id_partida").alias("partidas_con_presencia"),
@@ -204,8 +204,10 @@ def q5_sector_hotspots(w: Warehouse) -> DataFrame:
                     .alias("presencias_por_jugador")))
 
 
-def mv_sector_hotspots(w: Warehouse) -> DataFrame:
-    g = sector_presence(w).join(_sector_place(w), "id_sector")
+def hotspots(fact: DataFrame, sector: DataFrame, map_: DataFrame, episode: DataFrame) -> DataFrame:
+    """The hotspot view over any fact: per sector counts, vitals and rank in its map."""
+    place = sector.join(map_.join(episode, "id_episodio"), "id_mapa")
+    g = sector_presence(fact).join(place, "id_sector")
     g = rank_within(g, ["id_mapa"], [F.desc("total_eventos")], "rank_en_mapa")
     return g.select("id_episodio", "nombre_episodio", "id_mapa", "codigo_mapa", "nombre_mapa",
                     "id_sector", "codigo_sector", "coordenada_x", "coordenada_y",
@@ -216,6 +218,24 @@ def mv_sector_hotspots(w: Warehouse) -> DataFrame:
                     F.col("rank_en_mapa").cast("long").alias("rank_en_mapa"))
 
 
+def mv_sector_hotspots(w: Warehouse) -> DataFrame:
+    return hotspots(w.tick_event, w.sector, w.map, w.episode)
+
+
+def refresh_hotspots(stored: DataFrame, fact: DataFrame, new_rows: DataFrame, sector: DataFrame,
+                     map_: DataFrame, episode: DataFrame) -> DataFrame:
+    """Incremental refresh after a load: only maps whose sectors received rows are
+    recomputed, from the fact restricted to those maps' sectors; every other
+    stored row is kept. Distinct counts are not mergeable, so a touched map is
+    recomputed whole; its rank only depends on its own sectors."""
+    touched = (new_rows.select("id_sector").distinct()
+               .join(sector.select("id_sector", "id_mapa"), "id_sector").select("id_mapa").distinct())
+    sectors = sector.join(touched, "id_mapa", "left_semi")
+    fresh = hotspots(fact.join(sectors.select("id_sector"), "id_sector", "left_semi"),
+                     sectors, map_, episode)
+    return stored.join(touched, "id_mapa", "left_anti").unionByName(fresh)
+
+
 # ------------------------------------------------------------------ Q6 / V2
 def copresent_pairs(w: Warehouse, carry=()) -> DataFrame:
     return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador", carry=carry)

@@ -118,9 +118,14 @@ def snk_view(w):
 
 @prim("snk_materialize_refresh")
 def snk_materialize_refresh(w):
-    path = _uid(w, "mv")
-    SK.materialize(an.mv_sector_hotspots(w), path)
-    return SK.materialize(an.mv_sector_hotspots(w), path)      # refresh = full recompute
+    """Materialize the hotspot view on the pre-loaded fact, load the batch, then
+    refresh incrementally (touched maps only) into a new version."""
+    root = _uid(w, "mv")
+    v1 = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), f"{root}/v1")
+    new_rows = C.accepted(ing.classified(w)).withColumn("id_evento", F.lit(-1).cast("long"))
+    fact = w.preloaded_fact.select(*new_rows.columns).unionByName(new_rows)
+    return SK.materialize(an.refresh_hotspots(v1, fact, new_rows, w.sector, w.map, w.episode),
+                          f"{root}/v2")
 
 
 @prim("snk_clustered_layout")
