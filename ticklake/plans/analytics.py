@@ -233,7 +233,7 @@ def refresh_hotspots(stored: DataFrame, fact: DataFrame, new_rows: DataFrame, se
     sectors = sector.join(touched, "id_mapa", "left_semi")
     fresh = hotspots(fact.join(sectors.select("id_sector"), "id_sector", "left_semi"),
                      sectors, map_, episode)
-    return stored.join(touched, "id_mapa", "left_anti").unionByName(fresh)
+    return stored.join(touched, "id_mapa", "left_anti").select(*stored.columns).unionByName(fresh)
 
 
 # ------------------------------------------------------------------ Q6 / V2
