@@ -55,7 +55,8 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _stored(self, name: str, df: DataFrame, sort_by: tuple[str, ...] = ()) -> DataFrame:
+    def _stored(self, name: str, df: DataFrame, sort_by: tuple[str, ...] = (),
+                range_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a derived table once per application under the shared checkpoint
         folder and scan it from there (the loaded warehouse): later queries get
         real size statistics, pushdown into the stored files, and no lineage
@@ -68,7 +69,8 @@ class Warehouse:
         key = (app, self.sf_dir, name)
         with _LOCK:
             if key not in _STORED:
-                out = df.sortWithinPartitions(*sort_by) if sort_by else df
+                out = df.repartitionByRange(*range_by) if range_by else df
+                out = out.sortWithinPartitions(*sort_by) if sort_by else out
                 out.write.mode("overwrite").parquet(path)
                 _STORED.add(key)
         return self.spark.read.parquet(path)
@@ -163,8 +165,11 @@ class Warehouse:
     # ----------------------------------------------------------------- facts
     @cached_property
     def tick_event(self) -> DataFrame:
+        # Clustered layout (the re-aimed (session, player, tick) index): files
+        # hold session ranges, sorted inside, so min/max statistics prune scans.
         return self._stored("tick_event", self._derive_tick_event(),
-                            sort_by=("id_partida", "id_jugador", "tic"))
+                            sort_by=("id_partida", "id_jugador", "tic"),
+                            range_by=("id_partida", "id_jugador"))
 
     def _derive_tick_event(self) -> DataFrame:
         """One row per (session, player, tick): the lowest event_id wins.
