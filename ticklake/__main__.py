@@ -2,6 +2,7 @@
 
     python -m ticklake list
     python -m ticklake run q5_sector_hotspots --sf /root/testdata/sf0.01 [--out DIR] [--show 20]
+    python -m ticklake run q5_sector_hotspots --warehouse DIR      # a stored star schema
     python -m ticklake explain q2_pair_proximity --sf /root/testdata/sf0.01
     python -m ticklake rebuild --sf /root/testdata/sf0.01 --out DIR
 
@@ -31,7 +32,9 @@ def main(argv=None):
     for name in ("run", "explain"):
         p = sub.add_parser(name)
         p.add_argument("query")
-        p.add_argument("--sf", required=True)
+        src = p.add_mutually_exclusive_group(required=True)
+        src.add_argument("--sf", help="driver tables, bound to the star schema")
+        src.add_argument("--warehouse", help="folder of stored star tables")
         if name == "run":
             p.add_argument("--out")
             p.add_argument("--show", type=int, default=20)
@@ -49,7 +52,14 @@ def main(argv=None):
         return
     spark = _spark(args)
     if args.cmd in ("run", "explain"):
-        df = registry.queries()[args.query](spark, args.sf)
+        if args.warehouse:
+            from ticklake.plans import catalog  # noqa: F401  (registers the builders)
+            from ticklake.session import configure
+            from ticklake.sources.tables import StarTables
+            configure(spark)
+            df = registry._BUILDERS[args.query](StarTables(spark, args.warehouse))
+        else:
+            df = registry.queries()[args.query](spark, args.sf)
         if args.cmd == "explain":
             df.explain("formatted")
         elif args.out:
