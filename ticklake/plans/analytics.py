@@ -265,7 +265,7 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
     nb = names.select(F.col("id_jugador").alias("b_cj"), F.col("alias").alias("jugador_b"))
     return (g.join(place, "id_partida").join(session_ticks, "id_partida", "left")
             .join(sec, "cs").join(na, "a_cj").join(nb, "b_cj")
-            .orderBy("id_partida", F.desc("tics_compartidos"), "sector", "jugador_a", "jugador_b")
+            .orderBy("id_partida", F.desc("tics_compartidos"), "cs", "a_cj", "b_cj")
             .select("id_partida", "episodio", "mapa", "sector", "jugador_a", "jugador_b",
                     "tics_compartidos",
                     ratio_round(F.col("tics_compartidos") * 100, "ticks_partida", 2)
