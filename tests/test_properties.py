@@ -170,3 +170,16 @@ def test_incremental_hotspot_refresh_equals_full_recompute(spark):
     full = an.hotspots(fact, w.sector, w.map, w.episode)
     assert sorted(inc.collect()) == sorted(full.collect())
     assert sorted(r.id_mapa for r in inc.collect()) == [1, 2]
+
+
+def test_pair_count_formula_with_repeated_players(spark):
+    from ticklake.plans.primitives import _pair_count
+    rows = [(1, 0, p) for p in (1, 1, 2, 3, 3, 3)] + [(1, 1, 5)]
+    df = spark.createDataFrame(rows, "id_partida int, tic int, id_jugador long")
+    a, b = df.alias("a"), df.alias("b")
+    brute = (a.join(b, (F.col("a.id_partida") == F.col("b.id_partida")) & (F.col("a.tic") == F.col("b.tic"))
+                    & (F.col("a.id_jugador") < F.col("b.id_jugador")))
+             .groupBy("a.id_partida", "a.tic").count().collect())
+    got = _pair_count(df, ["id_partida", "tic"]).collect()
+    assert sorted((r.id_partida, r.tic, r.pares) for r in got) == \
+        sorted((r.id_partida, r.tic, r["count"]) for r in brute) == [(1, 0, 11)]

@@ -257,21 +257,25 @@ def join_composite_key(w):
     return per.withColumnRenamed("id_jugador", "id_usuario").join(ans, ["id_usuario", "id_partida"])
 
 
+def _pair_count(df, group):
+    """Rows of the self-join ``a.id < b.id`` within each group, without emitting
+    them: with c rows per player, sum over p < q of c_p * c_q = (S^2 - sum c^2) / 2."""
+    per = df.groupBy(*group, "id_jugador").agg(F.count(F.lit(1)).alias("c"))
+    g = per.groupBy(*group).agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    return g.select(*group, ((F.col("s") * F.col("s") - F.col("q")) / 2).cast("long").alias("pares")) \
+        .filter(F.col("pares") > 0)
+
+
 @prim("join_self_pairs")
 def join_self_pairs(w):
-    """Unordered pairs per (session, tick), counted as n(n-1)/2 without emitting them."""
-    n = w.tick_event.groupBy("id_partida", "tic").agg(F.count_distinct("id_jugador").alias("n"))
-    return n.select("id_partida", "tic", (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("pares")) \
-        .filter(F.col("pares") > 0)
+    """Unordered pairs per (session, tick), counted from per-player row counts."""
+    return _pair_count(w.tick_event, ["id_partida", "tic"])
 
 
 @prim("join_self_pairs_sector")
 def join_self_pairs_sector(w):
-    n = (w.tick_event.filter(F.col("id_sector").isNotNull())
-         .groupBy("id_partida", "tic", "id_sector").agg(F.count_distinct("id_jugador").alias("n")))
-    return n.select("id_partida", "tic", "id_sector",
-                    (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("pares")) \
-        .filter(F.col("pares") > 0)
+    return _pair_count(w.tick_event.filter(F.col("id_sector").isNotNull()),
+                       ["id_partida", "tic", "id_sector"])
 
 
 @prim("join_left_outer_filtered")
