@@ -147,7 +147,12 @@ def mark_duplicates(df: DataFrame, fact_keys: DataFrame) -> DataFrame:
     # ``df`` is read twice (aggregate and join back): callers persist it
     # first (``IngestJob``, ``Warehouse``) so the classification runs once.
     firsts = df.groupBy(*FACT_KEY).agg(F.min(F.when(cand, order)).alias("_first"))
-    core = fact_keys.select(*FACT_KEY).distinct().withColumn("_in_core", F.lit(True))
+    # Only fact keys that this batch's candidates carry: a semi join against a
+    # batch-sized key set (broadcast when measured small) before the distinct,
+    # so a load costs a scan of the fact's keys, not a shuffle of all of them.
+    batch_keys = df.filter(cand).select(*FACT_KEY).distinct()
+    core = (fact_keys.select(*FACT_KEY).join(batch_keys, list(FACT_KEY), "left_semi")
+            .distinct().withColumn("_in_core", F.lit(True)))
     out = (df.join(firsts, list(FACT_KEY), "left")
            .join(core, list(FACT_KEY), "left"))
     return (out
