@@ -1,6 +1,6 @@
-"""DuckDB oracle SQL for the analytical jobs, written close to the reference's
-own SQL (joins before grouping, correlated subqueries, RANK windows) so that
-it is an independent formulation of the same questions."""
+"""DuckDB oracle SQL for the analytical jobs: each question restated as plain
+SQL over the bound tables (joins, GROUP BY, correlated subqueries, RANK
+windows), independent of the Spark plans it checks."""
 
 from __future__ import annotations
 

@@ -1,8 +1,8 @@
-"""DuckDB oracle for the validating load, written step by step like the
-reference (each reason its own SELECT with repeated validity conditions and
-EXISTS / NOT EXISTS subqueries), with the documented divergences: OVERFLOW
-instead of an abort, UNCLASSIFIED for rows no step selects, and a total
-order (load time, origin, raw line) for the first row per key."""
+"""DuckDB oracle for the validating load: one SELECT per reason with EXISTS /
+NOT EXISTS subqueries (a stepwise formulation, unlike the single-pass Spark
+classifier it checks), including the documented divergences: OVERFLOW instead
+of an abort, UNCLASSIFIED for rows no step selects, and a total order (load
+time, origin, raw line) for the first row per key."""
 
 from __future__ import annotations
 
