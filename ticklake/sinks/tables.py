@@ -21,11 +21,18 @@ def write_batch(df: DataFrame, path: str, batch_col: str = BATCH_COL) -> None:
      .partitionBy(batch_col).parquet(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists, on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
+    """The stored table, or an empty frame of ``schema`` before its first write."""
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - path not created yet
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def insert_if_absent(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
