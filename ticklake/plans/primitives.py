@@ -121,11 +121,12 @@ def snk_materialize_refresh(w):
     """Materialize the hotspot view on the pre-loaded fact, load the batch, then
     refresh incrementally (touched maps only) into a new version."""
     root = _uid(w, "mv")
-    v1 = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), f"{root}/v1")
+    by_map = ("id_mapa", F.desc("total_eventos"))       # the view's (map, events desc) index
+    v1 = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), f"{root}/v1", by_map)
     new_rows = C.accepted(ing.classified(w)).withColumn("id_evento", F.lit(-1).cast("long"))
     fact = w.preloaded_fact.select(*new_rows.columns).unionByName(new_rows)
     return SK.materialize(an.refresh_hotspots(v1, fact, new_rows, w.sector, w.map, w.episode),
-                          f"{root}/v2")
+                          f"{root}/v2", by_map)
 
 
 @prim("snk_clustered_layout")

@@ -45,10 +45,11 @@ def reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Create or refresh a materialized result (SNK-5): full recompute, overwrite, read back."""
+def materialize(df: DataFrame, path: str, sort_by=()) -> DataFrame:
+    """Create or refresh a materialized result (SNK-5): write (optionally sorted
+    inside files, the re-aimed index of the view), overwrite, read back."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path)
+    (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
