@@ -134,7 +134,11 @@ class IngestJob:
         cls_path = scratch_path(self.spark, f"ingest/{batch_id}/classified")
         primary.write.mode("overwrite").parquet(cls_path)
         stored = self.spark.read.parquet(cls_path)
-        cls = C.mark_duplicates(stored, self.current_fact(batch_id))
+        # The duplicate checks scan the fact's key columns; persist their result
+        # so the two outputs below do not scan the fact twice.
+        flagged_path = scratch_path(self.spark, f"ingest/{batch_id}/flagged")
+        C.mark_duplicates(stored, self.current_fact(batch_id)).write.mode("overwrite").parquet(flagged_path)
+        cls = self.spark.read.parquet(flagged_path)
 
         loaded_at = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
         log = C.reject_log(cls, registered_at=loaded_at, batch_id=batch_id)
