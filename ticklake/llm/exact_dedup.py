@@ -47,11 +47,12 @@ def radix_classes(rows: DataFrame) -> DataFrame:
             digit = F.substring("tail", lo - HEAD + 1, hi - lo)
             ended = F.length("tail") < hi - HEAD
         here = rows.select(RID, digit.alias("digit"), ended.alias("ended"))
-        here = here.withColumn("cls", F.lit(0).cast("long")) if first else alive.join(here, RID)
+        # Merged at every size: the shuffle of the digits then grows in proportion.
+        here = here.withColumn("cls", F.lit(0).cast("long")) if first else alive.hint("merge").join(here, RID)
         groups = (here.groupBy("cls", "digit", "ended")
                   .agg(F.min(RID).alias("new"), F.count(F.lit(1)).alias("n"))
                   .filter("n > 1").drop("n"))
-        split = here.join(groups, ["cls", "digit", "ended"]).select(
+        split = here.join(groups.hint("merge"), ["cls", "digit", "ended"]).select(
             RID, F.col("new").alias("cls"), "ended")
         split = stored(split, "radix-round")
         done.append(split.filter("ended").drop("ended"))
