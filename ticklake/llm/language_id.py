@@ -35,6 +35,8 @@ PER_LANGUAGE = 800
 #: Every so many of the sampled rows calibrate the temperature.
 CALIBRATE_EVERY = 5
 EPOCHS = 3
+#: Languages whose shares are written into the filter.
+AT_HAND = 200
 #: FTRL: learning rate and the elastic-net penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-3
 #: Code points that numpy handles at a time.
@@ -75,22 +77,28 @@ def counts(text: str) -> np.ndarray | None:
     return out if letter else None
 
 
-def _row(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sparse(text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """(features, damped counts) of a text; None without a letter."""
     c = counts(text)
+    if c is None:
+        return None
     at = np.flatnonzero(c)
-    x = (1 + np.log(c[at])) * idf[at]
-    return at, (x / max(np.sqrt((x * x).sum()), 1e-9)).astype(np.float32)
+    return at.astype(np.int32), (1 + np.log(c[at])).astype(np.float32)
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    return x / max(np.sqrt((x * x).sum()), 1e-9)
 
 
 def fit(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray, float]:
     """Languages, weights times idf (HASHED x languages; last row unused) and temperature."""
-    usable = [(t, lang, c) for t, lang in zip(texts, langs) if (c := counts(t)) is not None]
-    names = sorted({lang for _, lang, _ in usable})
+    usable = [(lang, *f) for t, lang in zip(texts, langs) if (f := sparse(t)) is not None]
+    names = sorted({lang for lang, _, _ in usable})
     df = np.zeros(HASHED)
-    for _, _, c in usable:
-        df += c > 0
+    for _, at, _ in usable:
+        df[at] += 1
     idf = np.log((1 + len(usable)) / (1 + df)) + 1
-    data = [(*_row(t, idf), names.index(lang)) for t, lang, _ in usable]
+    data = [(at, scaled(x * idf[at]).astype(np.float32), names.index(lang)) for lang, at, x in usable]
     keep = [d for k, d in enumerate(data) if (k + 1) % CALIBRATE_EVERY]
     rest = [d for k, d in enumerate(data) if (k + 1) % CALIBRATE_EVERY == 0] or keep
     z, n = np.zeros((HASHED, len(names))), np.zeros((HASHED, len(names)))
@@ -133,8 +141,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = rows.filter(~F.col("out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = rows.groupBy("lang").count().select("lang", (F.lit(per_language) / F.col("count")).alias("share"))
     draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    # The draw reads ids and languages; texts are fetched for the drawn rows only.
-    drawn = rows.join(share, "lang").filter(draw < F.col("share")).select("id", "text", "lang")
+    # A draw where the rows are scanned: only drawn texts are moved. The shares
+    # (one number a language) go into the filter, or are joined if they are many.
+    some = share.limit(AT_HAND + 1).collect()
+    if len(some) <= AT_HAND:
+        chance = F.lit(0.0)
+        for r in some:
+            chance = F.when(F.col("lang") == r.lang, r.share).otherwise(chance)
+        drawn = rows.filter(draw < chance)
+    else:
+        drawn = rows.join(share, "lang").filter(draw < F.col("share"))
+    drawn = drawn.select("id", "text", "lang")
 
     def learn(batches):
         seen: dict[str, list[tuple[str, str]]] = {}
@@ -148,7 +165,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         if names:
             yield pa.record_batch({"names": [names], "w": [w.tobytes()], "t": [t]})
 
-    got = drawn.coalesce(1).mapInArrow(learn, "names array<string>, w binary, t double").collect()
+    got = drawn.repartition(1).mapInArrow(learn, "names array<string>, w binary, t double").collect()
     if not got:
         return None
     names = list(got[0].names)
@@ -164,13 +181,12 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
     schema = ", ".join(f"{c} {t}" for c, t in rows.drop("text").dtypes) + ", lang_pred string, score double"
 
     def label(text):
-        c = counts(text) if text and model else None
-        if c is None:
+        f = sparse(text) if text and model else None
+        if f is None:
             return "und", 0.0
         names, w, t = model
-        at = np.flatnonzero(c)
-        x = (1 + np.log(c[at])) * w[at, 0]
-        s = (x / max(np.sqrt((x * x).sum()), 1e-9)) @ w[at, 1:] / t
+        at, x = f
+        s = scaled(x * w[at, 0]) @ w[at, 1:] / t
         p = np.exp(s - s.max())
         k = int(p.argmax())
         return names[k], float(p[k] / p.sum())
