@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,11 +62,13 @@ def test_against_brute_force(spark, monkeypatch, seed, piece):
     rows += [rows[7], (None, rows[7][1]), (None, rows[9][1]), (None, rows[9][1])]
     if piece < 100:  # in this process only: the functions run on a local list
         monkeypatch.setattr(sk, "PIECE", piece)
-        hashes, prefix = sd.WordHashes(), sk.Prefix()
+        monkeypatch.setattr(sk, "STRETCH", 5)
+        prefix = sk.Prefix()
         for _, t in rows[:40]:
-            w = sd.split(t)
-            starts = [lo + s for lo, a in sd.anchors(w, hashes, prefix) for s in a.windows(range(len(a.first)) and [*range(len(a.first))])[0]]
-            assert sorted(starts) == list(range(max(0, len(w) - 12)))
+            data = sd.encoded(t)
+            starts = [lo + s for lo, a in sd.anchors(data, prefix) for s in a.windows(np.arange(len(a.first)))[0]]
+            assert sorted(starts) == list(range(max(0, len(data.split()) - 12)))
+            assert len(set(data.split())) == len(set(sk.word_hashes(data, prefix)))
         return
     assert run(spark, rows) == brute(rows)
 
@@ -75,7 +78,6 @@ def test_empty_table(spark):
 
 
 def test_settle_answers_what_it_sees():
-    import numpy as np
     keys, owners = np.array([5, 5, 5, 7, 7, 9], np.uint64), np.array([3, 1, 1, 2, 2, 4])
     k, o, a = sk.settle(keys, owners, sk.SMALLER)
     assert list(zip(k, o, a)) == [(5, 1, False), (5, 3, True), (7, 2, False), (9, 4, False)]

@@ -7,8 +7,10 @@ by an exact bound. A fixed part of the hash space selects shingles; a shingle
 selected in one set is selected in every set that has it. If more of x's selected
 shingles occur nowhere else than a similar pair may have in difference, x has
 no partner. The few sets with too few selected shingles for the bound select
-with a larger part, among themselves too. What remains are families: sets
-linked through their selected shingles. Similar sets are in one family.
+with a larger part, among themselves too. Of the rest, a similar pair must
+share one of the rarest selected shingles of each (as many as may differ, and
+one more; rarest by exact counts over what is left, one order for all). Sets
+linked through those are a family; similar sets are in one family.
 
 A family is a region. A region of more than LEAF sets takes pivots; each set
 goes to the Voronoi cell of its nearest pivot, and also to every cell whose
@@ -45,33 +47,28 @@ from pyspark.sql import functions as F
 from ticklake.llm import shared_keys as sk
 from ticklake.llm.common import drop_space, stored
 from ticklake.llm.components import components
-from ticklake.llm.substring_dedup import WordHashes
 
 NGRAM = 5
 #: Percent.
 THRESHOLD = 80
 RADIUS = 1 - THRESHOLD / 100
 #: Parts of the hash space that select shingles, the last all of it.
-PARTS = (0.3, 0.6, 1.0)
+PARTS = (0.4, 0.7, 1.0)
 #: Sets that are compared at once, and pivots of a region.
 LEAF = 192
 PIVOTS = 8
 #: Shingles of a family (or a chunk of one) that one task holds.
 CROWD = 3_000_000
-BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
+def shingles(text: str | None, prefix: sk.Prefix) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    w = hashes.of(words)
+    w = sk.word_hashes(text.encode("utf-8", "surrogatepass").lower(), prefix) if text else np.zeros(0, np.uint64)
     if not len(w):
         return w
     size = min(NGRAM, len(w))
-    h = np.full(len(w) - size + 1, np.uint64(size))
-    for k in range(size):
-        h = sk.mix64(h * BASE + w[k:len(w) - size + 1 + k])
-    return np.unique(h)
+    at = np.arange(len(w) - size + 1)
+    return np.unique(prefix.hash(prefix.sums(w), at, at + size))
 
 
 def digest(s: np.ndarray) -> bytes:
@@ -111,11 +108,11 @@ def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         ids, ns, chosen, os = (np.array([m[k] for m in meta], np.int64) for k in (0, 1, 2, 4))
         names = np.frombuffer(b"".join(m[3] for m in meta), "V16")
         block = sk.send(np.concatenate(keys), np.concatenate(owners), sk.SHARED, n)
-        own = sk.pack({"row": (sk.bucket_of(os, n), (ids, ns, os, names, chosen))})
+        own = sk.pack({"row": (sk.bucket_of(os, n), (ids, ns, chosen, names, os))})
         return block, own
 
     def blocks(batches):
-        hashes = WordHashes()
+        prefix = sk.Prefix()
         meta, keys, owners, size = [], [], [], 0
 
         def out():
@@ -127,7 +124,7 @@ def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
 
         for b in batches:
             for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                s = shingles(text, hashes)
+                s = shingles(text, prefix)
                 if not len(s):
                     continue
                 d = digest(s)
@@ -153,9 +150,9 @@ def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         none = lambda kind: pa.nulls(len(t), kind)
         for c, kind in (("id", pa.int64()), ("n", pa.int64()), ("chosen", pa.int64()), ("digest", pa.binary())):
             t = t.append_column(c, none(kind))
-        who = sk.unpack(block["row_2"], np.int64)
+        who = sk.unpack(block["row_4"], np.int64)
         rows = pa.table({"owner": who, "keys": pa.nulls(len(who), pa.list_(pa.int64())), "id": sk.unpack(block["row_0"], np.int64),
-                         "n": sk.unpack(block["row_1"], np.int64), "chosen": sk.unpack(block["row_4"], np.int64), "digest": pa.array([x.tobytes() for x in sk.unpack(block["row_3"], "V16")], pa.binary())})
+                         "n": sk.unpack(block["row_1"], np.int64), "chosen": sk.unpack(block["row_2"], np.int64), "digest": pa.array([x.tobytes() for x in sk.unpack(block["row_3"], "V16")], pa.binary())})
         return pa.concat_tables([t, rows])
 
     schema = sk.packed(ask=2, done=2, row=5)
@@ -167,19 +164,25 @@ def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     return found.filter("keys is null").select("owner", "digest", "id", "n", "chosen"), keys
 
 
-def _survivors(sets: DataFrame, n: int) -> DataFrame:
-    """(owner, id, n, chosen, keys) without the sets that keep too many selected shingles to themselves.
+def _survivors(sets: DataFrame) -> DataFrame:
+    """(owner, id, n, chosen, keys): sets that may have a partner, with the selected shingles that can prove it.
 
-    A second look counts only what the sets left by the first one share.
+    Sets that keep too many selected shingles to themselves go. Those that stay
+    keep their rarest ones: if x may lack s of its shingles in a similar set, then
+    one of any s + 1 selected ones is shared, and with one order for all sets
+    one is among the s + 1 first of both. Shingles that no other set has come
+    first in that order, so they take places but need not be kept.
     """
-    bound = f"chosen - size(keys) <= n * {100 - THRESHOLD} div 100"
-    sets = stored(sets.filter(bound), "jaccard-sets")
-
-    def keys_of(batch):
-        return [(o, k.view(np.uint64)) for o, k in zip(batch.column("owner").to_pylist(), sk.lists(batch.column("keys")))]
-
-    again = sk.shared(sets.select("owner", "keys"), keys_of, sk.SHARED, n)
-    return stored(sets.drop("keys").join(again, "owner").filter(bound), "jaccard-alive")
+    slack = f"n * {100 - THRESHOLD} div 100"
+    sets = stored(sets.filter(f"chosen - size(keys) <= {slack}"), "jaccard-sets")
+    rows = sets.select("owner", F.explode("keys").alias("key"))
+    # Counts are combined before the shuffle; a key of many sets stays spread in the join.
+    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    ranked = rows.join(many, "key").groupBy("owner").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("keys"))
+    alive = sets.drop("keys").join(ranked, "owner").filter(f"chosen - size(keys) <= {slack}")
+    first = F.expr(f"if(chosen = 0, size(keys), int({slack} + 1 - (chosen - size(keys))))")
+    keys = F.transform(F.slice("keys", F.lit(1), first), lambda k: k["key"])
+    return stored(alive.withColumn("keys", keys), "jaccard-alive")
 
 
 def _leaders(sets: DataFrame, n: int) -> DataFrame:
@@ -319,7 +322,7 @@ def _family_links(members: DataFrame, n: int) -> DataFrame:
     """Edges (a, b) of the families (cluster, owner, text, home): exact links within each cluster's home sets and with its guests."""
 
     def join(block: pa.Table) -> pa.Table:
-        hashes = WordHashes()
+        prefix = sk.Prefix()
         cluster = block["cluster"].to_numpy()
         order = np.argsort(cluster, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(cluster[order]) != 0))
@@ -328,7 +331,7 @@ def _family_links(members: DataFrame, n: int) -> DataFrame:
         for lo, hi in zip(starts, np.append(starts[1:], len(order))):
             seen = {}
             for r in order[lo:hi]:
-                s = shingles(text[int(r)].as_py(), hashes)
+                s = shingles(text[int(r)].as_py(), prefix)
                 if _name(s) == owner[r]:  # rows may share an id
                     seen.setdefault(owner[r], (s, home[r]))
             who, sets, at_home = list(seen), [s for s, _ in seen.values()], np.array([h for _, h in seen.values()], bool)
@@ -362,9 +365,9 @@ def _crowded_links(members: DataFrame, sizes: DataFrame, n: int, crowd: int) ->
     meet = rows.select("cluster", "owner", "text", F.lit(False).alias("pivot"), "chunk").unionByName(at_all)
 
     def distances(block: pa.Table) -> pa.Table:
-        hashes = WordHashes()
+        prefix = sk.Prefix()
         owner, pivot = block["owner"].to_numpy(), block["pivot"].to_numpy()
-        sets = [shingles(t.as_py(), hashes) for t in block["text"]]
+        sets = [shingles(t.as_py(), prefix) for t in block["text"]]
         mine, theirs = np.flatnonzero(~pivot), np.flatnonzero(pivot)
         out = []
         for lo in range(0, len(mine), LEAF):
@@ -411,9 +414,9 @@ def _same_set(members: DataFrame) -> DataFrame:
     """One row for each owner, of those whose text has its set (rows may share an id)."""
 
     def own(batches):
-        hashes = WordHashes()
+        prefix = sk.Prefix()
         for b in batches:
-            fits = [_name(shingles(t, hashes)) == o for o, t in zip(b.column("owner").to_pylist(), b.column("text").to_pylist())]
+            fits = [_name(shingles(t, prefix)) == o for o, t in zip(b.column("owner").to_pylist(), b.column("text").to_pylist())]
             yield b.filter(pa.array(fits, pa.bool_()))
 
     return members.mapInArrow(own, members.schema).dropDuplicates(["owner"])
@@ -429,7 +432,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd
         F.min("digest").alias("least"), F.max("digest").alias("most")), "jaccard-nodes")
     if not nodes.filter("least <> most").isEmpty():
         raise ValueError("two different sets share a 64-bit name")
-    alive = _survivors(nodes.drop("least", "most").join(keys, "owner"), n)
+    alive = _survivors(nodes.drop("least", "most").join(keys, "owner"))
     family = components(_leaders(alive.select("owner", "keys"), n)).select(F.col("node").alias("owner"), F.col("root").alias("cluster"))
     family = stored(alive.select("owner", "id", "n").join(family, "owner"), "jaccard-families")
     sizes = family.groupBy("cluster").agg(F.sum("n").alias("shingles"))

@@ -23,8 +23,6 @@ Only the id and the text are read. Keys have 64 bits.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,21 +36,6 @@ WINDOW = 13
 GRAM = 4
 #: Grams of a window.
 SPREAD = WINDOW - GRAM + 1
-#: Distinct words whose hash a task remembers.
-REMEMBERED = 1 << 20
-
-
-class WordHashes(dict):
-    """Hash of a word, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 class Anchors:
@@ -79,15 +62,15 @@ class Anchors:
         return starts, self.prefix.hash(self.sums, starts, starts + WINDOW)
 
 
-def split(text: str | None) -> list[bytes]:
-    """Words between the white space of bytes: space and 0x09 to 0x0D."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def encoded(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-def anchors(words: list[bytes], hashes: WordHashes, prefix: sk.Prefix):
+def anchors(data: bytes, prefix: sk.Prefix):
     """(first word, Anchors) of the pieces of a text."""
-    for lo, hi in sk.pieces(len(words), WINDOW):
-        yield lo, Anchors(hashes.of(words[lo:hi]), prefix)
+    values = sk.word_hashes(data, prefix)
+    for lo, hi in sk.pieces(len(values), WINDOW):
+        yield lo, Anchors(values[lo:hi], prefix)
 
 
 def _heads(x: np.ndarray) -> np.ndarray:
@@ -115,11 +98,11 @@ def _seeds(rows: DataFrame, n: int) -> DataFrame:
                         "done": (sk.bucket_of(owner[late], n), (reach[late], owner[late]))})
 
     def blocks(batches):
-        hashes, prefix = WordHashes(), sk.Prefix()
+        prefix = sk.Prefix()
         got, size = [], 0
         for b in batches:
             for owner, text in zip(b.column("owner").to_pylist(), b.column("text").to_pylist()):
-                for _, a in anchors(split(text), hashes, prefix):
+                for _, a in anchors(encoded(text), prefix):
                     got.append((a.seed, a.reach, np.full(len(a.seed), owner, np.int64)))
                     size += len(a.seed)
                 if size >= sk.GATHER // 2:
@@ -156,9 +139,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     seeds = stored(_seeds(rows, n), "substring-seeds")
 
     def keys_of(batch):
-        hashes, prefix = WordHashes(), sk.Prefix()
+        prefix = sk.Prefix()
         for who, text, wanted in zip(batch.column("owner").to_pylist(), batch.column("text").to_pylist(), sk.lists(batch.column("open"))):
-            for _, a in anchors(split(text), hashes, prefix):
+            for _, a in anchors(encoded(text), prefix):
                 yield who, a.windows(np.flatnonzero(sk.member(a.reach, wanted)))[1]
 
     at_ends = rows.hint("merge").join(seeds.filter(F.size("open") > 0).select("owner", "open"), "owner")
@@ -175,14 +158,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.hint("merge").join(known, "owner", "left").select("doc_id", "text", "resolved", "keys")
 
     def run(batches):
-        hashes, prefix = WordHashes(), sk.Prefix()
+        prefix = sk.Prefix()
         for b in batches:
             ids, texts, removed, spans, counts = b.column("doc_id"), [], [], [], []
             for text, resolved, keys in zip(b.column("text").to_pylist(), sk.lists(b.column("resolved")), sk.lists(b.column("keys"))):
-                w = split(text)
+                data = encoded(text)
+                w = data.split()  # at the blanks of bytes: space and 0x09 to 0x0D
                 counts.append(len(w))
                 edge = np.zeros(len(w) + 1, np.int64)
-                for lo, a in anchors(w if resolved is not None or keys is not None else [], hashes, prefix):
+                for lo, a in anchors(data if resolved is not None or keys is not None else b"", prefix):
                     whole = sk.member(a.reach, resolved)
                     np.add.at(edge, lo + a.first[whole], 1)
                     np.add.at(edge, lo + a.last[whole] + WINDOW, -1)

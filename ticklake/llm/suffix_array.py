@@ -48,7 +48,6 @@ GRAM = 8
 #: Different reaches that one bucket's tree holds at most.
 CROWD = 2048
 
-_BYTE = np.array([int.from_bytes(hashlib.blake2b(bytes([k]), digest_size=8).digest(), "little") for k in range(256)], np.uint64)
 _MOST = np.uint64((1 << 64) - 1)
 
 
@@ -96,7 +95,7 @@ class Anchors:
     def __init__(self, data: np.ndarray, prefix: sk.Prefix):
         n = len(data) - WINDOW + 1
         self.data, self.prefix = data, prefix
-        self.sums = prefix.sums(_BYTE[data])
+        self.sums = prefix.sums(sk.BYTE[data])
         at = leftmost_least(grams(data)[:n + SPREAD - 1], SPREAD)
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         #: Windows first[k] to last[k] have anchor at[k].
@@ -139,7 +138,7 @@ def _seeds(rows: DataFrame, n: int) -> DataFrame:
         # Of a reach one entry goes on, marked if there are more; all owners of more have their answer.
         twice = (size > 1)[np.cumsum(new) - 1]
         done = twice & _heads(seed, reach, owner)
-        return sk.pack({"ask": (sk.bucket_of(seed[new], n), (seed[new], reach[new], owner[new], size > 1)),
+        return sk.pack({"ask": (sk.bucket_of(seed[new], n), (seed[new], reach[new], size > 1, owner[new])),
                         "done": (sk.bucket_of(owner[done], n), (reach[done], owner[done]))})
 
     def blocks(batches):
@@ -158,7 +157,7 @@ def _seeds(rows: DataFrame, n: int) -> DataFrame:
 
     def resolve(block: pa.Table) -> pa.Table:
         seed, reach = (sk.unpack(block[f"ask_{j}"], np.uint64) for j in (0, 1))
-        owner, more = sk.unpack(block["ask_2"], np.int64), sk.unpack(block["ask_3"], bool)
+        more, owner = sk.unpack(block["ask_2"], bool), sk.unpack(block["ask_3"], np.int64)
         order = np.lexsort((owner, reach, seed))
         seed, reach, owner, more = seed[order], reach[order], owner[order], more[order]
         new_seed, new = _heads(seed), _heads(seed, reach)
@@ -297,7 +296,7 @@ def _crowded(contexts: DataFrame, n: int) -> DataFrame:
     def windows(prefix, data):
         raw = np.frombuffer(data, np.uint8)
         at = np.arange(len(raw) - WINDOW + 1)
-        return prefix.hash(prefix.sums(_BYTE[raw]), at, at + WINDOW)
+        return prefix.hash(prefix.sums(sk.BYTE[raw]), at, at + WINDOW)
 
     def keys_of(batch):
         prefix = sk.Prefix()
