@@ -9,13 +9,14 @@ from __future__ import annotations
 
 STAR_CTES = r"""
 ev AS (
-  SELECT event_id, ts, user_id, event_type, value, day, hour, k,
+  SELECT event_id, ts, user_id, event_type, value, day, partida, tic, tic // 6 AS hour, k,
          CAST(CASE WHEN event_type = 'view' THEN NULL
-                   WHEN event_type = 'error' THEN (day + 3) % 10
-                   ELSE day % 10 END AS BIGINT) AS sec
+                   WHEN event_type = 'error' THEN (partida + 3) % (SELECT max(s_suppkey) + 1 FROM supplier)
+                   ELSE partida % (SELECT max(s_suppkey) + 1 FROM supplier) END AS BIGINT) AS sec
   FROM (SELECT event_id, ts, user_id, event_type, value,
                CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
-               CAST(hour(ts) AS INTEGER) AS hour,
+               CAST((user_id // 100) * 366 + day AS INTEGER) AS partida,
+               CAST(hour(ts) * 6 + minute(ts) // 10 AS INTEGER) AS tic,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM events) e0
 ),
@@ -42,22 +43,22 @@ player AS (
          CAST(c_custkey AS BIGINT) AS id_usuario FROM customer
 ),
 session AS (
-  SELECT d.day AS id_partida, CAST(s.s_nationkey AS INTEGER) AS id_mapa, d.fecha_inicio,
-         CASE WHEN d.day = 29 THEN NULL ELSE d.fecha_fin END AS fecha_fin,
+  SELECT d.partida AS id_partida, CAST(s.s_nationkey AS INTEGER) AS id_mapa, d.fecha_inicio,
+         CASE WHEN d.partida % 366 = (SELECT max(day) FROM ev) THEN NULL ELSE d.fecha_fin END AS fecha_fin,
          CAST(NULL AS VARCHAR) AS configuracion
-  FROM (SELECT day, min(ts) AS fecha_inicio, max(ts) AS fecha_fin FROM ev GROUP BY day) d
-  LEFT JOIN supplier s ON s.s_suppkey = d.day % 10
+  FROM (SELECT partida, min(ts) AS fecha_inicio, max(ts) AS fecha_fin FROM ev GROUP BY partida) d
+  LEFT JOIN supplier s ON s.s_suppkey = d.partida % (SELECT max(s_suppkey) + 1 FROM supplier)
 ),
 tick_event AS (
-  SELECT CAST(event_id AS BIGINT) AS id_evento, day AS id_partida,
-         CAST(user_id AS BIGINT) AS id_jugador, sec AS id_sector, hour AS tic,
+  SELECT CAST(event_id AS BIGINT) AS id_evento, partida AS id_partida,
+         CAST(user_id AS BIGINT) AS id_jugador, sec AS id_sector, tic,
          CAST(value AS DECIMAL(12,4)) AS pos_x, CAST(k AS DECIMAL(12,4)) AS pos_y,
          CAST(hour AS DECIMAL(12,4)) AS pos_z, CAST(0 AS DECIMAL(8,4)) AS angulo,
          CAST(0 AS DECIMAL(10,4)) AS momentum_x, CAST(0 AS DECIMAL(10,4)) AS momentum_y,
          CAST(0 AS DECIMAL(10,4)) AS momentum_z, CAST(90 AS DECIMAL(6,2)) AS fov,
          k AS salud, 100 AS armadura, CAST(event_id % 50 AS INTEGER) AS municion
   FROM ev
-  QUALIFY row_number() OVER (PARTITION BY day, user_id, hour ORDER BY event_id) = 1
+  QUALIFY row_number() OVER (PARTITION BY partida, user_id, tic ORDER BY event_id) = 1
 ),
 participation AS (
   SELECT DISTINCT CAST(id_partida AS BIGINT) * 4294967296 + id_jugador AS id_participante,
@@ -67,30 +68,30 @@ instrument AS (
   SELECT 1 AS id_instrumento, 'UX_SURVEY' AS nombre, CAST(NULL AS VARCHAR) AS descripcion
 ),
 survey_item AS (
-  SELECT CAST(p_partkey AS BIGINT) AS id_item, p_name AS texto_pregunta, p_type AS dimension,
-         1 AS id_instrumento FROM part WHERE p_partkey < 10
+  SELECT CAST(n_nationkey AS BIGINT) AS id_item, n_name AS texto_pregunta,
+         'region_' || CAST(n_regionkey AS VARCHAR) AS dimension, 1 AS id_instrumento FROM nation
 ),
 survey_response AS (
   SELECT CAST(event_id AS BIGINT) AS id_respuesta, ts AS fecha_respuesta,
-         CAST(user_id AS BIGINT) AS id_usuario, CAST(k % 10 AS BIGINT) AS id_item,
-         1 AS id_instrumento, day AS id_partida,
+         CAST(user_id AS BIGINT) AS id_usuario, CAST(k % 25 AS BIGINT) AS id_item,
+         1 AS id_instrumento, partida AS id_partida,
          TRY_CAST(value AS DECIMAL(5,2)) AS valor_respuesta
-  FROM ev WHERE event_type IN ('signup', 'purchase')
+  FROM ev
 ),
 preloaded_fact AS (
-  SELECT * FROM tick_event WHERE id_evento % 5 = 0
+  SELECT * FROM tick_event WHERE id_partida % 366 * 2 < (SELECT max(day) FROM ev)
 ),
 staging AS (
   SELECT
     CASE WHEN event_id % 31 = 0 THEN NULL
          WHEN event_id % 31 = 1 THEN '  '
-         WHEN event_id % 31 = 2 THEN '0' || CAST(day AS VARCHAR)
-         WHEN event_id % 61 = 7 THEN '99'
-         ELSE CAST(day AS VARCHAR) END AS raw_id_partida,
+         WHEN event_id % 31 = 2 THEN '0' || CAST(partida AS VARCHAR)
+         WHEN event_id % 61 = 7 THEN '2147483647'
+         ELSE CAST(partida AS VARCHAR) END AS raw_id_partida,
     CASE WHEN event_id % 37 = 0 THEN '12x'
-         WHEN event_id % 41 = 0 THEN '999999'
+         WHEN event_id % 41 = 0 THEN '9000000000000000000'
          ELSE CAST(user_id AS VARCHAR) END AS raw_id_jugador,
-    CASE WHEN event_id % 43 = 0 THEN CAST(-hour AS VARCHAR) ELSE CAST(hour AS VARCHAR) END AS raw_tic,
+    CASE WHEN event_id % 43 = 0 THEN CAST(-tic AS VARCHAR) ELSE CAST(tic AS VARCHAR) END AS raw_tic,
     CAST(CAST(value AS DECIMAL(12,4)) AS VARCHAR) AS raw_pos_x,
     CAST(k AS VARCHAR) AS raw_pos_y,
     CAST(hour AS VARCHAR) AS raw_pos_z,

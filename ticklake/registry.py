@@ -11,16 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ticklake.session import configure
-from ticklake.sources.bindings import Warehouse
+from ticklake.sources.bindings import Warehouse, source_stamp
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One bound warehouse per (application, directory): its DataFrames are
-    immutable plans, so queries share them instead of re-deriving the star
-    schema (and re-analysing it) on every call."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """One bound warehouse per (application, directory, state of its files): its
+    DataFrames are immutable plans, so queries share them instead of
+    re-deriving the star schema (and re-analysing it) on every call; changed
+    source files get a warehouse of their own."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source_stamp(spark, sf_dir))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse(spark, sf_dir)
     return _WAREHOUSES[key]

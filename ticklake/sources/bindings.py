@@ -8,12 +8,17 @@ DuckDB oracle (``ticklake.oracle``) derives the same tables in SQL.
     map              <- nation
     sector           <- supplier (acctbal as x, 0 as y)
     volunteer/player <- customer (consent = acctbal >= 0)
-    session          <- events grouped by day; map = nation of supplier (day % 10)
-    tick_event       <- events: session = day, player = user, tick = hour,
-                        first event_id per (session, player, tick)
-    survey_item      <- part with key < 10
-    survey_response  <- events of type signup / purchase
+    session          <- events by day and group of 100 users (a bounded room);
+                        map = nation of the session's supplier, in turn over all;
+                        sessions of the last day are open
+    tick_event       <- events: player = user, tick = ten minutes of the day, first
+                        event_id per (session, player, tick); other copies of a
+                        key are in the staging and end in the reject log
+    survey_item      <- nation, whole
+    survey_response  <- every event
     staging          <- every event as text, with faults injected by event_id
+    preloaded_fact   <- sessions of the first half of the days: the fact before
+                        a load
 """
 
 from __future__ import annotations
@@ -26,22 +31,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import schemas as S
+from ticklake.operators.joins import scalar
 from ticklake.session import scratch_path
 
 # Fixed values of the binding.
 EPOCH_DAY = "2024-01-01"          # day 0 of the session numbering
-OPEN_SESSION = 29                 # the one session left without an end time
-SURVEY_TYPES = ("signup", "purchase")
-FACT_PRELOAD_MOD = 5              # tick_event rows with id % 5 = 0 are pre-loaded
+ROOM = 100                        # users that share a session on a day
+DAYS = 366                        # session id = room * DAYS + day: days of one year
+ITEMS = 25                        # rows of nation at every scale factor
+# Faults that no real key can ever equal: the largest values of the key types.
+NO_PLAYER = "9000000000000000000"
+NO_SESSION = "2147483647"
 
 
 def _str(c):
     return c.cast("string")
 
 
-# Derived tables already written in this application: (app id, sf_dir, table).
-_STORED: set[tuple[str, str, str]] = set()
+# Derived tables already written in this application: (app id, sf_dir, stamp, table).
+_STORED: set[tuple[str, str, str, str]] = set()
 _LOCK = threading.Lock()
+SOURCES = ("region", "nation", "customer", "supplier", "events")
+
+
+def source_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of path, size and modification time of the source files: tables
+    stored from other files are not taken for tables of these."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for name in SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        files = fs.listFiles(path, True) if fs.exists(path) else None
+        while files is not None and files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(seen)).encode()).hexdigest()[:16]
 
 
 class Warehouse:
@@ -51,6 +76,7 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize = materialize
+        self.stamp = source_stamp(spark, self.sf_dir)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -64,9 +90,9 @@ class Warehouse:
         if not self.materialize:
             return df
         app = self.spark.sparkContext.applicationId
-        tag = hashlib.sha1(f"{app}|{self.sf_dir}".encode()).hexdigest()[:16]
+        tag = hashlib.sha1(f"{app}|{self.sf_dir}|{self.stamp}".encode()).hexdigest()[:16]
         path = scratch_path(self.spark, f"star/{tag}/{name}")
-        key = (app, self.sf_dir, name)
+        key = (app, self.sf_dir, self.stamp, name)
         with _LOCK:
             if key not in _STORED:
                 out = df.repartitionByRange(*range_by) if range_by else df
@@ -79,18 +105,32 @@ class Warehouse:
     @cached_property
     def events(self) -> DataFrame:
         ev = self.read("events")
+        day = F.datediff(F.to_date("ts"), F.to_date(F.lit(EPOCH_DAY))).cast("int")
         return ev.select(
-            "event_id", "ts", "user_id", "event_type", "value",
-            F.datediff(F.to_date("ts"), F.to_date(F.lit(EPOCH_DAY))).cast("int").alias("day"),
-            F.hour("ts").cast("int").alias("hour"),
+            "event_id", "ts", "user_id", "event_type", "value", day.alias("day"),
+            (F.floor(F.col("user_id") / ROOM) * DAYS + day).cast("int").alias("partida"),
+            (F.hour("ts") * 6 + F.floor(F.minute("ts") / 10)).cast("int").alias("tic"),
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
 
+    @property
+    def _sectors(self):
+        """Number of sector ids, as a scalar subquery (supplier keys start at 0)."""
+        return scalar(self.read("supplier").agg((F.max("s_suppkey") + 1).alias("n")), "n")
+
+    @property
+    def _last_day(self):
+        return scalar(self.events.agg(F.max("day").alias("d")), "d")
+
+    def _sector_of(self, kind, partida):
+        """Of an event kind (0 view, 1 error, 2 other): none, one off the session's map, the session's."""
+        return (F.when(kind == 0, F.lit(None))
+                .when(kind == 1, (partida + 3) % self._sectors)
+                .otherwise(partida % self._sectors)).cast("long")
+
     @staticmethod
-    def _sector_of(event_type, day):
-        return (F.when(event_type == "view", F.lit(None))
-                .when(event_type == "error", (day + 3) % 10)
-                .otherwise(day % 10)).cast("long")
+    def _kind(event_type):
+        return F.when(event_type == "view", 0).when(event_type == "error", 1).otherwise(2)
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -139,14 +179,15 @@ class Warehouse:
         return self._stored("session", self._derive_session())
 
     def _derive_session(self) -> DataFrame:
-        days = self.events.groupBy("day").agg(F.min("ts").alias("fecha_inicio"),
-                                              F.max("ts").alias("fecha_fin"))
-        sup = self.read("supplier").select("s_suppkey", "s_nationkey")
-        return (days.join(sup, (days.day % 10).cast("long") == sup.s_suppkey, "left")
-                .select(F.col("day").alias("id_partida"),
+        rooms = self.events.groupBy("partida").agg(F.min("ts").alias("fecha_inicio"),
+                                                   F.max("ts").alias("fecha_fin"))
+        rooms = rooms.withColumn("base", (F.col("partida") % self._sectors).cast("long"))
+        sup = self.read("supplier").select(F.col("s_suppkey").cast("long").alias("base"), "s_nationkey")
+        return (rooms.join(sup, "base", "left")
+                .select(F.col("partida").alias("id_partida"),
                         F.col("s_nationkey").cast("int").alias("id_mapa"),
                         "fecha_inicio",
-                        F.when(F.col("day") == OPEN_SESSION, F.lit(None))
+                        F.when(F.col("partida") % DAYS == self._last_day, F.lit(None))
                         .otherwise(F.col("fecha_fin")).cast(S.TS).alias("fecha_fin"),
                         F.lit(None).cast("string").alias("configuracion")))
 
@@ -156,11 +197,11 @@ class Warehouse:
 
     @cached_property
     def survey_item(self) -> DataFrame:
-        return (self.read("part").filter(F.col("p_partkey") < 10)
-                .select(F.col("p_partkey").cast("long").alias("id_item"),
-                        F.col("p_name").alias("texto_pregunta"),
-                        F.col("p_type").alias("dimension"),
-                        F.lit(1).alias("id_instrumento")))
+        return self.read("nation").select(
+            F.col("n_nationkey").cast("long").alias("id_item"),
+            F.col("n_name").alias("texto_pregunta"),
+            F.concat(F.lit("region_"), F.col("n_regionkey").cast("string")).alias("dimension"),
+            F.lit(1).alias("id_instrumento"))
 
     # ----------------------------------------------------------------- facts
     @cached_property
@@ -181,24 +222,20 @@ class Warehouse:
         # Fixed-width aggregation buffers (min_by over numbers) keep this a
         # hash aggregate with map-side combine; the event type is only needed
         # as its sector rule: 0 = view, 1 = error, 2 = other.
-        kind = (F.when(F.col("event_type") == "view", 0)
-                .when(F.col("event_type") == "error", 1).otherwise(2))
+        kind = self._kind(F.col("event_type"))
         eid = F.col("event_id")
-        first = (ev.groupBy("day", "user_id", "hour")
+        first = (ev.groupBy("partida", "user_id", "tic")
                  .agg(F.min(eid).alias("event_id"), F.min_by(kind, eid).alias("kind"),
                       F.min_by("value", eid).alias("value"), F.min_by("k", eid).alias("k")))
-        day = F.col("day")
-        sector = (F.when(F.col("kind") == 0, F.lit(None))
-                  .when(F.col("kind") == 1, (day + 3) % 10).otherwise(day % 10)).cast("long")
         return first.select(
             F.col("event_id").cast("long").alias("id_evento"),
-            F.col("day").alias("id_partida"),
+            F.col("partida").alias("id_partida"),
             F.col("user_id").cast("long").alias("id_jugador"),
-            sector.alias("id_sector"),
-            F.col("hour").alias("tic"),
+            self._sector_of(F.col("kind"), F.col("partida")).alias("id_sector"),
+            "tic",
             F.col("value").cast(S.POS).alias("pos_x"),
             F.col("k").cast(S.POS).alias("pos_y"),
-            F.col("hour").cast(S.POS).alias("pos_z"),
+            F.floor(F.col("tic") / 6).cast(S.POS).alias("pos_z"),
             F.lit(0).cast(S.ANGLE).alias("angulo"),
             F.lit(0).cast(S.MOMENTUM).alias("momentum_x"),
             F.lit(0).cast(S.MOMENTUM).alias("momentum_y"),
@@ -219,46 +256,45 @@ class Warehouse:
     @cached_property
     def survey_response(self) -> DataFrame:
         ev = self.events
-        return (ev.filter(F.col("event_type").isin(*SURVEY_TYPES))
-                .select(F.col("event_id").cast("long").alias("id_respuesta"),
-                        F.col("ts").alias("fecha_respuesta"),
-                        F.col("user_id").cast("long").alias("id_usuario"),
-                        (F.col("k") % 10).cast("long").alias("id_item"),
-                        F.lit(1).alias("id_instrumento"),
-                        F.col("day").alias("id_partida"),
-                        F.col("value").try_cast(S.SCORE).alias("valor_respuesta")))
+        return ev.select(F.col("event_id").cast("long").alias("id_respuesta"),
+                         F.col("ts").alias("fecha_respuesta"),
+                         F.col("user_id").cast("long").alias("id_usuario"),
+                         (F.col("k") % ITEMS).cast("long").alias("id_item"),
+                         F.lit(1).alias("id_instrumento"),
+                         F.col("partida").alias("id_partida"),
+                         F.col("value").try_cast(S.SCORE).alias("valor_respuesta"))
 
     @cached_property
     def preloaded_fact(self) -> DataFrame:
-        """The fact table as it stands before a load (for duplicate-against-core)."""
-        return self.tick_event.filter(F.col("id_evento") % FACT_PRELOAD_MOD == 0)
+        """The fact as it stands before a load: the sessions of the first half of the days."""
+        return self.tick_event.filter(F.col("id_partida") % DAYS * 2 < self._last_day)
 
     # --------------------------------------------------------------- staging
     @cached_property
     def staging(self) -> DataFrame:
         """Every event rendered as the 15 text fields of a telemetry line, with faults."""
         ev = self.events
-        eid, day, hour, k = F.col("event_id"), F.col("day"), F.col("hour"), F.col("k")
+        eid, partida, tic, k = F.col("event_id"), F.col("partida"), F.col("tic"), F.col("k")
         null = F.lit(None).cast("string")
         session = (F.when(eid % 31 == 0, null)
                    .when(eid % 31 == 1, F.lit("  "))
-                   .when(eid % 31 == 2, F.concat(F.lit("0"), _str(day)))
-                   .when(eid % 61 == 7, F.lit("99"))
-                   .otherwise(_str(day)))
+                   .when(eid % 31 == 2, F.concat(F.lit("0"), _str(partida)))
+                   .when(eid % 61 == 7, F.lit(NO_SESSION))
+                   .otherwise(_str(partida)))
         player = (F.when(eid % 37 == 0, F.lit("12x"))
-                  .when(eid % 41 == 0, F.lit("999999"))
+                  .when(eid % 41 == 0, F.lit(NO_PLAYER))
                   .otherwise(_str(F.col("user_id"))))
-        tick = F.when(eid % 43 == 0, _str(-hour)).otherwise(_str(hour))
+        tick = F.when(eid % 43 == 0, _str(-tic)).otherwise(_str(tic))
         health = (F.when(eid % 47 == 0, null)
                   .when(eid % 47 == 1, F.lit(""))
                   .when(eid % 71 == 0, F.lit("99999999999"))
                   .otherwise(_str(k)))
-        sector = _str(self._sector_of(F.col("event_type"), day))
+        sector = _str(self._sector_of(self._kind(F.col("event_type")), partida))
         return ev.select(
             session.alias("raw_id_partida"), player.alias("raw_id_jugador"),
             tick.alias("raw_tic"),
             _str(F.col("value").cast(S.POS)).alias("raw_pos_x"),
-            _str(k).alias("raw_pos_y"), _str(hour).alias("raw_pos_z"),
+            _str(k).alias("raw_pos_y"), _str(F.floor(tic / 6)).alias("raw_pos_z"),
             F.lit("0.0000").alias("raw_angulo"),
             F.lit("0.0000").alias("raw_momentum_x"), F.lit("0.0000").alias("raw_momentum_y"),
             F.lit("0.0000").alias("raw_momentum_z"),
