@@ -1,6 +1,6 @@
-"""DuckDB oracle for the validating load: one SELECT per reason with EXISTS /
-NOT EXISTS subqueries (a stepwise formulation, unlike the single-pass Spark
-classifier it checks), including the documented divergences: OVERFLOW instead
+"""DuckDB SQL for the validating load: every test of a line as a column of one
+table, from which the log and the accepted rows are read, including the
+documented divergences: OVERFLOW instead
 of an abort, UNCLASSIFIED for rows no step selects, and a total order (load
 time, origin, raw line) for the first row per key."""
 
@@ -36,80 +36,49 @@ RANGE_OK = ("TRY_CAST(s.raw_tic AS INTEGER) >= 0 AND TRY_CAST(s.raw_salud AS INT
 SID, PID, TIC = ("TRY_CAST(s.raw_id_partida AS INTEGER)", "TRY_CAST(s.raw_id_jugador AS BIGINT)",
                  "TRY_CAST(s.raw_tic AS INTEGER)")
 SEC = "TRY_CAST(s.raw_id_sector AS BIGINT)"
-PLAYER_EXISTS = f"EXISTS (SELECT 1 FROM player j WHERE j.id_jugador = {PID})"
-SESSION_EXISTS = f"EXISTS (SELECT 1 FROM session p WHERE p.id_partida = {SID})"
-SECTOR_IN_MAP = (f"EXISTS (SELECT 1 FROM session p JOIN map m ON m.id_mapa = p.id_mapa "
-                 f"JOIN sector sec ON sec.id_mapa = m.id_mapa "
-                 f"WHERE p.id_partida = {SID} AND sec.id_sector = {SEC})")
-OK_SO_FAR = f"({VALID}) AND ({FITS}) AND ({RANGE_OK})"
-SECTOR_OK = f"({_blank('s.raw_id_sector')} OR {SECTOR_IN_MAP})"
+SECTOR_BLANK = _blank("s.raw_id_sector")
 
+# One row per staged line with every test as a column; the reason is the first
+# test that fails, and lines without a reason compete for their key.
 STEPS = f"""
-stg AS (SELECT *, concat_ws(chr(9), {", ".join(RAW)}) AS linea FROM staging),
-step1 AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'MISSING_KEY' AS motivo FROM stg s WHERE {MISSING}),
-step2 AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'BAD_TYPE' AS motivo FROM stg s
-          WHERE NOT ({MISSING}) AND ({BAD})),
-step_ovf AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'OVERFLOW' AS motivo FROM stg s
-          WHERE ({VALID}) AND NOT ({FITS})),
-step3 AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'OUT_OF_RANGE' AS motivo FROM stg s
-          WHERE ({VALID}) AND ({FITS}) AND NOT ({RANGE_OK})),
-step4a AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'FK_PLAYER' AS motivo FROM stg s
-          WHERE {OK_SO_FAR} AND NOT {PLAYER_EXISTS}),
-step4b AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'FK_SESSION' AS motivo FROM stg s
-          WHERE {OK_SO_FAR} AND {PLAYER_EXISTS} AND NOT {SESSION_EXISTS}),
-step4c AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'FK_SECTOR' AS motivo FROM stg s
-          WHERE {OK_SO_FAR} AND regexp_matches(s.raw_id_sector, {U}) AND {PLAYER_EXISTS}
-            AND {SESSION_EXISTS} AND NOT {SECTOR_IN_MAP}),
-step5 AS (SELECT s.archivo_origen, s.linea, s.cargado_en, 'NO_CONSENT' AS motivo FROM stg s
-          JOIN player j ON j.id_jugador = {PID} JOIN volunteer u ON u.id_usuario = j.id_usuario
-          WHERE {OK_SO_FAR} AND {SESSION_EXISTS} AND {SECTOR_OK} AND u.consentimiento = FALSE),
-candidatos AS (
-  SELECT s.*, {SID} AS k_partida, {PID} AS k_jugador, {TIC} AS k_tic,
-         ROW_NUMBER() OVER (PARTITION BY {SID}, {PID}, {TIC}
-                            ORDER BY s.cargado_en, s.archivo_origen, s.linea) AS rn
-  FROM stg s
-  JOIN player j ON j.id_jugador = {PID} JOIN volunteer u ON u.id_usuario = j.id_usuario
-  WHERE {OK_SO_FAR} AND {SESSION_EXISTS} AND {SECTOR_OK} AND u.consentimiento = TRUE),
-step6 AS (SELECT archivo_origen, linea, cargado_en, 'DUP_BATCH' AS motivo FROM candidatos WHERE rn > 1),
-step7 AS (SELECT c.archivo_origen, c.linea, c.cargado_en, 'DUP_CORE' AS motivo FROM candidatos c
-          WHERE EXISTS (SELECT 1 FROM preloaded_fact e WHERE e.id_partida = c.k_partida
-                        AND e.id_jugador = c.k_jugador AND e.tic = c.k_tic)),
-classified_rows AS (
-  SELECT archivo_origen, linea, cargado_en FROM step1 UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step2 UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step_ovf UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step3 UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step4a UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step4b UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step4c UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM step5 UNION ALL
-  SELECT archivo_origen, linea, cargado_en FROM candidatos),
-step_hole AS (
-  SELECT archivo_origen, linea, cargado_en, 'UNCLASSIFIED' AS motivo FROM (
-    SELECT archivo_origen, linea, cargado_en FROM stg
-    EXCEPT ALL SELECT archivo_origen, linea, cargado_en FROM classified_rows) h),
+flags AS (
+  SELECT s.*, concat_ws(chr(9), {", ".join("s." + c for c in RAW)}) AS linea,
+         {SID} AS k_partida, {PID} AS k_jugador, {TIC} AS k_tic,
+         ({MISSING}) AS is_missing, coalesce({BAD}, FALSE) AS is_bad, coalesce({VALID}, FALSE) AS is_valid,
+         ({FITS}) AS does_fit, ({RANGE_OK}) AS in_range,
+         j.id_jugador IS NOT NULL AS has_player, p.id_partida IS NOT NULL AS has_session,
+         {SECTOR_BLANK} OR coalesce(sec.id_mapa = p.id_mapa, FALSE) AS sector_fits, u.consentimiento AS consent
+  FROM staging s
+  LEFT JOIN player j ON j.id_jugador = {PID}
+  LEFT JOIN volunteer u ON u.id_usuario = j.id_usuario
+  LEFT JOIN session p ON p.id_partida = {SID}
+  LEFT JOIN sector sec ON sec.id_sector = {SEC}),
+judged AS (
+  SELECT *, CASE WHEN is_missing THEN 'MISSING_KEY' WHEN is_bad THEN 'BAD_TYPE' WHEN NOT is_valid THEN 'UNCLASSIFIED'
+                 WHEN NOT does_fit THEN 'OVERFLOW' WHEN NOT in_range THEN 'OUT_OF_RANGE'
+                 WHEN NOT has_player THEN 'FK_PLAYER' WHEN NOT has_session THEN 'FK_SESSION'
+                 WHEN NOT sector_fits THEN 'FK_SECTOR' WHEN consent IS NULL THEN 'UNCLASSIFIED'
+                 WHEN NOT consent THEN 'NO_CONSENT' END AS fault
+  FROM flags),
+placed AS (
+  SELECT judged.*, row_number() OVER (PARTITION BY k_partida, k_jugador, k_tic, fault IS NULL
+                                      ORDER BY cargado_en, archivo_origen, linea) AS place,
+         core.tic IS NOT NULL AS in_core
+  FROM judged LEFT JOIN preloaded_fact core
+    ON core.id_partida = k_partida AND core.id_jugador = k_jugador AND core.tic = k_tic),
 log AS (
-  SELECT * FROM step1 UNION ALL SELECT * FROM step2 UNION ALL SELECT * FROM step_ovf UNION ALL
-  SELECT * FROM step3 UNION ALL SELECT * FROM step4a UNION ALL SELECT * FROM step4b UNION ALL
-  SELECT * FROM step4c UNION ALL SELECT * FROM step5 UNION ALL SELECT * FROM step6 UNION ALL
-  SELECT * FROM step7 UNION ALL SELECT * FROM step_hole),
+  SELECT archivo_origen, linea, cargado_en, fault AS motivo FROM placed WHERE fault IS NOT NULL
+  UNION ALL SELECT archivo_origen, linea, cargado_en, 'DUP_BATCH' FROM placed WHERE fault IS NULL AND place > 1
+  UNION ALL SELECT archivo_origen, linea, cargado_en, 'DUP_CORE' FROM placed WHERE fault IS NULL AND in_core),
 accepted AS (
-  SELECT DISTINCT ON (k_partida, k_jugador, k_tic)
-         k_partida AS id_partida, k_jugador AS id_jugador,
+  SELECT k_partida AS id_partida, k_jugador AS id_jugador,
          TRY_CAST(NULLIF(trim(raw_id_sector), '') AS BIGINT) AS id_sector, k_tic AS tic,
-         TRY_CAST(raw_pos_x AS DECIMAL(12,4)) AS pos_x, TRY_CAST(raw_pos_y AS DECIMAL(12,4)) AS pos_y,
-         TRY_CAST(raw_pos_z AS DECIMAL(12,4)) AS pos_z,
-         TRY_CAST(NULLIF(trim(raw_angulo), '') AS DECIMAL(8,4)) AS angulo,
-         TRY_CAST(raw_momentum_x AS DECIMAL(10,4)) AS momentum_x,
-         TRY_CAST(raw_momentum_y AS DECIMAL(10,4)) AS momentum_y,
-         TRY_CAST(raw_momentum_z AS DECIMAL(10,4)) AS momentum_z,
-         TRY_CAST(NULLIF(trim(raw_fov), '') AS DECIMAL(6,2)) AS fov,
-         TRY_CAST(raw_salud AS INTEGER) AS salud, TRY_CAST(raw_armadura AS INTEGER) AS armadura,
-         TRY_CAST(raw_municion AS INTEGER) AS municion
-  FROM candidatos c
-  WHERE NOT EXISTS (SELECT 1 FROM preloaded_fact e WHERE e.id_partida = c.k_partida
-                    AND e.id_jugador = c.k_jugador AND e.tic = c.k_tic)
-  ORDER BY k_partida, k_jugador, k_tic, cargado_en, archivo_origen, linea)
+         {", ".join(f"TRY_CAST(NULLIF(trim({c}), '') AS {t}) AS {c[4:]}" for c, t in (
+             ("raw_pos_x", "DECIMAL(12,4)"), ("raw_pos_y", "DECIMAL(12,4)"), ("raw_pos_z", "DECIMAL(12,4)"),
+             ("raw_angulo", "DECIMAL(8,4)"), ("raw_momentum_x", "DECIMAL(10,4)"), ("raw_momentum_y", "DECIMAL(10,4)"),
+             ("raw_momentum_z", "DECIMAL(10,4)"), ("raw_fov", "DECIMAL(6,2)"), ("raw_salud", "INTEGER"),
+             ("raw_armadura", "INTEGER"), ("raw_municion", "INTEGER")))}
+  FROM placed WHERE fault IS NULL AND place = 1 AND NOT in_core)
 """
 
 
@@ -129,5 +98,6 @@ UNION ALL SELECT 'total_core_acumulado', (SELECT COUNT(*) FROM preloaded_fact) +
 UNION ALL SELECT motivo, COUNT(*) FROM log GROUP BY motivo
 ORDER BY cantidad DESC, metrica""")
 SQL["topk_recent_rejects"] = star(STEPS, """
-SELECT archivo_origen AS origen, motivo, linea AS linea_raw, cargado_en FROM log
-ORDER BY cargado_en DESC, linea DESC, motivo DESC LIMIT 10""")
+SELECT row_number() OVER (ORDER BY cargado_en, archivo_origen, linea, motivo) AS id_log, archivo_origen AS origen, motivo,
+       cargado_en AS registrado_en
+FROM log ORDER BY registrado_en DESC, id_log DESC LIMIT 10""")

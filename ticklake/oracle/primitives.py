@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from ticklake import schemas as S
+from ticklake.oracle.analytics import EPISODE_TICKS, NEAR, SECTOR_AT
 from ticklake.oracle.analytics import SQL as A
-from ticklake.oracle.analytics import STEP_CTE
+from ticklake.oracle.analytics import STEPS as WALK
+from ticklake.oracle.analytics import hotspots
 from ticklake.oracle.ingest import RAW, SQL as G, STEPS
 from ticklake.oracle.prelude import dbl_round, dec_avg_round, div_round, star
 
@@ -24,12 +26,6 @@ tstg AS (
   FROM staging)"""
 
 PER_PS = "per_ps AS (SELECT id_jugador, id_partida, COUNT(tic) AS total_tics FROM tick_event GROUP BY id_jugador, id_partida)"
-EPISODE_PLAYER = """
-per_ep AS (
-  SELECT et.id_jugador, e.id_episodio, COUNT(et.tic) AS total_tics
-  FROM tick_event et JOIN session p ON p.id_partida = et.id_partida
-  JOIN map m ON m.id_mapa = p.id_mapa JOIN episode e ON e.id_episodio = m.id_episodio
-  GROUP BY et.id_jugador, e.id_episodio)"""
 
 Q = {}
 
@@ -48,14 +44,14 @@ Q["snk_reject_log"] = G["etl_reject_log"]
 Q["snk_insert_no_conflict"] = G["etl_accept"]
 Q["snk_reload"] = star("", "SELECT * FROM sector")
 Q["snk_view"] = A["v_player_trajectory"]
-_MV_BODY = A["mv_sector_hotspots"].split("\nSELECT e.id_episodio", 1)[1]
-Q["snk_materialize_refresh"] = star(STEPS + """,
+Q["snk_materialize_refresh"] = star(SECTOR_AT + "," + STEPS + """,
 fact_after AS (
   SELECT id_evento, id_partida, id_jugador, id_sector, tic, salud, municion FROM preloaded_fact
   UNION ALL
   SELECT -1, id_partida, id_jugador, id_sector, tic, salud, municion FROM accepted)""",
-    ("SELECT e.id_episodio" + _MV_BODY).replace("FROM tick_event et", "FROM fact_after et"))
-Q["snk_clustered_layout"] = star("", "SELECT * FROM tick_event")
+    hotspots("fact_after"))
+for _layout in ("snk_clustered_layout", "snk_layout_sector", "snk_layout_position", "snk_layout_player"):
+    Q[_layout] = star("", "SELECT * FROM tick_event")
 
 # §2.2 projections
 Q["prj_select_alias"] = star("", "SELECT id_partida AS partida, id_mapa AS mapa, fecha_inicio AS inicio, fecha_fin AS fin FROM session")
@@ -95,9 +91,9 @@ WHERE regexp_matches(raw_tic, {I}) AND TRY_CAST(raw_tic AS INTEGER) < 0""")
 Q["flt_boolean"] = star("", "SELECT id_usuario, codigo_anonimo FROM volunteer WHERE consentimiento = FALSE")
 Q["flt_not_null"] = star("", "SELECT id_partida, fecha_fin FROM session WHERE fecha_fin IS NOT NULL")
 Q["flt_distance"] = A["q2b_pair_distance_sample"]
-Q["flt_rank"] = star(EPISODE_PLAYER + """,
-rk AS (SELECT *, RANK() OVER (PARTITION BY id_episodio ORDER BY total_tics) AS rk FROM per_ep)""",
-                     "SELECT id_episodio, id_jugador, total_tics FROM rk WHERE rk = 1")
+Q["flt_rank"] = star(EPISODE_TICKS, """
+SELECT id_episodio, id_jugador, total AS total_tics FROM episode_ticks t
+WHERE total = (SELECT min(total) FROM episode_ticks u WHERE u.id_episodio = t.id_episodio)""")
 Q["flt_having"] = star("", """
 SELECT id_partida, id_jugador, COUNT(tic) AS total_tics FROM tick_event
 GROUP BY id_partida, id_jugador HAVING COUNT(tic) > 1""")
@@ -124,18 +120,17 @@ SELECT a.id_partida, a.tic, a.id_sector, COUNT(*) AS pares
 FROM tick_event a JOIN tick_event b ON a.id_partida = b.id_partida AND a.tic = b.tic
      AND a.id_sector = b.id_sector AND a.id_jugador < b.id_jugador
 GROUP BY a.id_partida, a.tic, a.id_sector""")
-Q["join_left_outer_filtered"] = star(STEP_CTE, f"""
-SELECT et.id_jugador, et.id_partida, et.tic, {dbl_round("dt.dist_al_anterior", 4)} AS dist_al_anterior
-FROM tick_event et LEFT JOIN dist_steps dt ON dt.id_jugador = et.id_jugador
-     AND dt.id_partida = et.id_partida AND dt.tic = et.tic AND dt.dist_al_anterior IS NOT NULL""")
+Q["join_left_outer_filtered"] = star(WALK, """
+SELECT id_jugador, id_partida, tic, CAST(round(step, 4) AS DECIMAL(18,4)) AS dist_al_anterior
+FROM tick_event LEFT JOIN (SELECT * FROM steps WHERE step IS NOT NULL) USING (id_jugador, id_partida, tic)""")
 Q["join_cross_scalar"] = star(PER_PS + ", pg AS (SELECT SUM(total_tics) AS s, COUNT(*) AS n FROM per_ps)", f"""
 SELECT d.id_jugador, d.id_partida, d.total_tics, {div_round("pg.s", "pg.n", 2)} AS avg_tics
 FROM per_ps d CROSS JOIN pg""")
 Q["join_theta_scalar"] = star(PER_PS + ", pg AS (SELECT SUM(total_tics) AS s, COUNT(*) AS n FROM per_ps)", """
 SELECT d.id_jugador, d.id_partida, d.total_tics FROM per_ps d, pg WHERE d.total_tics * pg.n > pg.s""")
 Q["join_cross_series"] = star("", """
-SELECT pp.id_partida, pp.id_jugador, CAST(s.tic AS INTEGER) AS tic
-FROM participation pp CROSS JOIN generate_series(0, 23) AS s(tic)""")
+SELECT id_partida, id_jugador, CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS tic
+FROM (SELECT id_partida, id_jugador, min(tic) AS lo, max(tic) AS hi FROM tick_event GROUP BY ALL)""")
 Q["join_cross_product"] = star("", "SELECT u.id_usuario, i.id_item FROM volunteer u CROSS JOIN survey_item i")
 Q["join_semi"] = star("", """
 SELECT r.id_respuesta, r.id_usuario FROM survey_response r
@@ -181,18 +176,18 @@ SELECT e.id_episodio, e.nombre_episodio, m.id_mapa, m.codigo_mapa, m.nombre_mapa
 FROM tick_event et JOIN session p ON p.id_partida = et.id_partida JOIN map m ON m.id_mapa = p.id_mapa
 JOIN episode e ON e.id_episodio = m.id_episodio
 GROUP BY e.id_episodio, e.nombre_episodio, m.id_mapa, m.codigo_mapa, m.nombre_mapa""")
-Q["agg_rate_scaled"] = star(STEP_CTE, f"""
-SELECT id_jugador, {dbl_round("SUM(dist_al_anterior) / NULLIF(COUNT(tic), 0) * 35", 4)} AS velocidad_por_segundo
-FROM dist_steps GROUP BY id_jugador""")
+Q["agg_rate_scaled"] = star(WALK, f"""
+SELECT id_jugador, {div_round("sum(step) * 1000000 * 35", "count(*) * 1000000", 4)} AS velocidad_por_segundo
+FROM steps GROUP BY id_jugador""")
 
 # §2.6 windows
 Q["win_lag"] = star("", """
 SELECT id_jugador, id_partida, tic, lag(pos_x) OVER w AS prev_pos_x, lag(pos_y) OVER w AS prev_pos_y,
        lag(pos_z) OVER w AS prev_pos_z
 FROM tick_event WINDOW w AS (PARTITION BY id_jugador, id_partida ORDER BY tic)""")
-Q["win_rank"] = star(EPISODE_PLAYER, """
-SELECT id_jugador, id_episodio, total_tics, RANK() OVER (PARTITION BY id_episodio ORDER BY total_tics ASC) AS rk
-FROM per_ep""")
+Q["win_rank"] = star(EPISODE_TICKS, """
+SELECT id_jugador, id_episodio, total AS total_tics, rank() OVER (PARTITION BY id_episodio ORDER BY total) AS rk
+FROM episode_ticks""")
 Q["win_rank_over_agg"] = star("", """
 SELECT s.id_mapa, et.id_sector, COUNT(et.id_evento) AS total_eventos,
        RANK() OVER (PARTITION BY s.id_mapa ORDER BY COUNT(et.id_evento) DESC) AS rank_en_mapa
@@ -203,27 +198,22 @@ keyed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k_partida, k_jugador, k_tic
           FROM tstg WHERE k_partida IS NOT NULL AND k_jugador IS NOT NULL AND k_tic IS NOT NULL)"""
 Q["win_row_number_dedup"] = star(_KEYED, """
 SELECT k_partida AS id_partida, k_jugador AS id_jugador, k_tic AS tic, linea_raw FROM keyed WHERE rn > 1""")
-Q["win_named"] = star(STEP_CTE, f"""
-SELECT id_jugador, id_partida, tic, {dbl_round("dist_al_anterior", 4)} AS dist_al_anterior FROM dist_steps""")
+Q["win_named"] = star(WALK, """
+SELECT id_jugador, id_partida, tic, CAST(round(step, 4) AS DECIMAL(18,4)) AS dist_al_anterior FROM steps""")
 
 # §2.7 sort, limit, top-k
 Q["sort_multi_key"] = star("", "SELECT id_partida, id_mapa, fecha_inicio FROM session ORDER BY id_mapa, fecha_inicio DESC")
 Q["sort_by_aggregate"] = star("", "SELECT id_jugador, COUNT(*) AS eventos FROM tick_event GROUP BY id_jugador ORDER BY eventos DESC, id_jugador")
 Q["sort_non_projected"] = star("", "SELECT texto_pregunta, dimension FROM survey_item ORDER BY id_item")
-_PAIR_DIST = ("sqrt(CAST((b.pos_x - a.pos_x) * (b.pos_x - a.pos_x) + (b.pos_y - a.pos_y) * (b.pos_y - a.pos_y)"
-              " + (b.pos_z - a.pos_z) * (b.pos_z - a.pos_z) AS DOUBLE))")
-Q["limit_sample"] = star("", f"""
-SELECT a.id_partida, a.id_jugador AS jugador_a, b.id_jugador AS jugador_b, a.tic,
-       {dbl_round(_PAIR_DIST, 4)} AS distancia_euclidiana
-FROM tick_event a JOIN tick_event b ON a.id_partida = b.id_partida AND a.tic = b.tic AND a.id_jugador < b.id_jugador
-WHERE (b.pos_x - a.pos_x) * (b.pos_x - a.pos_x) + (b.pos_y - a.pos_y) * (b.pos_y - a.pos_y) + (b.pos_z - a.pos_z) * (b.pos_z - a.pos_z) <= 2500
-ORDER BY a.id_partida, a.tic, a.id_jugador, b.id_jugador LIMIT 100""")
-Q["argmin_per_group"] = star(STEP_CTE, """
-SELECT DISTINCT d.id_jugador, (SELECT d2.id_partida FROM per_session d2 WHERE d2.id_jugador = d.id_jugador
-   ORDER BY d2.distancia_total ASC, d2.id_partida ASC LIMIT 1) AS partida_mas_corta FROM per_session d""")
-Q["argmax_per_group"] = star(STEP_CTE, """
-SELECT DISTINCT d.id_jugador, (SELECT d2.id_partida FROM per_session d2 WHERE d2.id_jugador = d.id_jugador
-   ORDER BY d2.distancia_total DESC, d2.id_partida ASC LIMIT 1) AS partida_mas_larga FROM per_session d""")
+Q["limit_sample"] = star(NEAR, """
+SELECT id_partida, p AS jugador_a, q AS jugador_b, tic, CAST(round(dist, 4) AS DECIMAL(18,4)) AS distancia_euclidiana
+FROM near ORDER BY id_partida, tic, p, q LIMIT 100""")
+_ENDS = WALK + """,
+ends AS (
+  SELECT id_jugador, min({'d': total, 'p': id_partida}).p AS nearest, -max({'d': total, 'p': -id_partida}).p AS farthest
+  FROM travel WHERE total IS NOT NULL GROUP BY id_jugador)"""
+Q["argmin_per_group"] = star(_ENDS, "SELECT id_jugador, nearest AS partida_mas_corta FROM ends")
+Q["argmax_per_group"] = star(_ENDS, "SELECT id_jugador, farthest AS partida_mas_larga FROM ends")
 Q["distinct_on_first"] = star(TSTG, """
 SELECT DISTINCT ON (k_partida, k_jugador, k_tic) k_partida AS id_partida, k_jugador AS id_jugador, k_tic AS tic, linea_raw
 FROM tstg WHERE k_partida IS NOT NULL AND k_jugador IS NOT NULL AND k_tic IS NOT NULL
@@ -240,13 +230,8 @@ Q["subq_scalar_correlated_agg"] = star("", """
 SELECT t.id_partida, t.id_sector, COUNT(DISTINCT t.tic) AS tics_sector,
        (SELECT COUNT(DISTINCT u.tic) FROM tick_event u WHERE u.id_partida = t.id_partida) AS tics_partida
 FROM tick_event t WHERE t.id_sector IS NOT NULL GROUP BY t.id_partida, t.id_sector""")
-Q["subq_scalar_correlated_topk"] = star(STEP_CTE, """
-SELECT DISTINCT d.id_jugador,
-  (SELECT d2.id_partida FROM per_session d2 WHERE d2.id_jugador = d.id_jugador
-   ORDER BY d2.distancia_total ASC, d2.id_partida ASC LIMIT 1) AS partida_mas_corta,
-  (SELECT d3.id_partida FROM per_session d3 WHERE d3.id_jugador = d.id_jugador
-   ORDER BY d3.distancia_total DESC, d3.id_partida ASC LIMIT 1) AS partida_mas_larga
-FROM per_session d""")
+Q["subq_scalar_correlated_topk"] = star(
+    _ENDS, "SELECT id_jugador, nearest AS partida_mas_corta, farthest AS partida_mas_larga FROM ends")
 Q["subq_exists"] = star(TSTG, """
 SELECT linea_raw, EXISTS (SELECT 1 FROM player p WHERE p.id_jugador = k_jugador) AS existe_jugador,
        EXISTS (SELECT 1 FROM session p WHERE p.id_partida = k_partida) AS existe_partida FROM tstg""")
@@ -272,10 +257,15 @@ SELECT id_evento, CAST(ROUND(pos_x, 2) AS DECIMAL(18,2)) AS x2,
        {div_round("pos_x * 10000", "3 * 10000", 6, 24)} AS x6 FROM tick_event""")
 Q["fn_sqrt_power"] = star("", "SELECT id_evento, sqrt(CAST(pos_x AS DOUBLE)) AS raiz_x, power(CAST(pos_y AS DOUBLE), 2.0) AS y_cuadrado FROM tick_event")
 Q["fn_euclid3"] = star("", f"""
-SELECT id_evento, {dbl_round("sqrt(CAST(pos_x * pos_x + pos_y * pos_y + pos_z * pos_z AS DOUBLE))", 4)} AS dist_origen FROM tick_event""")
+SELECT id_evento, CAST(round(CAST(sqrt(CAST(pos_x * pos_x + pos_y * pos_y + pos_z * pos_z AS DOUBLE)) AS DECIMAL(18,6)), 4)
+                      AS DECIMAL(18,4)) AS dist_origen FROM tick_event""")
 Q["fn_trig"] = star("", f"""
-SELECT id_evento, {dbl_round("100.0 * sin(CAST(tic AS DOUBLE) / 10.0)", 10)} AS seno,
-       {dbl_round("150.0 * cos(CAST(tic AS DOUBLE) / 12.0)", 10)} AS coseno FROM tick_event""")
+SELECT id_evento, {dbl_round("sin(CAST(tic AS DOUBLE))", 10)} AS seno,
+       {dbl_round("cos(CAST(tic AS DOUBLE))", 10)} AS coseno FROM tick_event""")
+Q["fn_random"] = star("", """
+SELECT id_usuario, id_item,
+       CAST(1 + CAST('0x' || substr(md5(id_usuario || ':' || id_item), 1, 8) AS BIGINT) % 401 / 100.0 AS DECIMAL(18,2)) AS valor_respuesta
+FROM volunteer, survey_item""")
 Q["fn_epoch_minutes"] = star("", f"""
 SELECT id_partida, {div_round("epoch_us(fecha_fin) - epoch_us(fecha_inicio)", "60000000", 2)} AS duracion_min FROM session""")
 Q["fn_now_default"] = star("", "SELECT id_partida, coalesce(fecha_fin, now()::TIMESTAMP) >= fecha_inicio AS cerrada_o_en_curso FROM session")
@@ -337,6 +327,10 @@ Q["audit_not_null_length"] = _audit_nn_len()
 Q["surrogate_key"] = star("", """
 SELECT id_partida, id_jugador, ROW_NUMBER() OVER (ORDER BY id_partida, id_jugador) AS id_participante
 FROM participation""")
+Q["surrogate_key_rows"] = star("", """
+SELECT id_evento, id_partida, id_jugador, tic, id_sector, pos_x, salud,
+       (SELECT max(event_id) FROM events) + row_number() OVER (ORDER BY id_partida, id_jugador, tic) AS id_nuevo
+FROM tick_event""")
 Q["rpt_table_counts"] = star(STEPS, """
 SELECT 'evento_telemetria' AS tabla, COUNT(*) AS filas FROM tick_event
 UNION ALL SELECT 'jugador', COUNT(*) FROM player
