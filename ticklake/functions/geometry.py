@@ -1,7 +1,8 @@
 """3-D distance helpers (FN-10, FN-11, FLT-8).
 
 The squared distance is kept in exact decimal arithmetic so a radius test
-``d² <= r²`` has no rounding; the distance itself is a double ``sqrt``.
+``d² <= r²`` has no rounding; the distance itself is a double ``sqrt``, kept
+with six decimals so that sums and averages do not depend on their order.
 """
 
 from __future__ import annotations
@@ -9,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Type of a distance that is summed or averaged.
+STEP = "decimal(18,6)"
+
 
 def sq_dist3(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:
     dx, dy, dz = (b[0] - a[0]), (b[1] - a[1]), (b[2] - a[2])
@@ -16,4 +20,4 @@ def sq_dist3(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column])
 
 
 def dist3(a, b) -> Column:
-    return F.sqrt(sq_dist3(a, b).cast("double"))
+    return F.sqrt(sq_dist3(a, b).cast("double")).cast(STEP)

@@ -7,12 +7,15 @@ collect, no per-row driver work.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.session import scratch_path
+
 
 def _key_text(cols: Sequence[str]):
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
@@ -64,24 +67,28 @@ def not_null_length_violations(df: DataFrame, table: str, not_null: Sequence[str
                                                "s.violaciones")
 
 
-def surrogate_keys(df: DataFrame, natural_key: Sequence[str], name: str, base: int = 0,
+def surrogate_keys(df: DataFrame, natural_key: Sequence[str], name: str, base: int | Column = 0,
                    partitions: int | None = None) -> DataFrame:
     """Dense ids ``base + 1 .. base + n`` in natural-key order (AUD-5).
 
     Equal to ``ROW_NUMBER() OVER (ORDER BY natural_key)`` but distributed: rows
-    are range-partitioned by the key, numbered inside each partition, and
-    shifted by the row counts of the preceding partitions (a table with one
-    row per partition, so its broadcast is bounded by the partition count).
-    The natural key must be unique.
+    are range-partitioned by the key and written once with the number of their
+    partition. Numbers within a partition and the counts of the partitions
+    before it both come from that stored copy: two plans of a range shuffle
+    may sample different bounds, and numbers would not fit. The offsets have
+    one row per partition. The natural key must be unique.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *natural_key).withColumn("__pid", F.spark_partition_id())
+    path = scratch_path(spark, f"surrogate/{uuid.uuid4().hex}")
+    df.repartitionByRange(n, *natural_key).withColumn("__pid", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
     local = ranged.withColumn(
         "__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*natural_key)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("__off"))
+    start = base if isinstance(base, Column) else F.lit(base).cast("long")
     return (local.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, F.lit(base) + F.col("__off") + F.col("__rn"))
+            .withColumn(name, start + F.col("__off") + F.col("__rn"))
             .drop("__pid", "__rn", "__off"))

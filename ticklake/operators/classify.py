@@ -137,28 +137,31 @@ def mark_duplicates(df: DataFrame, fact_keys: DataFrame) -> DataFrame:
     """Flag candidates that are not the first of their key (DUP_BATCH) and
     candidates whose key is already in the fact (DUP_CORE).
 
-    The first row per key is found with a grouped min over the ordering
-    struct (partially aggregated map-side), then joined back: a key with a
-    huge number of copies is split by AQE's skew join instead of sorting all
-    copies in one task as ``row_number()`` would.
+    Only candidates are shuffled; rejected rows pass by. The earliest load time
+    of a key is a grouped minimum over a fixed-width value (a hash aggregate,
+    combined map-side); the whole ordering, raw line included, is compared only
+    among rows that tie on it. Both are joined back, so a key with a huge
+    number of copies is split by AQE's skew join.
     """
     cand = F.col("_reason") == F.lit(CANDIDATE)
-    order = F.struct("cargado_en", "archivo_origen", "linea_raw", "_row_id")
-    # ``df`` is read twice (aggregate and join back): callers persist it
-    # first (``IngestJob``, ``Warehouse``) so the classification runs once.
-    firsts = df.groupBy(*FACT_KEY).agg(F.min(F.when(cand, order)).alias("_first"))
-    # Only fact keys that this batch's candidates carry: a semi join against a
-    # batch-sized key set (broadcast when measured small) before the distinct,
-    # so a load costs a scan of the fact's keys, not a shuffle of all of them.
-    batch_keys = df.filter(cand).select(*FACT_KEY).distinct()
-    core = (fact_keys.select(*FACT_KEY).join(batch_keys, list(FACT_KEY), "left_semi")
+    key = list(FACT_KEY)
+    # ``df`` is read several times: callers persist it first (``IngestJob``,
+    # ``Warehouse``) so the classification runs once.
+    rest = df.filter(~F.coalesce(cand, F.lit(False))).withColumn("_dup_batch", F.lit(False)).withColumn("_dup_core", F.lit(False))
+    own = df.filter(cand)
+    order = F.struct("archivo_origen", "linea_raw", "_row_id")
+    earliest = own.groupBy(*key).agg(F.min("cargado_en").alias("_since"), F.count(F.lit(1)).alias("_copies"))
+    own = own.join(earliest, key)
+    ties = own.filter((F.col("_copies") > 1) & (F.col("cargado_en") == F.col("_since")))
+    firsts = ties.groupBy(*key).agg(F.min(order).alias("_first"))
+    # Only fact keys that this batch's candidates carry, before the distinct.
+    core = (fact_keys.select(*key).join(earliest.select(*key), key, "left_semi")
             .distinct().withColumn("_in_core", F.lit(True)))
-    out = (df.join(firsts, list(FACT_KEY), "left")
-           .join(core, list(FACT_KEY), "left"))
-    return (out
-            .withColumn("_dup_batch", cand & (order != F.col("_first")))
-            .withColumn("_dup_core", cand & F.coalesce(F.col("_in_core"), F.lit(False)))
-            .drop("_first", "_in_core"))
+    own = own.join(firsts, key, "left").join(core, key, "left")
+    late = (F.col("_copies") > 1) & ((F.col("cargado_en") != F.col("_since")) | (order != F.col("_first")))
+    own = (own.withColumn("_dup_batch", late)
+           .withColumn("_dup_core", F.coalesce(F.col("_in_core"), F.lit(False))))
+    return own.select(*rest.columns).unionByName(rest)
 
 
 def classify_primary(staging: DataFrame, player: DataFrame, volunteer: DataFrame,

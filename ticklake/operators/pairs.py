@@ -31,6 +31,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.functions.geometry import STEP
+
 
 def forward_offsets(axes: int) -> list[tuple[int, ...]]:
     """Neighbour offsets lexicographically >= 0: the cell itself and half of the others."""
@@ -115,22 +117,24 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
                    *[F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}") for c in carry],
                    sq.alias("sq_units"))
     return (out.filter(F.col("sq_units") <= F.lit(r_units * r_units))
-            .withColumn("dist", F.sqrt(F.col("sq_units").cast("double") / F.lit(float(10 ** (2 * scale)))))
+            .withColumn("dist", F.sqrt(F.col("sq_units").cast("double") / F.lit(float(10 ** (2 * scale)))).cast(STEP))
             .drop("sq_units"))
 
 
 def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
                 place: str = "id_sector", entity: str = "id_jugador",
-                carry: Sequence[str] = ()) -> DataFrame:
+                carry: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """Rows (instant..., place, a, b, a_*/b_* carried) for a < b at the same place.
 
     NULL places never pair. Input rows are made distinct on
     (instant, place, entity, carry) first, so a pair is emitted at most once
-    per instant and place.
+    per instant and place; ``unique`` says that a key of the input guarantees
+    it, which saves a shuffle of the input.
     """
     instant, carry = list(instant), list(carry)
-    base = (events.select(*instant, place, entity, *carry).filter(F.col(place).isNotNull())
-            .dropDuplicates([*instant, place, entity, *carry]))
+    base = events.select(*instant, place, entity, *carry).filter(F.col(place).isNotNull())
+    if not unique:
+        base = base.dropDuplicates([*instant, place, entity, *carry])
     a = base.select(*instant, place, F.col(entity).alias("a"), *[F.col(c).alias(f"a_{c}") for c in carry])
     b = base.select(*instant, place, F.col(entity).alias("b"), *[F.col(c).alias(f"b_{c}") for c in carry])
     return a.join(b, on=[*instant, place]).filter(F.col("a") < F.col("b"))

@@ -7,11 +7,14 @@ aggregate and joined back, so a hot group is spread over many tasks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.session import scratch_path
+
 
 def rank_first(df: DataFrame, group: Sequence[str], value: str, ascending: bool = True) -> DataFrame:
     """Rows with ``RANK() OVER (PARTITION BY group ORDER BY value) = 1``; ties kept."""
@@ -55,12 +58,23 @@ def rank_distributed(df: DataFrame, group: Sequence[str], value: str, name: str
     """``RANK() OVER (PARTITION BY group ORDER BY value)`` without one task per group.
 
     rank(v) = 1 + number of rows of the group with a smaller value. Rows are
-    first reduced to (group, value, count) - partially aggregated map-side -
-    and only that table is windowed; the rank is joined back on (group, value).
+    first reduced to (group, value, count), partially aggregated map-side. The
+    counts are range-partitioned by (group, value) and stored with the number
+    of their partition, so a group with many values is spread over partitions;
+    a running sum within each partition starts from the sums of the same group
+    in the partitions before it (one row per partition and group met there).
     """
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    spark = df.sparkSession
     order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(*group, value, (F.coalesce(F.sum("__c").over(w), F.lit(0)) + 1)
-                          .alias(name))
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, f"rank/{uuid.uuid4().hex}")
+    counts.repartitionByRange(n, *group, order).withColumn("__pid", F.spark_partition_id()).write.parquet(path)
+    counts = spark.read.parquet(path)
+    sums = counts.groupBy(*group, "__pid").agg(F.sum("__c").alias("__s"))
+    earlier = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, "__pid", F.coalesce(F.sum("__s").over(earlier), F.lit(0)).alias("__off"))
+    here = Window.partitionBy(*group, "__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.withColumn("__in", F.coalesce(F.sum("__c").over(here), F.lit(0)))
+    ranks = within.join(sums, [*group, "__pid"]).select(*group, value, (F.col("__off") + F.col("__in") + 1).alias(name))
     return df.join(ranks, [*group, value], "left")

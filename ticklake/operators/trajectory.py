@@ -78,6 +78,6 @@ def path_length(events: DataFrame, keys: Sequence[str] = ("id_jugador", "id_part
     per_chunk = per_chunk.select(*keys, "__inner", "__n", cross.alias("__cross"))
     g = per_chunk.groupBy(*keys).agg(F.sum("__inner").alias("__i"), F.sum("__cross").alias("__c"),
                                      F.sum("__n").alias("n_rows"))
-    total = F.when(F.col("__i").isNull() & F.col("__c").isNull(), F.lit(None).cast("double")) \
-        .otherwise(F.coalesce("__i", F.lit(0.0)) + F.coalesce("__c", F.lit(0.0)))
+    total = F.when(F.col("__i").isNull() & F.col("__c").isNull(), F.lit(None)) \
+        .otherwise(F.coalesce("__i", F.lit(0)) + F.coalesce("__c", F.lit(0))).cast("decimal(28,6)")
     return g.select(*keys, total.alias("steps_sum"), "n_rows")

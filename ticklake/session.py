@@ -71,7 +71,7 @@ def build(master: str = "local[8]", app: str = "ticklake", shuffle_partitions: i
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("TICKLAKE_DRIVER_MEMORY", "16g"))
+         .config("spark.driver.memory", os.environ.get("TICKLAKE_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **LOCAL_CONF, **(extra or {})}.items():
         b = b.config(k, v)
@@ -84,7 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is left alone. Only when
-    it is unset (local runs, tests) a private scratch folder is created.
+    it is unset in local mode (tests) a private scratch folder is created; on a
+    cluster that is an error, since every executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -92,6 +93,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ticklake-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
