@@ -71,16 +71,17 @@ def main(argv=None):
         from pyspark.sql import functions as F
 
         from ticklake.plans import analytics as an
-        from ticklake.plans.ingest import IngestJob, IngestPaths
+        from ticklake.plans.ingest import RANGE_COL, IngestJob, IngestPaths, session_range
         from ticklake.sinks import tables as SK
         w = registry.warehouse(spark, args.sf)
         out = args.out.rstrip("/")
         for name in ("episode", "map", "sector", "volunteer", "player", "session",
                      "participation", "instrument", "survey_item", "survey_response"):
             SK.reload(w.table(name), f"{out}/{name}")
-        SK.clustered_layout(w.preloaded_fact.withColumn(SK.BATCH_COL, F.lit("seed")),
-                            f"{out}/tick_event", partition_by=[SK.BATCH_COL],
-                            cluster_by=["id_partida"], sort_by=["id_partida", "id_jugador", "tic"])
+        SK.clustered_layout(w.preloaded_fact.withColumn(SK.BATCH_COL, F.lit("seed"))
+                            .withColumn(RANGE_COL, session_range("id_partida")),
+                            f"{out}/tick_event", partition_by=[SK.BATCH_COL, RANGE_COL],
+                            cluster_by=["id_partida", "id_jugador", "tic"], sort_by=["id_partida", "id_jugador", "tic"])
         job = IngestJob(spark, IngestPaths(fact=f"{out}/tick_event", log=f"{out}/log_errores_carga"),
                         w.player, w.volunteer, w.session, w.sector)
         stats = job.run(w.staging, args.batch)

@@ -18,6 +18,7 @@ from ticklake.functions import avg_exact, epoch_minutes, ratio_round, round_to
 from ticklake.operators.joins import scalar
 from ticklake.operators.pairs import co_presence, pair_proximity
 from ticklake.operators.ranking import rank_first, rank_within
+from ticklake.operators.series import series
 from ticklake.operators.trajectory import path_length
 from ticklake.sources.bindings import Warehouse
 
@@ -89,7 +90,7 @@ def q2_pair_proximity(w: Warehouse, radius=NEAR_RADIUS, grid: bool = True) -> Da
     # Grouped by alias through the canonical ids: equal aliases merge.
     g = (pairs.groupBy("id_partida", "a_cj", "b_cj")
          .agg(F.count(F.lit(1)).alias("tics_dentro_umbral"),
-              F.avg("dist").alias("avg_d"), F.min("dist").alias("min_d")))
+              avg_exact("dist").alias("avg_d"), F.min("dist").alias("min_d")))
     names = w.player.select("id_jugador", "alias")
     na = names.select(F.col("id_jugador").alias("a_cj"), F.col("alias").alias("jugador_a"))
     nb = names.select(F.col("id_jugador").alias("b_cj"), F.col("alias").alias("jugador_b"))
@@ -238,7 +239,8 @@ def refresh_hotspots(stored: DataFrame, fact: DataFrame, new_rows: DataFrame, se
 
 # ------------------------------------------------------------------ Q6 / V2
 def copresent_pairs(w: Warehouse, carry=()) -> DataFrame:
-    return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador", carry=carry)
+    # The fact's key is (session, player, tick): rows are distinct already.
+    return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador", carry=carry, unique=True)
 
 
 def q6_copresence_pct(w: Warehouse) -> DataFrame:
@@ -251,7 +253,8 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
     # Joined on (session, tick, sector code) with the sector-id equality as a
     # residual: the join's hash partitioning already holds every duplicate of a
     # (group, tick), so the exact COUNT(DISTINCT tic) needs no shuffle of its own.
-    pairs = co_presence(ev, ("id_partida", "tic"), "cs", "id_jugador", carry=("id_sector", "cj")) \
+    pairs = co_presence(ev, ("id_partida", "tic"), "cs", "id_jugador", carry=("id_sector", "cj"),
+                        unique=True) \
         .filter(F.col("a_id_sector") == F.col("b_id_sector"))
     g = (pairs.groupBy("id_partida", "cs", "a_cj", "b_cj")
          .agg(F.count_distinct("tic").alias("tics_compartidos")))
@@ -340,10 +343,9 @@ def rpt_table_counts(w: Warehouse, reject_log: DataFrame | None = None) -> DataF
     return reduce(DataFrame.unionByName, frames).orderBy("tabla")
 
 
-def tick_grid_gaps(w: Warehouse, first_tick: int = 0, last_tick: int = 23) -> DataFrame:
-    """Ticks missing from each participation's expected grid [first_tick, last_tick]."""
-    grid = w.participation.select(
-        "id_partida", "id_jugador",
-        F.explode(F.sequence(F.lit(first_tick), F.lit(last_tick))).alias("tic"))
+def tick_grid_gaps(w: Warehouse) -> DataFrame:
+    """Ticks missing between a participation's first and last tick."""
+    span = w.tick_event.groupBy("id_partida", "id_jugador").agg(F.min("tic").alias("lo"), F.max("tic").alias("hi"))
+    grid = series(span, ["id_partida", "id_jugador"], "lo", "hi", "tic")
     have = w.tick_event.select("id_partida", "id_jugador", "tic")
     return grid.join(have, ["id_partida", "id_jugador", "tic"], "left_anti")

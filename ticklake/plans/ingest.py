@@ -3,8 +3,12 @@
 ``IngestJob`` is the production path: it persists the classified batch to
 shared storage before writing either output, so the fact it appends to is
 never re-read by the same classification (lazy evaluation would otherwise
-turn accepted rows into DUP_CORE), and each output is a dynamic overwrite
-of the batch's partition, so a crash or re-run yields the same tables.
+turn accepted rows into DUP_CORE), and each output replaces the batch's
+partition as a whole, so a crash or a corrected re-run leaves no rows behind.
+
+The fact is partitioned by batch and by range of sessions (``RANGE`` ids each).
+The duplicate check reads only the ranges that the batch has candidates in, so
+a load costs the keys of its own sessions, not those of the whole fact.
 
 The ``etl_*`` functions expose each step over the bound driver tables.
 """
@@ -12,6 +16,7 @@ The ``etl_*`` functions expose each step over the bound driver tables.
 from __future__ import annotations
 
 import datetime
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +24,24 @@ from pyspark.sql import functions as F
 
 from ticklake import schemas as S
 from ticklake.operators import classify as C
+from ticklake.operators.audit import surrogate_keys
 from ticklake.session import scratch_path
-from ticklake.sinks.tables import BATCH_COL, read_or_empty, write_batch
+from ticklake.sinks.tables import BATCH_COL, delete_path, read_or_empty, write_batch
 from ticklake.sources.bindings import Warehouse
 
 LOG_COLUMNS = ["origen", "linea_raw", "motivo"]
+# Partition column of the fact: ranges of RANGE session ids.
+RANGE_COL = "rango"
+RANGE = 1024
+MOST_RANGES = 512
+
+
+def session_range(session):
+    return F.floor(F.col(session) / RANGE).cast("int")
+
+
+def accepted_row():
+    return (F.col("_reason") == F.lit(C.CANDIDATE)) & ~F.col("_dup_batch") & ~F.col("_dup_core")
 
 
 def classified(w: Warehouse) -> DataFrame:
@@ -84,9 +102,14 @@ def etl_summary(w: Warehouse) -> DataFrame:
 
 
 def topk_recent_rejects(w: Warehouse, k: int = 10) -> DataFrame:
-    """Latest ``k`` log rows by load time, ties broken by line and reason (LIM-1)."""
-    return (reject_log(w).orderBy(F.desc("cargado_en"), F.desc("linea_raw"), F.desc("motivo"))
-            .limit(k).select("origen", "motivo", "linea_raw", "cargado_en"))
+    """The ``k`` rejects registered last, with their log id (LIM-1).
+
+    The bound log is registered as its lines were loaded: log ids number it in
+    the order of (load time, origin, line, reason).
+    """
+    log = reject_log(w).select(F.col("cargado_en").alias("registrado_en"), "origen", "linea_raw", "motivo")
+    log = surrogate_keys(log, ["registrado_en", "origen", "linea_raw", "motivo"], "id_log")
+    return log.orderBy(F.desc("registrado_en"), F.desc("id_log")).limit(k).select("id_log", "origen", "motivo", "registrado_en")
 
 
 def accounting(w: Warehouse) -> DataFrame:
@@ -98,7 +121,7 @@ def accounting(w: Warehouse) -> DataFrame:
 # --------------------------------------------------------------------- job
 @dataclass
 class IngestPaths:
-    fact: str        # tick_event fact, partitioned by id_lote
+    fact: str        # tick_event fact, partitioned by id_lote and session range
     log: str         # reject log, partitioned by id_lote
 
 
@@ -113,11 +136,28 @@ class IngestJob:
         self.seed_fact = seed_fact
 
     def fact_schema(self):
-        return S.T.StructType([*S.TICK_EVENT.fields, S.T.StructField(BATCH_COL, S.S, False)])
+        return S.T.StructType([*S.TICK_EVENT.fields, S.T.StructField(BATCH_COL, S.S, False),
+                               S.T.StructField(RANGE_COL, S.I, False)])
 
-    def current_fact(self, exclude_batch: str) -> DataFrame:
+    def stored_fact(self, exclude_batch: str) -> DataFrame:
         fact = read_or_empty(self.spark, self.paths.fact, self.fact_schema())
-        fact = fact.filter(F.col(BATCH_COL) != F.lit(exclude_batch)).select(*C.FACT_KEY)
+        return fact.filter(F.col(BATCH_COL) != F.lit(exclude_batch))
+
+    def current_fact(self, exclude_batch: str, candidates: DataFrame) -> DataFrame:
+        """Keys of the fact in the session ranges of the candidates.
+
+        Up to MOST_RANGES ranges are named one by one in the partition filter,
+        more by their span: a bounded number of values reaches the driver.
+        """
+        fact = self.stored_fact(exclude_batch)
+        ranges = candidates.select(session_range("id_partida").alias("r")).distinct()
+        named = [x.r for x in ranges.limit(MOST_RANGES + 1).collect()]
+        if len(named) > MOST_RANGES:
+            lo, hi = ranges.agg(F.min("r"), F.max("r")).head()
+            fact = fact.filter(F.col(RANGE_COL).between(lo, hi))
+        else:
+            fact = fact.filter(F.col(RANGE_COL).isin(named))
+        fact = fact.select(*C.FACT_KEY)
         if self.seed_fact is not None:
             fact = fact.unionByName(self.seed_fact.select(*C.FACT_KEY))
         return fact
@@ -129,30 +169,32 @@ class IngestJob:
         # and the write fixes the row ids) on the shared checkpoint storage: the
         # duplicate checks read it twice. The fact snapshot excludes this batch's
         # own partition, so writing the accepted rows cannot change what the
-        # duplicate check sees.
+        # duplicate check sees. The folder is this run's alone: jobs into other
+        # tables may use the same batch id.
         primary = C.classify_primary(staging, self.player, self.volunteer, self.session, self.sector)
-        cls_path = scratch_path(self.spark, f"ingest/{batch_id}/classified")
-        primary.write.mode("overwrite").parquet(cls_path)
-        stored = self.spark.read.parquet(cls_path)
-        # The duplicate checks scan the fact's key columns; persist their result
-        # so the two outputs below do not scan the fact twice.
-        flagged_path = scratch_path(self.spark, f"ingest/{batch_id}/flagged")
-        C.mark_duplicates(stored, self.current_fact(batch_id)).write.mode("overwrite").parquet(flagged_path)
-        cls = self.spark.read.parquet(flagged_path)
+        root = scratch_path(self.spark, f"ingest/{uuid.uuid4().hex}")
+        primary.write.parquet(f"{root}/classified")
+        stored = self.spark.read.schema(primary.schema).parquet(f"{root}/classified")
+        candidates = stored.filter(F.col("_reason") == F.lit(C.CANDIDATE))
+        # Persist the flags so that the two outputs below do not scan the fact twice.
+        flagged = C.mark_duplicates(stored, self.current_fact(batch_id, candidates))
+        flagged.write.parquet(f"{root}/flagged")
+        cls = self.spark.read.schema(flagged.schema).parquet(f"{root}/flagged")
 
         loaded_at = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
         log = C.reject_log(cls, registered_at=loaded_at, batch_id=batch_id)
-        write_batch(log, self.paths.log)
-        acc = C.accepted(cls).select(F.lit(None).cast("long").alias("id_evento"), *C.ACCEPTED_COLUMNS)
-        # Stable event ids for the batch: hash of the key (no global row numbering).
-        acc = acc.withColumn("id_evento", F.xxhash64(F.lit(batch_id), *C.FACT_KEY))
-        acc = acc.select(*[f.name for f in S.TICK_EVENT.fields]).withColumn(BATCH_COL, F.lit(batch_id))
-        write_batch(acc, self.paths.fact)
-        if not stats:
-            return {"batch": batch_id}
-        return {"batch": batch_id,
-                "staging": stored.count(),
-                "rejects": self.spark.read.parquet(self.paths.log)
-                .filter(F.col(BATCH_COL) == batch_id).count(),
-                "accepted": self.spark.read.parquet(self.paths.fact)
-                .filter(F.col(BATCH_COL) == batch_id).count()}
+        write_batch(log, self.paths.log, batch_id)
+        # Event ids go on from the largest one in the fact.
+        top = self.stored_fact(batch_id).agg(F.max("id_evento")).head()[0] or 0
+        if self.seed_fact is not None and "id_evento" in self.seed_fact.columns:
+            top = max(top, self.seed_fact.agg(F.max("id_evento")).head()[0] or 0)
+        acc = surrogate_keys(C.accepted(cls), list(C.FACT_KEY), "id_evento", base=top)
+        acc = (acc.select(*[f.name for f in S.TICK_EVENT.fields]).withColumn(BATCH_COL, F.lit(batch_id))
+               .withColumn(RANGE_COL, session_range("id_partida")))
+        write_batch(acc, self.paths.fact, batch_id, [RANGE_COL])
+        out = {"batch": batch_id}
+        if stats:
+            n = cls.agg(F.count(F.lit(1)).alias("staging"), F.count_if(accepted_row()).alias("accepted")).head()
+            out |= {"staging": n.staging, "accepted": n.accepted, "rejects": log.count()}
+        delete_path(self.spark, root)
+        return out

@@ -21,7 +21,8 @@ from ticklake.functions.numeric import avg_exact
 from ticklake.operators import audit as AU
 from ticklake.operators import classify as C
 from ticklake.operators.joins import existence_flag, scalar, star_chain, with_scalar
-from ticklake.operators.ranking import arg_extreme, first_per_key, rank_distributed, rank_within
+from ticklake.operators.pairs import co_presence
+from ticklake.operators.ranking import arg_extreme, first_per_key, rank_distributed, rank_first, rank_within
 from ticklake.operators.series import series
 from ticklake.operators.trajectory import lag_columns, path_length, step_distances
 from ticklake.plans import analytics as an
@@ -87,9 +88,9 @@ def src_series(w):
 @prim("snk_reject_log")
 def snk_reject_log(w):
     path = _uid(w, "log")
-    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path)
-    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path)   # re-run: same rows
-    return w.spark.read.parquet(path).select(*ing.LOG_COLUMNS)
+    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path, "b1")
+    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path, "b1")   # re-run: same rows
+    return SK.read_or_empty(w.spark, path, S.REJECT_LOG).select(*ing.LOG_COLUMNS)
 
 
 @prim("snk_insert_no_conflict")
@@ -119,21 +120,41 @@ def snk_view(w):
 @prim("snk_materialize_refresh")
 def snk_materialize_refresh(w):
     """Materialize the hotspot view on the pre-loaded fact, load the batch, then
-    refresh incrementally (touched maps only) into a new version."""
+    refresh it in place (touched maps only): readers see the newest finished version."""
     root = _uid(w, "mv")
     by_map = ("id_mapa", F.desc("total_eventos"))       # the view's (map, events desc) index
-    v1 = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), f"{root}/v1", by_map)
+    before = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), root, by_map)
     new_rows = C.accepted(ing.classified(w)).withColumn("id_evento", F.lit(-1).cast("long"))
     fact = w.preloaded_fact.select(*new_rows.columns).unionByName(new_rows)
-    return SK.materialize(an.refresh_hotspots(v1, fact, new_rows, w.sector, w.map, w.episode),
-                          f"{root}/v2", by_map)
+    return SK.materialize(an.refresh_hotspots(before, fact, new_rows, w.sector, w.map, w.episode), root, by_map)
 
 
 @prim("snk_clustered_layout")
 def snk_clustered_layout(w):
-    path = _uid(w, "layout")
-    return SK.clustered_layout(w.tick_event, path, cluster_by=["id_partida"],
-                               sort_by=["id_partida", "id_jugador", "tic"])
+    """By session, player and tick."""
+    return _layout(w, "id_partida", "id_jugador", "tic")
+
+
+@prim("snk_layout_sector")
+def snk_layout_sector(w):
+    """By sector; the event id spreads a sector with many rows over files."""
+    return _layout(w, "id_sector", "id_evento")
+
+
+@prim("snk_layout_position")
+def snk_layout_position(w):
+    """By place on the map."""
+    return _layout(w, "pos_x", "pos_y", "id_evento")
+
+
+@prim("snk_layout_player")
+def snk_layout_player(w):
+    """By player and session."""
+    return _layout(w, "id_jugador", "id_partida", "tic")
+
+
+def _layout(w, *keys):
+    return SK.clustered_layout(w.tick_event, _uid(w, "layout"), cluster_by=keys, sort_by=keys)
 
 
 # ------------------------------------------------------------------ §2.2 projections
@@ -208,8 +229,8 @@ def flt_not_null(w):
 
 @prim("flt_distance")
 def flt_distance(w):
-    """Near pairs by brute force (no grid): must equal the grid variant (Q2b)."""
-    return an.near_pairs(w, grid=False).select(
+    """Pairs of players within the radius at one instant, on the spatial grid."""
+    return an.near_pairs(w).select(
         "id_partida", F.col("a").alias("jugador_a"), F.col("b").alias("jugador_b"), "tic",
         round_to("dist", 4).alias("distancia_euclidiana"))
 
@@ -219,8 +240,7 @@ def flt_rank(w):
     per = (w.tick_event.groupBy("id_jugador", "id_partida").agg(F.count("tic").alias("n"))
            .join(an._session_place(w), "id_partida")
            .groupBy("id_jugador", "id_episodio").agg(F.sum("n").alias("total_tics")))
-    return rank_distributed(per, ["id_episodio"], "total_tics", "rk").filter(F.col("rk") == 1) \
-        .select("id_episodio", "id_jugador", "total_tics")
+    return rank_first(per, ["id_episodio"], "total_tics").select("id_episodio", "id_jugador", "total_tics")
 
 
 @prim("flt_having")
@@ -258,25 +278,18 @@ def join_composite_key(w):
     return per.withColumnRenamed("id_jugador", "id_usuario").join(ans, ["id_usuario", "id_partida"])
 
 
-def _pair_count(df, group):
-    """Rows of the self-join ``a.id < b.id`` within each group, without emitting
-    them: with c rows per player, sum over p < q of c_p * c_q = (S^2 - sum c^2) / 2."""
-    per = df.groupBy(*group, "id_jugador").agg(F.count(F.lit(1)).alias("c"))
-    g = per.groupBy(*group).agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    return g.select(*group, ((F.col("s") * F.col("s") - F.col("q")) / 2).cast("long").alias("pares")) \
-        .filter(F.col("pares") > 0)
-
-
 @prim("join_self_pairs")
 def join_self_pairs(w):
-    """Unordered pairs per (session, tick), counted from per-player row counts."""
-    return _pair_count(w.tick_event, ["id_partida", "tic"])
+    """Unordered pairs of players at one tick of a session (a bounded room), counted per tick."""
+    pairs = co_presence(w.tick_event, ("id_partida",), "tic", unique=True)
+    return pairs.groupBy("id_partida", "tic").agg(F.count(F.lit(1)).alias("pares"))
 
 
 @prim("join_self_pairs_sector")
 def join_self_pairs_sector(w):
-    return _pair_count(w.tick_event.filter(F.col("id_sector").isNotNull()),
-                       ["id_partida", "tic", "id_sector"])
+    """The same within one sector."""
+    pairs = co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", unique=True)
+    return pairs.groupBy("id_partida", "tic", "id_sector").agg(F.count(F.lit(1)).alias("pares"))
 
 
 @prim("join_left_outer_filtered")
@@ -308,16 +321,16 @@ def join_theta_scalar(w):
 
 @prim("join_cross_series")
 def join_cross_series(w):
-    return w.participation.select("id_partida", "id_jugador",
-                                  F.explode(F.sequence(F.lit(0), F.lit(23))).alias("tic"))
+    """Every tick between a participation's first and last."""
+    span = w.tick_event.groupBy("id_partida", "id_jugador").agg(F.min("tic").alias("lo"), F.max("tic").alias("hi"))
+    return series(span, ["id_partida", "id_jugador"], "lo", "hi", "tic")
 
 
 @prim("join_cross_product")
 def join_cross_product(w):
     """Every volunteer x every item of the instrument: an equi-join on the
-    instrument id. The item side holds keys < 10 of a unique key, so it is
-    bounded by 10 rows and broadcast."""
-    items = F.broadcast(w.survey_item.select("id_instrumento", "id_item"))
+    instrument id; its items bound the rows of a volunteer."""
+    items = w.survey_item.select("id_instrumento", "id_item")
     return (w.volunteer.select("id_usuario", F.lit(1).alias("id_instrumento"))
             .join(items, "id_instrumento").select("id_usuario", "id_item"))
 
@@ -461,7 +474,7 @@ def agg_wide_key(w):
 def agg_rate_scaled(w):
     p = path_length(w.tick_event).groupBy("id_jugador").agg(
         F.sum("steps_sum").alias("d"), F.sum("n_rows").alias("n"))
-    return p.select("id_jugador", round_to(F.col("d") / F.nullif(F.col("n"), F.lit(0)) * an.TICKS_PER_SECOND, 4)
+    return p.select("id_jugador", ratio_round(F.col("d") * an.TICKS_PER_SECOND, F.col("n"), 4)
                     .alias("velocidad_por_segundo"))
 
 
@@ -606,8 +619,8 @@ def cte_chain(w):
 def cte_insert(w):
     path = _uid(w, "cte_insert")
     SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1")
-                   .filter(F.col("motivo") == C.DUP_BATCH), path)
-    return w.spark.read.parquet(path).select(*ing.LOG_COLUMNS)
+                   .filter(F.col("motivo") == C.DUP_BATCH), path, "b1")
+    return SK.read_or_empty(w.spark, path, S.REJECT_LOG).select(*ing.LOG_COLUMNS)
 
 
 # ------------------------------------------------------------------ §2.9 scalar functions
@@ -676,18 +689,15 @@ def fn_euclid3(w):
 @prim("fn_trig")
 def fn_trig(w):
     t = F.col("tic").cast("double")
-    return w.tick_event.select("id_evento",
-                               round_to(F.lit(100.0) * F.sin(t / 10.0), 10).alias("seno"),
-                               round_to(F.lit(150.0) * F.cos(t / 12.0), 10).alias("coseno"))
+    return w.tick_event.select("id_evento", round_to(F.sin(t), 10).alias("seno"), round_to(F.cos(t), 10).alias("coseno"))
 
 
 @prim("fn_random")
 def fn_random(w):
-    """Seeded Likert answers for every volunteer x item (the seed's survey simulator)."""
-    items = F.broadcast(w.survey_item.select("id_instrumento", "id_item"))
-    grid = w.volunteer.select("id_usuario", F.lit(1).alias("id_instrumento")).join(items, "id_instrumento")
-    return grid.select("id_usuario", "id_item",
-                       round_to(F.lit(1.0) + F.lit(4.0) * F.rand(42), 2).alias("valor_respuesta"))
+    """A value from 1 to 5 drawn by the key (a digest, so the same in any layout)."""
+    grid = join_cross_product(w)
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", "id_usuario", "id_item")), 1, 8), 16, 10).cast("long") % 401
+    return grid.select("id_usuario", "id_item", round_to(1 + draw.cast("decimal(10,0)") / 100, 2).alias("valor_respuesta"))
 
 
 @prim("fn_epoch_minutes")
@@ -764,6 +774,14 @@ def surrogate_key(w):
                              ["id_partida", "id_jugador"], "id_participante")
 
 
+@prim("surrogate_key_rows")
+def surrogate_key_rows(w):
+    """Whole fact rows numbered on from the largest event id."""
+    base = scalar(w.read("events").agg(F.max("event_id").cast("long").alias("m")), "m")
+    rows = w.tick_event.select("id_evento", "id_partida", "id_jugador", "tic", "id_sector", "pos_x", "salud")
+    return AU.surrogate_keys(rows, ["id_partida", "id_jugador", "tic"], "id_nuevo", base=base)
+
+
 @prim("rpt_table_counts")
 def rpt_table_counts(w):
     return an.rpt_table_counts(w, ing.reject_log(w))

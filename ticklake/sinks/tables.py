@@ -1,8 +1,8 @@
 """Sinks (SNK-1 ... SNK-6).
 
 Writes are idempotent per batch: append-style tables are partitioned by
-``id_lote`` and written with dynamic partition overwrite, so a retried or
-re-run batch replaces its own partition instead of appending twice.
+``id_lote``, and a batch replaces its own partition as a whole, also with
+nothing, so a retried or corrected batch leaves no rows of an earlier run.
 """
 
 from __future__ import annotations
@@ -15,17 +15,32 @@ from pyspark.sql import functions as F
 BATCH_COL = "id_lote"
 
 
-def write_batch(df: DataFrame, path: str, batch_col: str = BATCH_COL) -> None:
-    """Append one batch (SNK-1, SNK-2): dynamic overwrite of the batch's partition."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col).parquet(path))
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_batch(df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
+    """Append one batch (SNK-1, SNK-2) in place of whatever it wrote before.
+
+    ``df`` must not read from ``path``'s partition of this batch. A crash
+    between the two steps leaves the batch absent; its re-run completes it.
+    """
+    fs, p = _path(df.sparkSession, f"{path}/{BATCH_COL}={batch_id}")
+    fs.delete(p, True)
+    df.write.mode("append").partitionBy(BATCH_COL, *partition_by).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists, on whatever file system the path names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder once its rows are written elsewhere."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -46,26 +61,43 @@ def reload(df: DataFrame, path: str) -> None:
 
 
 def materialize(df: DataFrame, path: str, sort_by=()) -> DataFrame:
-    """Create or refresh a materialized result (SNK-5): write (optionally sorted
-    inside files, the re-aimed index of the view), overwrite, read back."""
+    """Create or refresh a materialized result (SNK-5) and read it back.
+
+    Each refresh writes a new version folder (optionally sorted inside files,
+    the re-aimed index of the view) and then appends its number to the list of
+    finished versions: readers see the newest finished one, and a refresh may
+    read the version it replaces.
+    """
     spark = df.sparkSession
-    (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    version = (current_version(spark, path) or 0) + 1
+    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    out.write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark.createDataFrame([(version,)], "finished long").coalesce(1).write.mode("append").parquet(f"{path}/_finished")
+    return read_materialized(spark, path)
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest finished version, if there is one."""
+    if not path_exists(spark, f"{path}/_finished"):
+        return None
+    return spark.read.schema("finished long").parquet(f"{path}/_finished").agg(F.max("finished")).head()[0]
+
+
+def read_materialized(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/version={current_version(spark, path)}")
 
 
 def clustered_layout(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                     cluster_by: Sequence[str] = (), sort_by: Sequence[str] = (),
-                     files_per_partition: int | None = None) -> DataFrame:
+                     cluster_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Lay data out for an access path (SNK-6, the re-aimed indexes).
 
-    Rows are hash-clustered by ``cluster_by`` and sorted by ``sort_by`` inside
-    each file, so parquet min/max statistics let scans skip row groups for
-    filters on the sort key; ``partition_by`` gives directory pruning.
+    Rows are range-partitioned by ``cluster_by`` and sorted by ``sort_by`` inside
+    each file, so parquet min/max statistics let scans skip files and row
+    groups for filters on those keys. End ``cluster_by`` with a key that tells
+    rows apart: then one value with many rows is spread over several files.
+    ``partition_by`` gives directory pruning.
     """
-    out = df
-    if cluster_by:
-        out = (out.repartition(files_per_partition, *cluster_by) if files_per_partition
-               else out.repartition(*cluster_by))
+    out = df.repartitionByRange(*cluster_by) if cluster_by else df
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     w = out.write.mode("overwrite")
