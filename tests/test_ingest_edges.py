@@ -129,6 +129,53 @@ def test_job_is_idempotent(spark, star, tmp_path):
     assert second["accepted"] == 0
 
 
+def _rows(spark, *overrides):
+    schema = S.T.StructType([*S.STAGING.fields, S.T.StructField("_row_id", S.L, False)])
+    return spark.createDataFrame([tuple({**BASE, **o}[f] for f in S.RAW_FIELDS) + ("b.tsv", T0, i)
+                                  for i, o in enumerate(overrides)], schema)
+
+
+def test_first_batch_without_rejects(spark, star, tmp_path):
+    paths = IngestPaths(fact=str(tmp_path / "fact"), log=str(tmp_path / "log"))
+    job = IngestJob(spark, paths, star.player, star.volunteer, star.session, star.sector)
+    assert job.run(_rows(spark, {}, {"raw_tic": "11"}), "b1") == {"batch": "b1", "staging": 2, "rejects": 0, "accepted": 2}
+    # A batch of rejects only, and an empty one.
+    assert job.run(_rows(spark, {"raw_tic": ""}), "b2")["accepted"] == 0
+    assert job.run(_rows(spark, {}).limit(0), "b3") == {"batch": "b3", "staging": 0, "rejects": 0, "accepted": 0}
+    assert spark.read.parquet(paths.fact).count() == 2
+
+
+def test_corrected_rerun_leaves_nothing_behind(spark, star, tmp_path):
+    paths = IngestPaths(fact=str(tmp_path / "fact"), log=str(tmp_path / "log"))
+    job = IngestJob(spark, paths, star.player, star.volunteer, star.session, star.sector)
+    job.run(_rows(spark, {"raw_tic": ""}, {"raw_tic": "12"}), "b0")
+    job.run(_rows(spark, {}, {"raw_tic": "x"}), "b1")
+    assert job.run(_rows(spark, {}), "b1") == {"batch": "b1", "staging": 1, "rejects": 0, "accepted": 1}
+    assert spark.read.parquet(paths.log).filter("id_lote = 'b1'").count() == 0
+    job.run(_rows(spark, {"raw_tic": "x"}), "b1")
+    assert spark.read.parquet(paths.fact).filter("id_lote = 'b1'").count() == 0
+    assert spark.read.parquet(paths.log).count() == 2
+
+
+def test_event_ids_go_on_and_the_fact_is_pruned(spark, star, tmp_path):
+    paths = IngestPaths(fact=str(tmp_path / "fact"), log=str(tmp_path / "log"))
+    job = IngestJob(spark, paths, star.player, star.volunteer, star.session, star.sector)
+    job.run(_rows(spark, *({"raw_tic": str(t)} for t in range(5))), "b1")
+    job.run(_rows(spark, *({"raw_tic": str(t)} for t in range(3, 9))), "b2")
+    assert sorted(r.id_evento for r in spark.read.parquet(paths.fact).collect()) == list(range(1, 10))
+    keys = job.current_fact("b3", _rows(spark, {}).select(F.lit(1).alias("id_partida")))
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "rango" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_two_jobs_with_one_batch_id(spark, star, tmp_path):
+    jobs = [IngestJob(spark, IngestPaths(fact=str(tmp_path / k / "fact"), log=str(tmp_path / k / "log")),
+                      star.player, star.volunteer, star.session, star.sector) for k in "ab"]
+    jobs[0].run(_rows(spark, {}), "b1")
+    jobs[1].run(_rows(spark, {}, {"raw_tic": "11"}), "b1")
+    assert [spark.read.parquet(j.paths.fact).count() for j in jobs] == [1, 2]
+
+
 def test_tsv_escapes(spark, star, tmp_path):
     from ticklake.sources.tsv import write_tsv
     # "5" + escaped newline in the session field: decodes to "5\n" -> BAD_TYPE (T2)

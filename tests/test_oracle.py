@@ -5,13 +5,14 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from ticklake import registry
 from tools.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,9 +20,8 @@ def con():
     return duck(SF)
 
 
-def test_every_query_is_registered_with_an_oracle_or_is_nondeterministic():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"fn_random"}
+def test_every_query_has_an_oracle_and_is_an_entry():
+    assert set(ORACLE) == set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -30,12 +30,6 @@ def test_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
-def test_random_answers_cover_the_grid(spark):
-    df = QUERIES["fn_random"](spark, SF)
-    rows = df.collect()
-    assert rows and all(1 <= r.valor_respuesta <= 5 for r in rows)
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

@@ -20,7 +20,7 @@ def w(spark):
 def test_q1_durations(w):
     rows = an.q1_session_duration_by_map(w).collect()
     assert [(r.mapa, r.total_partidas) for r in rows] == [("M1", 1), ("M2", 1), ("M3", 1)]
-    assert [r.duracion_promedio_min for r in rows] == [Decimal("25.00"), Decimal("40.00"), Decimal("15.00")]
+    assert [r.duracion_promedio_min for r in rows] == [Decimal("20.00"), Decimal("50.00"), Decimal("5.00")]
     assert all(r.duracion_minima_min == r.duracion_promedio_min == r.duracion_maxima_min for r in rows)
 
 
@@ -87,5 +87,5 @@ def test_tick_grid_gaps(w):
     te = w.tick_event.filter(~((F.col("id_jugador") == 1) & (F.col("tic") == 5)))
     w2 = seed.build(w.spark, TICKS)
     w2.tick_event = te
-    gaps = an.tick_grid_gaps(w2, 1, TICKS).collect()
+    gaps = an.tick_grid_gaps(w2).collect()
     assert [(r.id_partida, r.id_jugador, r.tic) for r in gaps] == [(1, 1, 5)]

@@ -26,3 +26,13 @@ def test_profiles_and_per_query_configuration(spark):
 def test_checkpoint_dir_is_read_from_the_session(spark):
     d = ensure_checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

@@ -42,3 +42,15 @@ def test_landing_stream(spark, tmp_path):
     motivos = sorted(r.motivo for r in spark.read.parquet(paths.log).collect())
     assert motivos == ["DUP_BATCH", "DUP_CORE", "MISSING_KEY"]
     assert spark.read.parquet(paths.fact).select(F.countDistinct("id_lote")).first()[0] == 2
+
+
+def test_two_streams_into_one_fact(spark, tmp_path):
+    w = seed.build(spark, 3)
+    paths = IngestPaths(fact=str(tmp_path / "fact"), log=str(tmp_path / "log"))
+    job = IngestJob(spark, paths, w.player, w.volunteer, w.session, w.sector)
+    for name, tick in (("a", "100"), ("b", "200")):
+        land = tmp_path / name
+        land.mkdir()
+        (land / "x.tsv").write_text("\n".join([HEADER, _line("1", "1", tick)]) + "\n")
+        start_landing_stream(spark, str(land), job, str(tmp_path / f"ckpt-{name}")).awaitTermination(300)
+    assert sorted(r.tic for r in spark.read.parquet(paths.fact).collect()) == [100, 200]
