@@ -2,20 +2,37 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that its predecessor
 kept, and returns the columns of documents; the last one adds those of the mix.
+A stage's result must be written before the next stage is called: that call
+removes the scratch tables of the stages before it.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import decontaminate, exact_dedup, jaccard_join, language_id, mixing
-from ticklake.llm.common import RID, keep_rows, stored, table, with_row_id
+from ticklake.llm.common import RID, keep_rows, noted, remove, stored, table, with_row_id
 
 #: A document whose language is less certain than this is rejected, as is one without letters.
 MIN_SCORE = 0.5
+#: Scratch tables of the latest stage.
+_LEFT: list[str] = []
+
+
+def stage(run):
+    """A stage that first removes what the stages before left in scratch."""
+    @wraps(run)
+    def tidy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove(spark, _LEFT)
+        with noted(_LEFT):
+            return run(spark, docs, sf_dir)
+    return tidy
 
 
+@stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told apart: not ``und``, and with a calibrated score of MIN_SCORE at least."""
     rows = with_row_id(docs, "pipeline-language")
@@ -23,12 +40,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_rows(rows, found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)))
 
 
+@stage
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one that exact dedup keeps."""
     rows = with_row_id(docs, "pipeline-exact")
     return keep_rows(rows, exact_dedup.exact_dedup(rows, row_id=RID).filter("kept"))
 
 
+@stage
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
     rows = with_row_id(docs, "pipeline-near")
@@ -37,6 +56,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_rows(rows, groups.groupBy("component_id").agg(first).select(f"first.{RID}"))
 
 
+@stage
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     rows = with_row_id(docs, "pipeline-benchmark")
@@ -44,6 +64,7 @@ def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.join(found.select(RID).distinct(), RID, "left_anti").drop(RID)
 
 
+@stage
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The taken copies of the documents, with domain, n_tokens, epoch and the budget of their leaf."""
     rows = with_row_id(docs, "pipeline-mix")
@@ -66,6 +87,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline over documents."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}-out")
+    for name, step in STAGES[:-1]:
+        docs = stored(step(spark, docs, sf_dir), f"pipeline-{name}-out")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +33,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Lists that note the scratch tables being written, innermost last.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted(paths: list[str]):
+    """Adds the scratch tables written inside to ``paths``, for ``remove``."""
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that no result depends on any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
 def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to shared scratch and read it back: lineage ends there."""
     path = scratch(df.sparkSession, name)
+    if _NOTED:
+        _NOTED[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
