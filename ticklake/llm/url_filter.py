@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import RID, scratch, stored
+from ticklake.llm.common import RID, stored
 
 DEFAULT_VERDICT = "allow"
 # The rules as given (verdict, host, path).
