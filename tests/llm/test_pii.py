@@ -60,3 +60,13 @@ def test_feistel_is_a_permutation(spark, a, b):
     df = spark.range(a * b).select((F.col("id") % a).alias("x"), F.floor(F.col("id") / a).alias("y"))
     got = df.select(pii.feistel(F.col("x"), F.col("y"), a, b, "t", "k").alias("p"))
     assert got.distinct().count() == a * b and got.filter(f"p.x >= {a} or p.y >= {b} or p.x < 0 or p.y < 0").isEmpty()
+
+
+def test_phones_of_any_area_and_exchange(spark):
+    phones = [f"+1 ({a}) {e}-{n}" for a in ("000", "013", "157", "199", "200", "999") for e in ("000", "199", "200", "555") for n in ("0000", "9871")]
+    got = run(spark, [f"call {p}, or {p}" for p in phones])
+    new = [re.fullmatch(r"call (\+1 \(\d{3}\) \d{3}-\d{4}), or (.*)", r.text).groups() for r in got]
+    assert all(a == b != p and r.n_phone == 2 for (a, b), p, r in zip(new, phones, got))
+    assert len({a for a, _ in new}) == len(phones)
+    # Numbers under 200 and the others stay among themselves, so the permutation is whole.
+    assert all((a[4:7] < "200") == (p[4:7] < "200") and (a[9:12] < "200") == (p[9:12] < "200") for (a, _), p in zip(new, phones))

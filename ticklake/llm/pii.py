@@ -5,8 +5,8 @@ keyed permutation of its own value space, written in the same format:
 
 * card: 13 to 19 digits in one run, or in groups of 4-4-4-rest or 4-6-5 between
   blanks or hyphens, that pass the Luhn check; the digits but the last are permuted, the last is the new check digit;
-* phone: +1 (area) exchange-line with area and exchange from 200: the area and
-  the rest are permuted together;
+* phone: +1 (area) exchange-line with any digits: the area and the rest are
+  permuted together; those under 200 and the others each stay among themselves;
 * ssn: area-group-serial with area 001-899 but 666, group 01-99, serial 0001-9999;
 * ip: four numbers up to 255, permuted as one 32-bit number;
 * date: a real day from 1900 to 2099, as 2001-02-28, 28.02.2001 or 28/02/2001.
@@ -34,7 +34,7 @@ ROUNDS = 10
 # The pattern of each kind, whole candidates only.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
-    "phone": r"(?<![0-9+])\+1 \([2-9][0-9]{2}\) [2-9][0-9]{2}-[0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9/-]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])",
@@ -114,11 +114,17 @@ def _card(m: Column, key: str) -> Column:
 def _phone(m: Column, key: str) -> Column:
     area, rest = F.substring(m, 5, 3).cast("long"), F.concat(F.substring(m, 10, 3), F.substring(m, 14, 4)).cast("long")
 
+    def part(v, at, n):
+        """Start and size of the part of 0 to n - 1, cut at ``at``, that v is in."""
+        return F.when(v < at, 0).otherwise(at), F.when(v < at, at).otherwise(n - at)
+
+    (x, a), (y, b) = part(area, 200, 1_000), part(rest, 2_000_000, 10_000_000)
+
     def write(p):
-        r = _digits(p["y"] + 2_000_000, 7)
-        return F.concat(F.lit("+1 ("), _digits(p["x"] + 200, 3), F.lit(") "), F.substring(r, 1, 3), F.lit("-"), F.substring(r, 4, 4))
+        r = _digits(p["y"] + y, 7)
+        return F.concat(F.lit("+1 ("), _digits(p["x"] + x, 3), F.lit(") "), F.substring(r, 1, 3), F.lit("-"), F.substring(r, 4, 4))
 
-    return _let(feistel(area - 200, rest - 2_000_000, 800, 8_000_000, "phone", key), write)
+    return _let(feistel(area - x, rest - y, a, b, "phone", key), write)
 
 
 def _ssn(m: Column, key: str) -> Column:
