@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -77,3 +78,28 @@ def test_empty_tables(spark):
     d = with_row_id(spark.createDataFrame([], "doc_id long, text string"), "t")
     b = spark.createDataFrame([], "item_id long, text string")
     assert dc.contaminated(d, b).count() == 0
+
+
+def allowed(n):
+    """Every choice of places at which n aligned tokens may differ."""
+    return itertools.combinations(range(n), n * dc.MISMATCH_PERCENT // 100)
+
+
+def test_masks_find_every_allowed_pattern():
+    for n in range(dc.SPAN, dc.WINDOW + 1):
+        seeds = [{q + k for k, c in enumerate(m) if c == "1"} for m in dc.MASKS + dc.MORE_MASKS for q in range(n - len(m) + 1)]
+        assert all(any(s.isdisjoint(p) for s in seeds) for p in allowed(n))
+
+
+def test_every_allowed_substitution_is_found(spark):
+    """No seed is asked for: every copy with as many differing tokens as the rule allows."""
+    items = [(n, " ".join(f"i{n}t{k}" for k in range(n))) for n in (11, 12, 14, 15, 16, 19, 20)]
+    docs, want = [], {}
+    for n, text in items:
+        for p in allowed(n):
+            d = len(docs)
+            docs.append((d, " ".join(["before", *("other" if k in p else w for k, w in enumerate(text.split())), "after"])))
+            want[d, n] = n - len(p)
+        over = range(0, n, n // (len(p) + 1))[:len(p) + 1]
+        docs.append((len(docs), " ".join("other" if k in over else w for k, w in enumerate(text.split()))))
+    assert run(spark, docs, items) == want and len(want) > 1_500

@@ -4,8 +4,9 @@ Texts are lower-cased and cut into tokens (runs of letters and digits). A mask
 selects positions of a window of tokens and ignores the others; the selected
 tokens are hashed. Seeds of the documents are joined with seeds of the
 benchmark items under the same mask, so a substituted token at an ignored
-position does not hide a hit. A hit fixes how the document and the item are
-aligned; the aligned tokens are then compared, and the document is
+position does not hide a hit; the masks leave a seed whole whichever places
+differ, as long as they are few enough. A hit fixes how the document and the
+item are aligned; the aligned tokens are then compared, and the document is
 contaminated by the item if some WINDOW aligned tokens (the whole item, if it
 is shorter) differ in at most a MISMATCH_PERCENT share of places.
 
@@ -32,6 +33,9 @@ from ticklake.llm.common import RID, stored, with_row_id
 # position the other uses it, at the ends excepted.
 MASKS = ("11011011011", "11101110101")
 SPAN = len(MASKS[0])
+# More masks of eight. With MASKS, some seed is left whole by every
+# choice of differing places that the share allows, for items of SPAN tokens and more.
+MORE_MASKS = ("1110100100111", "111110111", "11110001111")
 #: Aligned tokens that are verified, and the share of them that may differ.
 WINDOW = 20
 MISMATCH_PERCENT = 15
@@ -47,24 +51,23 @@ def hashed(toks: Column) -> Column:
 
 
 def seeds(rows: DataFrame, *ids: str) -> DataFrame:
-    """(ids, mask, at, seed) of every window of rows (ids, h), h hashed tokens."""
-    starts = F.when(F.size("h") >= SPAN, F.sequence(F.lit(0), F.size("h") - SPAN))
+    """(ids, at, seed) of every window of rows (ids, h), h hashed tokens; a seed stands for its mask too."""
+    masks = MASKS + MORE_MASKS
+    ahead = [F.slice("h", k + 1, F.size("h")).alias(f"t{k}") for k in range(max(map(len, masks)))]
+    each = rows.select(*ids, F.posexplode(F.arrays_zip(*ahead)).alias("at", "s"))
 
     def of(mask):
         places = [k for k, c in enumerate(mask) if c == "1"]
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get("h", i + k) for k in places]))
+        return F.when(F.col(f"s.t{places[-1]}").isNotNull(), F.xxhash64(F.lit(mask), *[F.col(f"s.t{k}") for k in places]))
 
-    both = rows.select(*ids, F.posexplode(F.arrays_zip(*[of(m).alias(f"m{k}") for k, m in enumerate(MASKS)])).alias("at", "s"))
-    return both.select(*ids, "at", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("mask"), F.col(f"s.m{k}").alias("seed")) for k in range(len(MASKS))])).alias("x")).select(
-        *ids, "at", "x.mask", "x.seed")
+    return each.select(*ids, "at", F.explode(F.array(*[of(m) for m in masks])).alias("seed")).filter(F.col("seed").isNotNull())
 
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(RID, item, shift): item token j meets document token shift + j in some seed."""
     theirs = seeds(items.select("item", "h"), "item").withColumnRenamed("at", "item_at")
     ours = seeds(docs.select(RID, hashed(tokens(F.col("text"))).alias("h")), RID)
-    hits = ours.join(theirs, ["mask", "seed"])
+    hits = ours.join(theirs, "seed")
     return hits.groupBy(RID, "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n_seeds"))
 
 
