@@ -103,3 +103,16 @@ def test_every_allowed_substitution_is_found(spark):
         over = range(0, n, n // (len(p) + 1))[:len(p) + 1]
         docs.append((len(docs), " ".join("other" if k in over else w for k, w in enumerate(text.split()))))
     assert run(spark, docs, items) == want and len(want) > 1_500
+
+
+def test_short_items_are_found(spark):
+    items = [(n, " ".join(f"i{n}t{k}" for k in range(n))) for n in range(1, dc.SPAN)]
+    docs, want = [], {}
+    for n, text in items:
+        for p in [(), *allowed(n)]:
+            d = len(docs)
+            docs.append((d, " ".join(["before", *("other" if k in p else w for k, w in enumerate(text.split())), "after"])))
+            want[d, n] = n - len(p)
+        over = range(n * dc.MISMATCH_PERCENT // 100 + 1)
+        docs.append((len(docs), " ".join("other" if k in over else w for k, w in enumerate(text.split()))))
+    assert run(spark, docs, items) == want and run(spark, docs[:5], [(1, ""), (2, None)]) == {}

@@ -16,14 +16,17 @@ Only documents with a hit have their text read again. The hits of a pair are
 combined before the shuffle, so an item that a third of all documents contain
 makes one row for each document.
 
-Null and empty texts, and documents or items with fewer tokens than a mask
-spans (SPAN), contain nothing and are not found. Items given twice are reported
-under each id. Rows without an id and repeated rows are searched like others.
-Empty tables give an empty result. Only ids and texts are read.
+Items of fewer tokens than SPAN have masks of their own, which are only used if
+the benchmark has such items. Null and empty texts contain nothing and are not
+found. Items given twice are reported under each id. Rows without an id and
+repeated rows are searched like others. Empty tables give an empty result. Only
+ids and texts are read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,9 @@ SPAN = len(MASKS[0])
 # More masks of eight. With MASKS, some seed is left whole by every
 # choice of differing places that the share allows, for items of SPAN tokens and more.
 MORE_MASKS = ("1110100100111", "111110111", "11110001111")
+# The mask for items of fewer tokens, by their number; shorter ones
+# than these may not differ at all and are looked up by all their tokens.
+SHORT_MASKS = {10: "111011", 9: "111011", 8: "11011", 7: "11011"}
 #: Aligned tokens that are verified, and the share of them that may differ.
 WINDOW = 20
 MISMATCH_PERCENT = 15
@@ -50,9 +56,8 @@ def hashed(toks: Column) -> Column:
     return F.transform(toks, lambda t: F.xxhash64(t))
 
 
-def seeds(rows: DataFrame, *ids: str) -> DataFrame:
+def seeds(rows: DataFrame, masks: list[str], *ids: str) -> DataFrame:
     """(ids, at, seed) of every window of rows (ids, h), h hashed tokens; a seed stands for its mask too."""
-    masks = MASKS + MORE_MASKS
     ahead = [F.slice("h", k + 1, F.size("h")).alias(f"t{k}") for k in range(max(map(len, masks)))]
     each = rows.select(*ids, F.posexplode(F.arrays_zip(*ahead)).alias("at", "s"))
 
@@ -65,8 +70,14 @@ def seeds(rows: DataFrame, *ids: str) -> DataFrame:
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(RID, item, shift): item token j meets document token shift + j in some seed."""
-    theirs = seeds(items.select("item", "h"), "item").withColumnRenamed("at", "item_at")
-    ours = seeds(docs.select(RID, hashed(tokens(F.col("text"))).alias("h")), RID)
+    n = F.size("h")
+    short = [r.n for r in items.filter(n < SPAN).select(n.alias("n")).distinct().collect()]
+    # An item has seeds under its own masks only, a document under all that are in use.
+    own = [(n >= SPAN, [*MASKS, *MORE_MASKS]), *[(n == k, [SHORT_MASKS.get(k, "1" * k)]) for k in short]]
+    theirs = reduce(DataFrame.unionByName, [seeds(items.filter(which).select("item", "h"), masks, "item") for which, masks in own])
+    theirs = theirs.withColumnRenamed("at", "item_at")
+    used = list(dict.fromkeys(m for _, masks in own for m in masks))
+    ours = seeds(docs.select(RID, hashed(tokens(F.col("text"))).alias("h")), used, RID)
     hits = ours.join(theirs, "seed")
     return hits.groupBy(RID, "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n_seeds"))
 
@@ -94,7 +105,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item
     the verified window starts.
     """
     docs = docs.select(RID, F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    items = bench.select(F.col(item_col).alias("item"), hashed(tokens(F.col("text"))).alias("h")).filter(F.size("h") >= SPAN)
+    items = bench.select(F.col(item_col).alias("item"), hashed(tokens(F.col("text"))).alias("h")).filter(F.size("h") > 0)
     hits = stored(alignments(docs, items), "spaced-hits")
     found = verify(hits, docs, items)
     first = F.max(F.struct("n_matched", "n_tokens", "n_seeds", (-F.col("token_at")).alias("back"))).alias("best")
