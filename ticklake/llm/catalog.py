@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ticklake.llm import (decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, secret_scan,
-                          substring_dedup, suffix_array, token_alignment, url_filter)
+                          substring_dedup, suffix_array, token_alignment, url_filter, whitening)
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_language_id": language_id.op9_language_id,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 #: op9 has none: a trained model is not SQL; its test measures held-out accuracy.
