@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticklake.llm import (decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, secret_scan,
+from ticklake.llm import (decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, reply_trees, secret_scan,
                           substring_dedup, suffix_array, token_alignment, url_filter, whitening)
 
 QUERIES = {
@@ -16,9 +16,12 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_language_id": language_id.op9_language_id,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_chat_format": reply_trees.op11_chat_format,
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
+#: op12 (eigenvectors) and op13 (tokenizers) have none; their tests compare with
+#: dense eigenvectors and with plain loops over every byte.
 #: op9 has none: a trained model is not SQL; its test measures held-out accuracy.
 #: op2 (components) and op5 (all windows of 400 bytes) are too slow in SQL on whole
 #: tables; their tests compare with brute force.
@@ -30,4 +33,5 @@ ORACLE_SQL = {
     "op6_url_filter": url_filter.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_chat_format": reply_trees.ORACLE,
 }
