@@ -15,7 +15,11 @@ Distances are tested exactly: positions are scaled to integer units of the
 decimal scale and squared in 64-bit integers, guarded so no square is formed
 for a coordinate gap larger than the radius (no overflow, no BigDecimal).
 
-``co_presence`` pairs entities sharing an exact key (session, tick, place).
+``co_presence`` pairs entities sharing an exact key (session, tick, place), a
+row for each shared tick. ``co_presence_bits`` counts shared ticks without
+those rows: an entity's ticks at a place are bits of longs, WIDTH ticks each,
+and pairs are joined on (session, place, tick bucket) with the AND of their
+bits. An OR of such bits merges ticks (equal names), a bit count counts them.
 Hot join keys are split by AQE's skew-join handling: both operators are plain
 equi-joins whose shuffles the planner inserts, so ``spark.sql.adaptive.skewJoin``
 can split an oversized (session, tick, cell) partition across tasks. (A
@@ -138,3 +142,41 @@ def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"
     a = base.select(*instant, place, F.col(entity).alias("a"), *[F.col(c).alias(f"a_{c}") for c in carry])
     b = base.select(*instant, place, F.col(entity).alias("b"), *[F.col(c).alias(f"b_{c}") for c in carry])
     return a.join(b, on=[*instant, place]).filter(F.col("a") < F.col("b"))
+
+
+# Ticks in one long of presence bits.
+WIDTH = 64
+
+
+def presence_bits(events: DataFrame, session: str = "id_partida", tick: str = "tic", place: str = "id_sector",
+                  entity: str = "id_jugador", carry: Sequence[str] = (), width: int = WIDTH) -> DataFrame:
+    """Rows (session, place, entity, carry..., bucket, bits): bit ``i`` stands for tick ``bucket * width + i``.
+
+    Rows without a place or tick are nowhere. The bits are combined map-side:
+    a run of ticks at one place becomes a row for ``width`` ticks.
+    """
+    if not 0 < width <= 64 or width & (width - 1):
+        raise ValueError("width must be a power of two up to 64")
+    at = F.col(tick)
+    bucket = F.shiftright(at.cast("long"), width.bit_length() - 1).alias("bucket")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int").bitwiseAND(F.lit(width - 1)))
+    return (events.filter(F.col(place).isNotNull() & at.isNotNull())
+            .groupBy(session, place, entity, *carry, bucket).agg(F.bit_or(bit).alias("bits")))
+
+
+def co_presence_bits(events: DataFrame, session: str = "id_partida", tick: str = "tic", place: str = "id_sector",
+                     entity: str = "id_jugador", carry: Sequence[str] = (), width: int = WIDTH) -> DataFrame:
+    """Rows (session, place, bucket, a, b, a_*/b_* carried, shared) for a < b with a common tick at a place.
+
+    ``shared`` holds the common ticks of the bucket as bits: at most one row a
+    pair and ``width`` ticks, however many of them are shared. Pairs of a bucket
+    without a common tick are tested in the join and make no row; where ticks
+    are sparse a smaller ``width`` tests fewer of them.
+    """
+    keys, carry = [session, place, "bucket"], list(carry)
+    bits = presence_bits(events, session, tick, place, entity, carry, width)
+    a = bits.select(*keys, F.col(entity).alias("a"), F.col("bits").alias("a_bits"), *[F.col(c).alias(f"a_{c}") for c in carry])
+    b = bits.select(*keys, F.col(entity).alias("b"), F.col("bits").alias("b_bits"), *[F.col(c).alias(f"b_{c}") for c in carry])
+    shared = F.col("a_bits").bitwiseAND(F.col("b_bits"))
+    return (a.join(b, keys).filter((F.col("a") < F.col("b")) & (shared != 0))
+            .withColumn("shared", shared).drop("a_bits", "b_bits"))

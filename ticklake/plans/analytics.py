@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ticklake.functions import avg_exact, epoch_minutes, ratio_round, round_to
 from ticklake.operators.joins import scalar
-from ticklake.operators.pairs import co_presence, pair_proximity
+from ticklake.operators.pairs import co_presence_bits, pair_proximity
+from ticklake.operators.presence import presence_state, sector_presence
 from ticklake.operators.ranking import rank_first, rank_within
 from ticklake.operators.series import series
 from ticklake.operators.trajectory import path_length
@@ -182,15 +183,6 @@ def q4_survey_above_avg(w: Warehouse) -> DataFrame:
 
 
 # ------------------------------------------------------------------ Q5 / MV
-def sector_presence(fact: DataFrame) -> DataFrame:
-    """Fact reduced to one row per sector id (path S starts here)."""
-    return fact.groupBy("id_sector").agg(
-        F.count("id_evento").alias("total_eventos"),
-        F.count_distinct("id_jugador").alias("jugadores_unicos"),
-        F.count_distinct("id_partida").alias("partidas_con_presencia"),
-        avg_exact("salud").alias("avg_salud"), avg_exact("municion").alias("avg_municion"))
-
-
 def q5_sector_hotspots(w: Warehouse) -> DataFrame:
     g = w.tick_event.groupBy("id_sector").agg(
         F.count("id_evento").alias("total_presencias"),
@@ -205,11 +197,10 @@ def q5_sector_hotspots(w: Warehouse) -> DataFrame:
                     .alias("presencias_por_jugador")))
 
 
-def hotspots(fact: DataFrame, sector: DataFrame, map_: DataFrame, episode: DataFrame) -> DataFrame:
-    """The hotspot view over any fact: per sector counts, vitals and rank in its map."""
+def hotspots_of_state(state: DataFrame, sector: DataFrame, map_: DataFrame, episode: DataFrame) -> DataFrame:
+    """The hotspot view from presence state: per sector counts, vitals and rank in its map."""
     place = sector.join(map_.join(episode, "id_episodio"), "id_mapa")
-    g = sector_presence(fact).join(place, "id_sector")
-    g = rank_within(g, ["id_mapa"], [F.desc("total_eventos")], "rank_en_mapa")
+    g = rank_within(sector_presence(state).join(place, "id_sector"), ["id_mapa"], [F.desc("total_eventos")], "rank_en_mapa")
     return g.select("id_episodio", "nombre_episodio", "id_mapa", "codigo_mapa", "nombre_mapa",
                     "id_sector", "codigo_sector", "coordenada_x", "coordenada_y",
                     "total_eventos", "jugadores_unicos", "partidas_con_presencia",
@@ -219,16 +210,20 @@ def hotspots(fact: DataFrame, sector: DataFrame, map_: DataFrame, episode: DataF
                     F.col("rank_en_mapa").cast("long").alias("rank_en_mapa"))
 
 
+def hotspots(fact: DataFrame, sector: DataFrame, map_: DataFrame, episode: DataFrame) -> DataFrame:
+    """The hotspot view over any fact."""
+    return hotspots_of_state(presence_state(fact), sector, map_, episode)
+
+
 def mv_sector_hotspots(w: Warehouse) -> DataFrame:
     return hotspots(w.tick_event, w.sector, w.map, w.episode)
 
 
 def refresh_hotspots(stored: DataFrame, fact: DataFrame, new_rows: DataFrame, sector: DataFrame,
                      map_: DataFrame, episode: DataFrame) -> DataFrame:
-    """Incremental refresh after a load: only maps whose sectors received rows are
-    recomputed, from the fact restricted to those maps' sectors; every other
-    stored row is kept. Distinct counts are not mergeable, so a touched map is
-    recomputed whole; its rank only depends on its own sectors."""
+    """Refresh of a stored view that has no presence state (``plans.hotspot_view`` keeps one):
+    the maps whose sectors received rows are made anew from the fact of their
+    sectors; every other stored row is kept."""
     touched = (new_rows.select("id_sector").distinct()
                .join(sector.select("id_sector", "id_mapa"), "id_sector").select("id_mapa").distinct())
     sectors = sector.join(touched, "id_mapa", "left_semi")
@@ -238,26 +233,18 @@ def refresh_hotspots(stored: DataFrame, fact: DataFrame, new_rows: DataFrame, se
 
 
 # ------------------------------------------------------------------ Q6 / V2
-def copresent_pairs(w: Warehouse, carry=()) -> DataFrame:
-    # The fact's key is (session, player, tick): rows are distinct already.
-    return co_presence(w.tick_event, ("id_partida", "tic"), "id_sector", "id_jugador", carry=carry, unique=True)
-
-
 def q6_copresence_pct(w: Warehouse) -> DataFrame:
-    # Grouped by codes and aliases through canonical ids (integer keys),
-    # attached per event before pairing; names are joined to the result.
+    # Grouped by codes and aliases through canonical ids (integer keys). A code
+    # or alias may stand for several ids, whose shared ticks are then united:
+    # bits are OR-ed per bucket before they are counted.
     cs = _canonical(w.sector, "id_sector", "codigo_sector", "cs")
     cp = _canonical(w.player, "id_jugador", "alias", "cj")
-    ev = w.tick_event.select("id_partida", "tic", "id_sector", "id_jugador") \
-        .join(cs, "id_sector").join(cp, "id_jugador")
-    # Joined on (session, tick, sector code) with the sector-id equality as a
-    # residual: the join's hash partitioning already holds every duplicate of a
-    # (group, tick), so the exact COUNT(DISTINCT tic) needs no shuffle of its own.
-    pairs = co_presence(ev, ("id_partida", "tic"), "cs", "id_jugador", carry=("id_sector", "cj"),
-                        unique=True) \
-        .filter(F.col("a_id_sector") == F.col("b_id_sector"))
-    g = (pairs.groupBy("id_partida", "cs", "a_cj", "b_cj")
-         .agg(F.count_distinct("tic").alias("tics_compartidos")))
+    pairs = co_presence_bits(w.tick_event)
+    ca, cb = cp.toDF("a", "a_cj"), cp.toDF("b", "b_cj")
+    named = pairs.join(cs, "id_sector").join(ca, "a").join(cb, "b")
+    united = (named.groupBy("id_partida", "cs", "a_cj", "b_cj", "bucket")
+              .agg(F.bit_count(F.bit_or("shared")).alias("n")))
+    g = united.groupBy("id_partida", "cs", "a_cj", "b_cj").agg(F.sum("n").alias("tics_compartidos"))
     session_ticks = w.tick_event.groupBy("id_partida").agg(
         F.count_distinct("tic").alias("ticks_partida"))
     place = _session_place(w).select("id_partida", F.col("nombre_episodio").alias("episodio"),
@@ -276,11 +263,9 @@ def q6_copresence_pct(w: Warehouse) -> DataFrame:
 
 
 def v_sector_copresence(w: Warehouse) -> DataFrame:
-    # Input rows are distinct per (session, tick, sector, player), so a pair
-    # occurs once per tick and COUNT(DISTINCT tic) = COUNT(*): a plain count
-    # that combines map-side before the shuffle.
-    g = (copresent_pairs(w).groupBy("id_partida", "id_sector", "a", "b")
-         .agg(F.count(F.lit(1)).alias("tics_compartidos"))
+    # Buckets hold different ticks: the distinct shared ticks are a sum of bit counts.
+    g = (co_presence_bits(w.tick_event).groupBy("id_partida", "id_sector", "a", "b")
+         .agg(F.sum(F.bit_count("shared")).alias("tics_compartidos"))
          .filter(F.col("tics_compartidos") > 0))
     pa = w.player.select(F.col("id_jugador").alias("a"), F.col("alias").alias("alias_a"))
     pb = w.player.select(F.col("id_jugador").alias("b"), F.col("alias").alias("alias_b"))

@@ -27,6 +27,7 @@ from ticklake.operators.series import series
 from ticklake.operators.trajectory import lag_columns, path_length, step_distances
 from ticklake.plans import analytics as an
 from ticklake.plans import ingest as ing
+from ticklake.plans.hotspot_view import HotspotView
 from ticklake.session import scratch_path
 from ticklake.sinks import tables as SK
 from ticklake.sources.bindings import Warehouse
@@ -120,13 +121,10 @@ def snk_view(w):
 @prim("snk_materialize_refresh")
 def snk_materialize_refresh(w):
     """Materialize the hotspot view on the pre-loaded fact, load the batch, then
-    refresh it in place (touched maps only): readers see the newest finished version."""
-    root = _uid(w, "mv")
-    by_map = ("id_mapa", F.desc("total_eventos"))       # the view's (map, events desc) index
-    before = SK.materialize(an.hotspots(w.preloaded_fact, w.sector, w.map, w.episode), root, by_map)
-    new_rows = C.accepted(ing.classified(w)).withColumn("id_evento", F.lit(-1).cast("long"))
-    fact = w.preloaded_fact.select(*new_rows.columns).unionByName(new_rows)
-    return SK.materialize(an.refresh_hotspots(before, fact, new_rows, w.sector, w.map, w.episode), root, by_map)
+    refresh it in place from the batch and the stored presence state."""
+    view = HotspotView(w.spark, _uid(w, "mv"), w.sector, w.map, w.episode)
+    view.load(w.preloaded_fact, "preloaded")
+    return view.load(C.accepted(ing.classified(w)), "b1")
 
 
 @prim("snk_clustered_layout")

@@ -8,6 +8,7 @@ nothing, so a retried or corrected batch leaves no rows of an earlier run.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,32 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def batch_folders(spark: SparkSession, path: str, batch_id: str) -> list:
+    """The partition folders of a batch, however its id is escaped in their names."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [x.getPath() for x in fs.listStatus(p)]
+    return [x for x in found if unquote(x.getName()) == f"{BATCH_COL}={batch_id}"]
+
+
+def delete_batch(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Remove what a batch wrote before. An empty id has no folder of its own and is refused."""
+    if not batch_id:
+        raise ValueError("a batch needs an id")
+    fs, _ = _path(spark, path)
+    for folder in batch_folders(spark, path, batch_id):
+        fs.delete(folder, True)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
     """Append one batch (SNK-1, SNK-2) in place of whatever it wrote before.
 
-    ``df`` must not read from ``path``'s partition of this batch. A crash
-    between the two steps leaves the batch absent; its re-run completes it.
+    ``df`` must not read from ``path``'s partition of this batch. Between the
+    two steps readers see the table without the batch; a crash there leaves it
+    absent, and its re-run completes it.
     """
-    fs, p = _path(df.sparkSession, f"{path}/{BATCH_COL}={batch_id}")
-    fs.delete(p, True)
+    delete_batch(df.sparkSession, path, batch_id)
     df.write.mode("append").partitionBy(BATCH_COL, *partition_by).parquet(path)
 
 
@@ -87,6 +106,18 @@ def read_materialized(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/version={current_version(spark, path)}")
 
 
+def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` finished versions and unfinished ones older than these."""
+    newest = current_version(spark, path)
+    if newest is None:
+        return
+    fs, p = _path(spark, path)
+    for x in fs.listStatus(p):
+        name = x.getPath().getName()
+        if name.startswith("version=") and int(name.removeprefix("version=")) <= newest - keep:
+            fs.delete(x.getPath(), True)
+
+
 def clustered_layout(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                      cluster_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Lay data out for an access path (SNK-6, the re-aimed indexes).

@@ -40,7 +40,8 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, job: IngestJob,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(landing_dir).select(
-        "value", F.col("_metadata.file_path").alias("archivo_origen"))
+        "value", F.col("_metadata.file_path").alias("archivo_origen"),
+        F.col("_metadata.file_block_start").alias("block_start"))
 
     own = stream_id(spark, checkpoint_location)
 
