@@ -92,3 +92,21 @@ def surrogate_keys(df: DataFrame, natural_key: Sequence[str], name: str, base: i
     return (local.join(F.broadcast(offsets), "__pid")
             .withColumn(name, start + F.col("__off") + F.col("__rn"))
             .drop("__pid", "__rn", "__off"))
+
+
+def row_numbers(stored: DataFrame, name: str, base: int | Column = 0) -> DataFrame:
+    """Dense numbers ``base + 1 .. base + n`` for the rows of a written parquet table, without moving a row.
+
+    A row's number is its place in its file plus the rows of the files before,
+    in the order in which the tasks wrote them. ``stored`` reads the table
+    directly; a filter may name its partition columns only. The sums over files
+    have one row a file.
+    """
+    place = stored.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    files = place.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    task = F.regexp_extract("__file", r"part-(\d+)", 1).cast("long")
+    before = F.sum("__n").over(Window.orderBy(task, "__file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = files.select("__file", F.coalesce(before, F.lit(0)).alias("__off"))
+    start = base if isinstance(base, Column) else F.lit(base).cast("long")
+    return (place.join(offsets, "__file").withColumn(name, start + F.col("__off") + F.col("__at") + 1)
+            .drop("__file", "__at", "__off"))

@@ -18,6 +18,7 @@ Divergences (documented):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -133,35 +134,46 @@ def primary_reason(df: DataFrame) -> DataFrame:
     return df.withColumn("_reason", reason)
 
 
-def mark_duplicates(df: DataFrame, fact_keys: DataFrame) -> DataFrame:
-    """Flag candidates that are not the first of their key (DUP_BATCH) and
-    candidates whose key is already in the fact (DUP_CORE).
+def mark_duplicates(df: DataFrame, fact_keys: DataFrame | Sequence[DataFrame]) -> DataFrame:
+    """All rows, with the flags of ``flag_duplicates``; rejected rows pass by unflagged.
 
-    Only candidates are shuffled; rejected rows pass by. The earliest load time
-    of a key is a grouped minimum over a fixed-width value (a hash aggregate,
-    combined map-side); the whole ordering, raw line included, is compared only
-    among rows that tie on it. Both are joined back, so a key with a huge
-    number of copies is split by AQE's skew join.
+    ``df`` is read several times: callers persist it first, so the
+    classification runs once.
     """
     cand = F.col("_reason") == F.lit(CANDIDATE)
-    key = list(FACT_KEY)
-    # ``df`` is read several times: callers persist it first (``IngestJob``,
-    # ``Warehouse``) so the classification runs once.
     rest = df.filter(~F.coalesce(cand, F.lit(False))).withColumn("_dup_batch", F.lit(False)).withColumn("_dup_core", F.lit(False))
-    own = df.filter(cand)
+    return flag_duplicates(df.filter(cand), fact_keys).select(*rest.columns).unionByName(rest)
+
+
+def flag_duplicates(own: DataFrame, fact_keys: DataFrame | Sequence[DataFrame], buckets: int | None = None) -> DataFrame:
+    """Flag candidates that are not the first of their key (DUP_BATCH) and
+    candidates whose key is already in one of the facts (DUP_CORE).
+
+    The earliest load time of a key is a grouped minimum over a fixed-width
+    value (a hash aggregate, combined map-side); the whole ordering, raw line
+    included, is compared only among rows that tie on it. Both are joined back,
+    so a key with a huge number of copies is split by AQE's skew join. Facts
+    that are stored in ``buckets`` by the key are not shuffled: the batch's
+    keys, one row each, are dealt to as many partitions.
+    """
+    key = list(FACT_KEY)
+    facts = [fact_keys] if isinstance(fact_keys, DataFrame) else list(fact_keys)
     order = F.struct("archivo_origen", "linea_raw", "_row_id")
     earliest = own.groupBy(*key).agg(F.min("cargado_en").alias("_since"), F.count(F.lit(1)).alias("_copies"))
-    own = own.join(earliest, key)
-    ties = own.filter((F.col("_copies") > 1) & (F.col("cargado_en") == F.col("_since")))
+    ties = own.join(earliest, key).filter((F.col("_copies") > 1) & (F.col("cargado_en") == F.col("_since")))
     firsts = ties.groupBy(*key).agg(F.min(order).alias("_first"))
-    # Only fact keys that this batch's candidates carry, before the distinct.
-    core = (fact_keys.select(*key).join(earliest.select(*key), key, "left_semi")
-            .distinct().withColumn("_in_core", F.lit(True)))
-    own = own.join(firsts, key, "left").join(core, key, "left")
+    # One row a key of this batch, with what decides about its copies.
+    about = earliest.join(firsts, key, "left").withColumn("_in_core", F.lit(False))
+    own_keys = earliest.select(*key)
+    if buckets:
+        own_keys = own_keys.repartition(buckets, *key)
+    for fact in facts:
+        there = fact.select(*key).join(own_keys, key, "left_semi").distinct().withColumn("_there", F.lit(True))
+        about = about.join(there, key, "left").withColumn(
+            "_in_core", F.col("_in_core") | F.coalesce("_there", F.lit(False))).drop("_there")
     late = (F.col("_copies") > 1) & ((F.col("cargado_en") != F.col("_since")) | (order != F.col("_first")))
-    own = (own.withColumn("_dup_batch", late)
-           .withColumn("_dup_core", F.coalesce(F.col("_in_core"), F.lit(False))))
-    return own.select(*rest.columns).unionByName(rest)
+    return (own.join(about, key).withColumn("_dup_batch", late).withColumn("_dup_core", F.col("_in_core"))
+            .drop("_since", "_copies", "_first", "_in_core"))
 
 
 def classify_primary(staging: DataFrame, player: DataFrame, volunteer: DataFrame,
@@ -183,13 +195,17 @@ def classify(staging: DataFrame, player: DataFrame, volunteer: DataFrame, sessio
     return mark_duplicates(d, fact)
 
 
+def duplicate_reasons() -> Column:
+    """The duplicate reasons of a flagged candidate; empty for an accepted row."""
+    return F.filter(F.array(F.when(F.col("_dup_batch"), F.lit(DUP_BATCH)),
+                            F.when(F.col("_dup_core"), F.lit(DUP_CORE))), lambda x: x.isNotNull())
+
+
 def reject_log(classified: DataFrame, registered_at: Column | None = None,
                batch_id: str = "batch") -> DataFrame:
     """One log row per (rejected row, reason): a candidate can carry both duplicate reasons."""
     primary = F.when(~F.col("_reason").isin(CANDIDATE), F.array(F.col("_reason")))
-    dups = F.filter(F.array(F.when(F.col("_dup_batch"), F.lit(DUP_BATCH)),
-                            F.when(F.col("_dup_core"), F.lit(DUP_CORE))), lambda x: x.isNotNull())
-    reasons = F.coalesce(primary, dups)
+    reasons = F.coalesce(primary, duplicate_reasons())
     return (classified.select("archivo_origen", "linea_raw", "cargado_en",
                               F.explode(reasons).alias("motivo"))
             .select(F.col("archivo_origen").alias("origen"), "linea_raw", "motivo", "cargado_en",

@@ -1,14 +1,18 @@
 """The validating load: staging -> (reject log, accepted facts), plus its report.
 
-``IngestJob`` is the production path: it persists the classified batch to
-shared storage before writing either output, so the fact it appends to is
-never re-read by the same classification (lazy evaluation would otherwise
-turn accepted rows into DUP_CORE), and each output replaces the batch's
-partition as a whole, so a crash or a corrected re-run leaves no rows behind.
-
-The fact is partitioned by batch and by range of sessions (``RANGE`` ids each).
-The duplicate check reads only the ranges that the batch has candidates in, so
-a load costs the keys of its own sessions, not those of the whole fact.
+``IngestJob`` is the production path. The batch is classified once and written
+to shared storage as rejects and candidates; the candidates are checked for
+duplicates and written once more as what becomes log and what becomes fact. So
+the fact it appends to is never re-read by the same classification (lazy
+evaluation would otherwise turn accepted rows into DUP_CORE). Each output
+replaces the batch's partition as a whole, so a crash or a corrected re-run
+leaves no rows behind. Ids are the rows' places in the written files, and the
+counts of the load are observed while it writes: neither costs a job over rows.
+
+The fact is partitioned by batch and by range of sessions (``RANGE`` ids each)
+and bucketed by its key. The duplicate check reads only the ranges that the
+batch has candidates in, and reads them where they lie: the candidates are
+shuffled to the fact's buckets, not the fact.
 
 The ``etl_*`` functions expose each step over the bound driver tables.
 """
@@ -17,33 +21,35 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import schemas as S
 from ticklake.operators import classify as C
-from ticklake.operators.audit import surrogate_keys
+from ticklake.operators.audit import row_numbers
 from ticklake.session import scratch_path
-from ticklake.sinks.tables import BATCH_COL, delete_path, read_or_empty, write_batch
+from ticklake.sinks.bucketed import BucketedTable
+from ticklake.sinks.tables import BATCH_COL, delete_path, path_exists, read_or_empty, with_batch, write_batch
 from ticklake.sources.bindings import Warehouse
 
 LOG_COLUMNS = ["origen", "linea_raw", "motivo"]
 # Partition column of the fact: ranges of RANGE session ids.
 RANGE_COL = "rango"
 RANGE = 1024
-MOST_RANGES = 512
+# So many ranges are named one by one in the partition filter; more are joined.
+MOST_RANGES = 16384
+# Partition of the load's scratch tables: goes to the log, is a candidate, is accepted.
+KIND = "clase"
+TO_LOG, CANDIDATES, ACCEPTED = "L", "C", "A"
 
 
 def session_range(session):
     return F.floor(F.col(session) / RANGE).cast("int")
 
 
-def accepted_row():
-    return (F.col("_reason") == F.lit(C.CANDIDATE)) & ~F.col("_dup_batch") & ~F.col("_dup_core")
-
-
 def classified(w: Warehouse) -> DataFrame:
     """The bound staging classified against the pre-loaded fact (built once per warehouse)."""
     cls = getattr(w, "_classified", None)
@@ -101,17 +107,23 @@ def etl_summary(w: Warehouse) -> DataFrame:
     return staging_n.unionByName(core_n).unionByName(reasons).orderBy(F.desc("cantidad"), "metrica")
 
 
-def topk_recent_rejects(w: Warehouse, k: int = 10) -> DataFrame:
-    """The ``k`` rejects registered last, with their log id (LIM-1).
-
-    The bound log is registered as its lines were loaded: log ids number it in
-    the order of (load time, origin, line, reason).
-    """
+def numbered_log(w: Warehouse) -> DataFrame:
+    """The bound log with its ids, stored: it is registered as its lines were loaded, and log ids
+    number it in the order of (load time, origin, line, reason)."""
+    order = ("registrado_en", "origen", "linea_raw", "motivo")
     log = reject_log(w).select(F.col("cargado_en").alias("registrado_en"), "origen", "linea_raw", "motivo")
-    log = surrogate_keys(log, ["registrado_en", "origen", "linea_raw", "motivo"], "id_log")
+    return w._stored("numbered_log", row_numbers(w._stored("ordered_log", log, sort_by=order, range_by=order), "id_log"))
+
+
+def recent_rejects(log: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` rejects registered last (LIM-1): a top-k over the stored ids."""
     return log.orderBy(F.desc("registrado_en"), F.desc("id_log")).limit(k).select("id_log", "origen", "motivo", "registrado_en")
 
 
+def topk_recent_rejects(w: Warehouse, k: int = 10) -> DataFrame:
+    return recent_rejects(numbered_log(w), k)
+
+
 def accounting(w: Warehouse) -> DataFrame:
     """Every staging row is accepted or carries a primary reason (property check)."""
     cls = classified(w)
@@ -121,8 +133,9 @@ def accounting(w: Warehouse) -> DataFrame:
 # --------------------------------------------------------------------- job
 @dataclass
 class IngestPaths:
-    fact: str        # tick_event fact, partitioned by id_lote and session range
-    log: str         # reject log, partitioned by id_lote
+    fact: str         # tick_event fact, partitioned by id_lote and session range, bucketed by its key
+    log: str          # reject log, partitioned by id_lote
+    buckets: int = 16  # of a new fact: keys of the ranges that a load touches, divided by it, fit a task
 
 
 class IngestJob:
@@ -134,67 +147,89 @@ class IngestJob:
         self.spark, self.paths = spark, paths
         self.player, self.volunteer, self.session, self.sector = player, volunteer, session, sector
         self.seed_fact = seed_fact
-
-    def fact_schema(self):
-        return S.T.StructType([*S.TICK_EVENT.fields, S.T.StructField(BATCH_COL, S.S, False),
-                               S.T.StructField(RANGE_COL, S.I, False)])
+        self.fact = BucketedTable(spark, paths.fact, S.TICK_EVENT, C.FACT_KEY,
+                                  [S.T.StructField(RANGE_COL, S.I, False)], paths.buckets)
 
     def stored_fact(self, exclude_batch: str) -> DataFrame:
-        fact = read_or_empty(self.spark, self.paths.fact, self.fact_schema())
-        return fact.filter(F.col(BATCH_COL) != F.lit(exclude_batch))
+        return self.fact.read().filter(F.col(BATCH_COL) != F.lit(exclude_batch))
 
     def current_fact(self, exclude_batch: str, candidates: DataFrame) -> DataFrame:
         """Keys of the fact in the session ranges of the candidates.
 
-        Up to MOST_RANGES ranges are named one by one in the partition filter,
-        more by their span: a bounded number of values reaches the driver.
+        Up to MOST_RANGES ranges are named one by one in the partition filter:
+        a bounded number of values reaches the driver. More are joined.
         """
         fact = self.stored_fact(exclude_batch)
-        ranges = candidates.select(session_range("id_partida").alias("r")).distinct()
-        named = [x.r for x in ranges.limit(MOST_RANGES + 1).collect()]
+        ranges = candidates.select(session_range("id_partida").alias(RANGE_COL)).distinct()
+        named = [x[0] for x in ranges.limit(MOST_RANGES + 1).collect()]
         if len(named) > MOST_RANGES:
-            lo, hi = ranges.agg(F.min("r"), F.max("r")).head()
-            fact = fact.filter(F.col(RANGE_COL).between(lo, hi))
+            fact = fact.join(ranges, RANGE_COL, "left_semi")
         else:
             fact = fact.filter(F.col(RANGE_COL).isin(named))
-        fact = fact.select(*C.FACT_KEY)
-        if self.seed_fact is not None:
-            fact = fact.unionByName(self.seed_fact.select(*C.FACT_KEY))
-        return fact
+        return fact.select(*C.FACT_KEY)
+
+    def _largest(self, path: str, table: DataFrame, name: str, batch_id: str) -> int:
+        """The largest id given to other batches: from the list beside the table, or from a table without one."""
+        if path_exists(self.spark, f"{path}/_ultimos"):
+            last = read_or_empty(self.spark, f"{path}/_ultimos", S.T.StructType.fromDDL(f"ultimo long, {BATCH_COL} string"))
+            return last.filter(F.col(BATCH_COL) != F.lit(batch_id)).agg(F.max("ultimo")).head()[0] or 0
+        return table.filter(F.col(BATCH_COL) != F.lit(batch_id)).agg(F.max(name)).head()[0] or 0
+
+    def _note_largest(self, path: str, last: int, batch_id: str) -> None:
+        write_batch(with_batch(self.spark.range(1).select(F.lit(last).cast("long").alias("ultimo")).coalesce(1), batch_id),
+                    f"{path}/_ultimos", batch_id)
 
     def run(self, staging: DataFrame, batch_id: str, stats: bool = True) -> dict:
+        """Load a batch in place of what it loaded before; returns its counts (``stats``: or its id alone)."""
         if "_row_id" not in staging.columns:
             staging = staging.withColumn("_row_id", F.monotonically_increasing_id())
-        # Persist the primary classification (it carries every staging column,
-        # and the write fixes the row ids) on the shared checkpoint storage: the
-        # duplicate checks read it twice. The fact snapshot excludes this batch's
-        # own partition, so writing the accepted rows cannot change what the
-        # duplicate check sees. The folder is this run's alone: jobs into other
-        # tables may use the same batch id.
-        primary = C.classify_primary(staging, self.player, self.volunteer, self.session, self.sector)
+        # The folder is this run's alone: jobs into other tables may use the same batch id.
         root = scratch_path(self.spark, f"ingest/{uuid.uuid4().hex}")
-        primary.write.parquet(f"{root}/classified")
-        stored = self.spark.read.schema(primary.schema).parquet(f"{root}/classified")
-        candidates = stored.filter(F.col("_reason") == F.lit(C.CANDIDATE))
-        # Persist the flags so that the two outputs below do not scan the fact twice.
-        flagged = C.mark_duplicates(stored, self.current_fact(batch_id, candidates))
-        flagged.write.parquet(f"{root}/flagged")
-        cls = self.spark.read.schema(flagged.schema).parquet(f"{root}/flagged")
-
-        loaded_at = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
-        log = C.reject_log(cls, registered_at=loaded_at, batch_id=batch_id)
-        write_batch(log, self.paths.log, batch_id)
-        # Event ids go on from the largest one in the fact.
-        top = self.stored_fact(batch_id).agg(F.max("id_evento")).head()[0] or 0
+        seen, checked = Observation(), Observation()
+        is_candidate = F.coalesce(F.col("_reason") == F.lit(C.CANDIDATE), F.lit(False))
+        primary = (C.classify_primary(staging, self.player, self.volunteer, self.session, self.sector)
+                   .select(*C.ACCEPTED_COLUMNS, "archivo_origen", "linea_raw", "cargado_en", "_row_id", "_reason",
+                           F.when(is_candidate, CANDIDATES).otherwise(TO_LOG).alias(KIND)))
+        classified_rows = self._written(primary.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                                        F.count_if(F.col(KIND) == TO_LOG).alias("rejects")), f"{root}/classified")
+        candidates = classified_rows.filter(F.col(KIND) == CANDIDATES).drop(KIND)
+        # The fact as read here excludes this batch's own partition, so writing the
+        # accepted rows cannot change what the duplicate check sees.
+        facts = [self.current_fact(batch_id, candidates)]
+        if self.seed_fact is not None:
+            facts.append(self.seed_fact)
+        outputs = (C.flag_duplicates(candidates, facts, self.fact.stored_buckets())
+                   .select(*C.ACCEPTED_COLUMNS, "archivo_origen", "linea_raw", F.explode_outer(C.duplicate_reasons()).alias("motivo"))
+                   .withColumn(KIND, F.when(F.col("motivo").isNull(), ACCEPTED).otherwise(TO_LOG)))
+        checked_rows = self._written(outputs.observe(checked, F.count_if(F.col(KIND) == ACCEPTED).alias("accepted"),
+                                                     F.count_if(F.col(KIND) == TO_LOG).alias("rejects")), f"{root}/checked")
+        found, kept = seen.get, checked.get
+        self._write_log([classified_rows.withColumnRenamed("_reason", "motivo"), checked_rows], [found["rejects"], kept["rejects"]], batch_id)
+        top = self._largest(self.paths.fact, self.fact.read(), "id_evento", batch_id)
         if self.seed_fact is not None and "id_evento" in self.seed_fact.columns:
             top = max(top, self.seed_fact.agg(F.max("id_evento")).head()[0] or 0)
-        acc = surrogate_keys(C.accepted(cls), list(C.FACT_KEY), "id_evento", base=top)
-        acc = (acc.select(*[f.name for f in S.TICK_EVENT.fields]).withColumn(BATCH_COL, F.lit(batch_id))
-               .withColumn(RANGE_COL, session_range("id_partida")))
-        write_batch(acc, self.paths.fact, batch_id, [RANGE_COL])
-        out = {"batch": batch_id}
-        if stats:
-            n = cls.agg(F.count(F.lit(1)).alias("staging"), F.count_if(accepted_row()).alias("accepted")).head()
-            out |= {"staging": n.staging, "accepted": n.accepted, "rejects": log.count()}
+        self._note_largest(self.paths.fact, top + kept["accepted"], batch_id)
+        accepted = row_numbers(checked_rows.filter(F.col(KIND) == ACCEPTED), "id_evento", top)
+        self.fact.write_batch(with_batch(accepted.withColumn(RANGE_COL, session_range("id_partida")), batch_id), batch_id)
         delete_path(self.spark, root)
-        return out
+        out = {"batch": batch_id}
+        return out | {"staging": found["rows"], "accepted": kept["accepted"],
+                      "rejects": found["rejects"] + kept["rejects"]} if stats else out
+
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.partitionBy(KIND).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _write_log(self, sources: Sequence[DataFrame], counts: Sequence[int], batch_id: str) -> None:
+        """Number the rows that go to the log on from its largest id, and write them."""
+        registered = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast(S.TS)
+        log = read_or_empty(self.spark, self.paths.log, S.T.StructType([*S.REJECT_LOG.fields]))
+        last = self._largest(self.paths.log, log, "id_log", batch_id)
+        parts = []
+        for rows, n in zip(sources, counts):
+            parts.append(row_numbers(rows.filter(F.col(KIND) == TO_LOG), "id_log", last)
+                         .select("id_log", F.col("archivo_origen").alias("origen"), "linea_raw", "motivo",
+                                 registered.alias("registrado_en"), F.lit(batch_id).alias(BATCH_COL)))
+            last += n
+        self._note_largest(self.paths.log, last, batch_id)
+        write_batch(parts[0].unionByName(parts[1]), self.paths.log, batch_id)

@@ -89,8 +89,9 @@ def src_series(w):
 @prim("snk_reject_log")
 def snk_reject_log(w):
     path = _uid(w, "log")
-    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path, "b1")
-    SK.write_batch(C.reject_log(ing.classified(w), batch_id="b1"), path, "b1")   # re-run: same rows
+    log = ing.numbered_log(w).withColumn("id_lote", F.lit("b1"))
+    SK.write_batch(log, path, "b1")
+    SK.write_batch(log, path, "b1")   # re-run: same rows
     return SK.read_or_empty(w.spark, path, S.REJECT_LOG).select(*ing.LOG_COLUMNS)
 
 

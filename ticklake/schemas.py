@@ -61,7 +61,7 @@ RAW_FIELDS = [
 ]
 STAGING = _st(*[(f, S, True) for f in RAW_FIELDS],
               ("archivo_origen", S, False), ("cargado_en", TS, False))
-REJECT_LOG = _st(("origen", S, False), ("linea_raw", S, False), ("motivo", S, False),
+REJECT_LOG = _st(("id_log", L, False), ("origen", S, False), ("linea_raw", S, False), ("motivo", S, False),
                  ("registrado_en", TS, False), ("id_lote", S, False))
 
 

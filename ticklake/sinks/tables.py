@@ -21,13 +21,13 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def batch_folders(spark: SparkSession, path: str, batch_id: str) -> list:
-    """The partition folders of a batch, however its id is escaped in their names."""
+def list_batches(spark: SparkSession, path: str) -> dict:
+    """The partition folder of each batch by its id, however the id is escaped in the folder's name."""
     fs, p = _path(spark, path)
     if not fs.exists(p):
-        return []
-    found = [x.getPath() for x in fs.listStatus(p)]
-    return [x for x in found if unquote(x.getName()) == f"{BATCH_COL}={batch_id}"]
+        return {}
+    found = [(unquote(x.getPath().getName()), x.getPath()) for x in fs.listStatus(p)]
+    return {name.removeprefix(f"{BATCH_COL}="): folder for name, folder in found if name.startswith(f"{BATCH_COL}=")}
 
 
 def delete_batch(spark: SparkSession, path: str, batch_id: str) -> None:
@@ -35,7 +35,8 @@ def delete_batch(spark: SparkSession, path: str, batch_id: str) -> None:
     if not batch_id:
         raise ValueError("a batch needs an id")
     fs, _ = _path(spark, path)
-    for folder in batch_folders(spark, path, batch_id):
+    folder = list_batches(spark, path).get(batch_id)
+    if folder is not None:
         fs.delete(folder, True)
 
 
