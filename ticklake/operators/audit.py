@@ -8,12 +8,13 @@ collect, no per-row driver work.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.schemas import TableKeys
 from ticklake.session import scratch_path
 
 
@@ -30,16 +31,33 @@ def unique_violations(df: DataFrame, table: str, key: Sequence[str]) -> DataFram
                     _key_text(key).alias("clave"), "filas"))
 
 
-def foreign_key_violations(child: DataFrame, table: str, cols: Sequence[str],
-                           parent: DataFrame, parent_cols: Sequence[str]) -> DataFrame:
-    """Non-NULL child keys missing from the parent; NULL keys pass, as in SQL."""
-    name = f"fk_{table}_{'_'.join(cols)}"
-    present = child.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-    ref = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, cols)])
-    orphans = present.join(ref, list(cols), "left_anti")
-    return (orphans.groupBy(*cols).agg(F.count(F.lit(1)).alias("filas"))
-            .select(F.lit(table).alias("tabla"), F.lit(name).alias("restriccion"),
-                    _key_text(cols).alias("clave"), "filas"))
+def foreign_key_violations(tables: Mapping[str, DataFrame], keys: Mapping[str, TableKeys]) -> DataFrame:
+    """Non-NULL child keys missing from their parent, for every declared foreign key; NULL keys pass, as in SQL.
+
+    One pass: a child is scanned once and gives a (constraint, key) row for
+    each of its references, counted map-side; these are joined once with the
+    keys of all parents, each scanned once. A hot key is one row after the
+    count. Keys are compared as text.
+    """
+    wanted: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    counted = []
+    for name, k in keys.items():
+        refs = []
+        for cols, parent, pcols in k.foreign:
+            rule = f"fk_{name}_{'_'.join(cols)}"
+            wanted.setdefault((parent, tuple(pcols)), []).append(rule)
+            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+            refs.append(F.when(present, F.struct(F.lit(name).alias("tabla"), F.lit(rule).alias("restriccion"), _key_text(cols).alias("clave"))))
+        if refs:
+            counted.append(tables[name].select(F.explode(F.filter(F.array(*refs), lambda r: r.isNotNull())).alias("r")).select("r.*"))
+    found = reduce(DataFrame.unionByName, counted).groupBy("tabla", "restriccion", "clave").agg(F.count(F.lit(1)).alias("filas"))
+    parents = []
+    for (parent, pcols), rules in wanted.items():
+        of_rule = F.explode(F.array(*[F.lit(r) for r in rules])).alias("restriccion")
+        parents.append(tables[parent].select(_key_text(pcols).alias("clave"), of_rule, F.lit(True).alias("__there")))
+    # An anti join would be pushed below the count, onto every row of every child.
+    return (found.join(reduce(DataFrame.unionByName, parents), ["restriccion", "clave"], "left")
+            .filter(F.col("__there").isNull()).select("tabla", "restriccion", "clave", "filas"))
 
 
 def check_violations(df: DataFrame, table: str, checks: Sequence[tuple[str, str]]) -> DataFrame:

@@ -81,3 +81,23 @@ def path_length(events: DataFrame, keys: Sequence[str] = ("id_jugador", "id_part
     total = F.when(F.col("__i").isNull() & F.col("__c").isNull(), F.lit(None)) \
         .otherwise(F.coalesce("__i", F.lit(0)) + F.coalesce("__c", F.lit(0))).cast("decimal(28,6)")
     return g.select(*keys, total.alias("steps_sum"), "n_rows")
+
+
+def gap_intervals(events: DataFrame, keys: Sequence[str] = ("id_partida", "id_jugador"), order: str = "tic",
+                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Rows (keys..., lo, hi): each run of integers missing between two neighbouring values of an entity.
+
+    Gaps and islands in two levels, as in ``lag_columns``: neighbours inside a
+    tick chunk are compared in a window over the chunk, neighbours across
+    chunks by one row a chunk. Repeated values make no gap.
+    """
+    keys = list(keys)
+    at = F.col(order).cast("long")
+    d = events.select(*keys, at.alias("__at"), F.floor(at / F.lit(chunk)).alias("__chunk")).filter(F.col("__at").isNotNull())
+    before = F.lag("__at").over(Window.partitionBy(*keys, "__chunk").orderBy("__at"))
+    inside = d.select(*keys, before.alias("__before"), "__at")
+    ends = d.groupBy(*keys, "__chunk").agg(F.min("__at").alias("__at"), F.max("__at").alias("__last"))
+    carried = F.lag("__last").over(Window.partitionBy(*keys).orderBy("__chunk"))
+    across = ends.select(*keys, carried.alias("__before"), "__at")
+    return (inside.unionByName(across).filter(F.col("__at") - F.col("__before") > 1)
+            .select(*keys, (F.col("__before") + 1).alias("lo"), (F.col("__at") - 1).alias("hi")))

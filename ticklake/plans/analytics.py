@@ -20,7 +20,7 @@ from ticklake.operators.pairs import co_presence_bits, pair_proximity
 from ticklake.operators.presence import presence_state, sector_presence
 from ticklake.operators.ranking import rank_first, rank_within
 from ticklake.operators.series import series
-from ticklake.operators.trajectory import path_length
+from ticklake.operators.trajectory import gap_intervals, path_length
 from ticklake.sources.bindings import Warehouse
 
 TICKS_PER_SECOND = 35      # fixed value: tick rate used for speed per second
@@ -329,8 +329,6 @@ def rpt_table_counts(w: Warehouse, reject_log: DataFrame | None = None) -> DataF
 
 
 def tick_grid_gaps(w: Warehouse) -> DataFrame:
-    """Ticks missing between a participation's first and last tick."""
-    span = w.tick_event.groupBy("id_partida", "id_jugador").agg(F.min("tic").alias("lo"), F.max("tic").alias("hi"))
-    grid = series(span, ["id_partida", "id_jugador"], "lo", "hi", "tic")
-    have = w.tick_event.select("id_partida", "id_jugador", "tic")
-    return grid.join(have, ["id_partida", "id_jugador", "tic"], "left_anti")
+    """Ticks missing between a participation's first and last tick: only the gaps are expanded."""
+    keys = ["id_partida", "id_jugador"]
+    return series(gap_intervals(w.tick_event, keys), keys, "lo", "hi", "tic")

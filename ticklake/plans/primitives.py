@@ -107,10 +107,12 @@ def snk_insert_no_conflict(w):
 
 @prim("snk_reload")
 def snk_reload(w):
-    path = _uid(w, "reload")
-    SK.reload(w.sector, path)
-    SK.reload(w.sector, path)
-    return w.spark.read.parquet(path)
+    """Stored sectors are loaded anew; the stored facts, which refer to them, are emptied."""
+    root = _uid(w, "reload")
+    SK.reload(w.sector, f"{root}/sector")
+    SK.reload(w.tick_event, f"{root}/tick_event")
+    SK.reload_cascade(w.sector, root, "sector", S.KEYS)
+    return w.spark.read.parquet(f"{root}/sector")
 
 
 @prim("snk_view")
@@ -142,8 +144,8 @@ def snk_layout_sector(w):
 
 @prim("snk_layout_position")
 def snk_layout_position(w):
-    """By place on the map."""
-    return _layout(w, "pos_x", "pos_y", "id_evento")
+    """By place on the map: both coordinates at once."""
+    return SK.plane_layout(w.tick_event, _uid(w, "layout"), "pos_x", "pos_y", "id_evento")
 
 
 @prim("snk_layout_player")
@@ -746,10 +748,7 @@ def audit_unique(w):
 
 @prim("audit_foreign_key")
 def audit_foreign_key(w):
-    t = _tables(w)
-    parts = [AU.foreign_key_violations(t[name], name, cols, t[parent], pcols)
-             for name, k in S.KEYS.items() for cols, parent, pcols in k.foreign]
-    return reduce(DataFrame.unionByName, parts)
+    return AU.foreign_key_violations(_tables(w), S.KEYS)
 
 
 @prim("audit_check")

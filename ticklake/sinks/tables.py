@@ -7,12 +7,16 @@ nothing, so a retried or corrected batch leaves no rows of an earlier run.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.functions.geometry import morton_key
+from ticklake.operators.audit import surrogate_keys
+from ticklake.schemas import TableKeys
+
 BATCH_COL = "id_lote"
 
 
@@ -80,6 +84,42 @@ def reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def dependents(table: str, keys: Mapping[str, TableKeys]) -> list[str]:
+    """The tables that refer to ``table``, directly or through others, each before those it refers to."""
+    refer = {name: {parent for _, parent, _ in k.foreign} for name, k in keys.items()}
+    reach, more = set(), {table}
+    while more:
+        more = {name for name, parents in refer.items() if parents & more} - reach
+        reach |= more
+    reach.discard(table)
+    order: list[str] = []
+    while len(order) < len(reach):
+        left = reach.difference(order)
+        free = sorted(n for n in left if not any(n in refer[m] for m in left if m != n))
+        if not free:
+            raise ValueError(f"foreign keys form a cycle among {sorted(left)}")
+        order += free
+    return order
+
+
+def reload_cascade(rows: DataFrame, root: str, table: str, keys: Mapping[str, TableKeys], id_col: str | None = None,
+                   natural_key: Sequence[str] = ()) -> list[str]:
+    """``TRUNCATE ... RESTART IDENTITY CASCADE`` + load (SNK-3) on stored tables, a folder each under ``root``.
+
+    Tables that refer to ``table`` are emptied first, the farthest ones before
+    those they refer to: a crash leaves no row without its parent. With
+    ``id_col`` the new rows are numbered from 1 in the order of ``natural_key``.
+    ``rows`` must not read the folder. Returns the emptied tables.
+    """
+    spark = rows.sparkSession
+    emptied = [name for name in dependents(table, keys) if path_exists(spark, f"{root}/{name}")]
+    for name in emptied:
+        schema = spark.read.parquet(f"{root}/{name}").schema
+        reload(spark.createDataFrame([], schema), f"{root}/{name}")
+    reload(surrogate_keys(rows, natural_key, id_col).select(*rows.columns) if id_col else rows, f"{root}/{table}")
+    return emptied
+
+
 def materialize(df: DataFrame, path: str, sort_by=()) -> DataFrame:
     """Create or refresh a materialized result (SNK-5) and read it back.
 
@@ -120,7 +160,7 @@ def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
 
 
 def clustered_layout(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                     cluster_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+                     cluster_by: Sequence[str | Column] = (), sort_by: Sequence[str | Column] = ()) -> DataFrame:
     """Lay data out for an access path (SNK-6, the re-aimed indexes).
 
     Rows are range-partitioned by ``cluster_by`` and sorted by ``sort_by`` inside
@@ -139,6 +179,17 @@ def clustered_layout(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return df.sparkSession.read.parquet(path)
 
 
+def plane_layout(df: DataFrame, path: str, x: str, y: str, tie: str) -> DataFrame:
+    """Lay data out by place in the plane: along the Z-order curve, so a box in x and y, or a range of
+    either alone, skips files and row groups. ``tie`` tells rows at one place apart."""
+    bounds = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    x0, x1, y0, y1 = (bounds.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
+    key = "__morton"
+    out = df.withColumn(key, morton_key(F.col(x), F.col(y), (x0, x1), (y0, y1)))
+    out.repartitionByRange(key, tie).sortWithinPartitions(key, tie).drop(key).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW`` (SNK-4): a session temp view over the lazy plan."""
     df.createOrReplaceTempView(name)
