@@ -34,6 +34,13 @@ def test_contract_rules(spark):
     run(spark, URLS + URLS[:3] * 200, list(RULES))
 
 
+def test_marks_of_the_keys_in_hosts_and_paths(spark):
+    urls = ["http://com,example/en/x", "http://com|example/en/", "http://a,b.example.com/en/", "http://example.com|/en/", "http://net,x/es/",
+            "http://x.com/" + LAST, "http://x.com/\U0010fffe", "http://x.com/\U0010fffe0", "http://x.com/\U0010fffea" + LAST, "http://" + LAST + ".com/"]
+    rules = [*RULES, ("block", "x.com", "/\U0010fffe"), ("block", "x.com", "/" + LAST), ("block", "x.com", "/\U0010fffe0"), ("block", LAST + ".com", "/")]
+    run(spark, urls, rules)
+
+
 def test_nested_rules_at_random(spark):
     rnd = random.Random(5)
     hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "org", "a.org"]

@@ -1,8 +1,8 @@
 """URL filters as a sort-merge range join, in DataFrame operations.
 
 Canonical keys turn prefixes into intervals. A rule (host, path) becomes
-``reversed labels | path``: example.com/en/ is ``com,example|/en/``, and every
-key that begins so lies between that string and the same string with the last
+``reversed labels # path``, labels joined by ``?``: example.com/en/ is
+``com?example#/en/`` (no host or path can hold either mark), and every key that begins so lies between that string and the same string with the last
 code point of all appended. A URL has one key for each suffix of its host
 (www.example.com, example.com, com), each with its path, so that a host rule
 reaches subdomains; the labels of a host bound their number. Rules of one key
@@ -35,7 +35,7 @@ DEFAULT_VERDICT = "allow"
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Sorts after every string that continues a key; in a path it counts as the code point before it.
+#: Sorts after every string that continues a key; in keys it and the code point before it are written as two.
 LAST, BEFORE_LAST = "\U0010ffff", "\U0010fffe"
 
 
@@ -48,9 +48,15 @@ def split_url(url):
     return F.when(has, host).otherwise(F.lit("")), F.when(has, path).otherwise(F.lit(""))
 
 
+def interval_key(labels, path):
+    """The canonical key of reversed host labels and a path; it does not contain LAST."""
+    key = F.concat(F.array_join(labels, "?"), F.lit("#"), path)
+    return F.replace(F.replace(key, F.lit(BEFORE_LAST), F.lit(BEFORE_LAST + "0")), F.lit(LAST), F.lit(BEFORE_LAST + "1"))
+
+
 def rule_intervals(rules: DataFrame) -> DataFrame:
     """(key, close, rule, verdict, host_len, path_len) of (verdict, host, path): a rule is open in [key, close)."""
-    key = F.concat(F.array_join(F.reverse(F.split("host", r"\.")), ","), F.lit("|"), F.translate("path", LAST, BEFORE_LAST))
+    key = interval_key(F.reverse(F.split("host", r"\.")), F.col("path"))
     return (rules.select(key.alias("key"), F.concat("host", "path").alias("rule"), "verdict",
                          F.length("host").alias("host_len"), F.length("path").alias("path_len"))
             .groupBy("key").agg(F.min(F.struct("verdict", "rule", "host_len", "path_len")).alias("r"))
@@ -104,7 +110,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     labels = F.reverse(F.split("host", r"\."))
     points = urls.filter("host <> ''").select(RID, "path", labels.alias("labels")).select(
         RID, "path", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("n"))
-    points = points.select(F.concat(F.array_join(F.slice("labels", 1, F.col("n")), ","), F.lit("|"), F.translate("path", LAST, BEFORE_LAST)).alias("key"),
+    points = points.select(interval_key(F.slice("labels", 1, F.col("n")), F.col("path")).alias("key"),
                            F.lit(2).alias("kind"), none.alias("r"), none.alias("under"), RID)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hits = sweep(opens.unionByName(closes).unionByName(points), n).filter("r is not null")
