@@ -73,6 +73,18 @@ def test_against_brute_force(spark, monkeypatch, seed, piece):
     assert run(spark, rows) == brute(rows)
 
 
+def test_long_words_of_close_structure_differ(spark):
+    """Thue-Morse words and their complements: sums of powers modulo 2^64 are equal for them."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    tail = " " + " ".join(f"w{i}" for i in range(12))
+    rows = [(1, word + tail), (2, other + tail), (3, word + tail), (4, other[:65] + tail), (5, word[:65] + tail)]
+    assert run(spark, rows) == brute(rows)
+    assert [r[2] for r in run(spark, rows)] == [0, 0, 13, 0, 0]
+
+
 def test_empty_table(spark):
     assert sd.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -35,6 +35,8 @@ BYTE = np.array([int.from_bytes(hashlib.blake2b(bytes([k]), digest_size=8).diges
 BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 #: Bytes of text that are hashed at a time.
 STRETCH = 1 << 21
+#: Longer words are hashed by a digest: sums of powers modulo 2^64 can be equal for long words of close structure.
+WORD_BYTES = 64
 #: A key is answered if another owner has it, or a smaller owner.
 SHARED, SMALLER = "shared", "smaller"
 
@@ -85,7 +87,11 @@ def word_hashes(data: bytes, prefix: Prefix) -> np.ndarray:
         edge = np.ones(len(raw) + 2, bool)
         edge[1:-1] = BLANK[raw]
         at = np.flatnonzero(edge[1:] != edge[:-1])
-        out.append(prefix.hash(prefix.sums(BYTE[raw]), at[::2], at[1::2]))
+        starts, ends = at[::2], at[1::2]
+        own = prefix.hash(prefix.sums(BYTE[raw]), starts, ends)
+        for k in np.flatnonzero(ends - starts > WORD_BYTES):
+            own[k] = int.from_bytes(hashlib.blake2b(raw[starts[k]:ends[k]].tobytes(), digest_size=8).digest(), "little")
+        out.append(own)
         lo = hi
     return np.concatenate(out) if len(out) > 1 else out[0] if out else np.zeros(0, np.uint64)
 
