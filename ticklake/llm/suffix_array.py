@@ -338,8 +338,9 @@ def repeats(rows: DataFrame, n: int, crowd: int = CROWD) -> tuple[DataFrame, Dat
 
 def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
     """id, kept (remaining bytes), n_bytes, n_removed, spans (removed runs of bytes, end exclusive)."""
-    owner = F.coalesce(F.col(id_col).cast("long"), F.lit(sk.NO_ID)).alias("owner")
     data = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data")
+    # What is found goes back to rows by id and text: rows without an id, or with one id, do not meet each other's.
+    owner = F.xxhash64(F.col(id_col).cast("long"), data).alias("owner")
     rows = docs.select(owner, data)
     n = sk.buckets(docs, F.col(text_col))
     whole, parts = repeats(rows, n, crowd)
