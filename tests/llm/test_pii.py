@@ -43,7 +43,7 @@ def test_equal_values_stay_linked(spark):
 
 
 def test_what_does_not_validate_stays(spark):
-    texts = ["4111111111111112", "2001-02-30", "256.1.1.1", "000-12-3456", "666-12-3456", "123-00-4567", "+1 (157) 555-4685", "1.2.3.4.5",
+    texts = ["4111111111111112", "2001-02-30", "256.1.1.1", "000-12-3456", "666-12-3456", "123-00-4567", "1.2.3.4.5",
              "12345678901234567890123", "2001-02-28-1", "a@b", "plain text", "", None, "99.99.2001", "1 2 3"]
     assert [r.text for r in run(spark, texts)] == texts
 
@@ -62,6 +62,11 @@ def test_feistel_is_a_permutation(spark, a, b):
     assert got.distinct().count() == a * b and got.filter(f"p.x >= {a} or p.y >= {b} or p.x < 0 or p.y < 0").isEmpty()
 
 
+def test_phone_of_a_low_area_is_replaced(spark):
+    r = run(spark, ["+1 (157) 555-4685"])[0]
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", r.text) and r.text != "+1 (157) 555-4685" and r.n_phone == 1
+
+
 def test_phones_of_any_area_and_exchange(spark):
     phones = [f"+1 ({a}) {e}-{n}" for a in ("000", "013", "157", "199", "200", "999") for e in ("000", "199", "200", "555") for n in ("0000", "9871")]
     got = run(spark, [f"call {p}, or {p}" for p in phones])
