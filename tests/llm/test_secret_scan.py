@@ -49,3 +49,11 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert spark.read.parquet(ledger).filter("version = 'base-2'").count() == len(before)
     assert ss.secret_scan(frame(spark, ROWS).limit(0), ledger).count() == 0
     assert ss.secret_scan(frame(spark, ROWS).limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_a_blob_that_two_runs_wrote_gives_one_row(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    ss.secret_scan(frame(spark, ROWS), ledger).count()
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "-twice")
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "-twice")
+    assert ss.secret_scan(frame(spark, ROWS), ledger + "-twice").count() == len(ROWS)

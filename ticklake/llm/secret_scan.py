@@ -94,7 +94,8 @@ def scan_incremental(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_
     found = found.groupBy("blob").agg(F.first("spans").alias("spans")).withColumn("version", F.lit(version))
     found.write.mode("append").parquet(ledger)
     ledger_rows = spark.read.parquet(ledger).filter(F.col("version") == version)
-    hits = ledger_rows.filter(F.size("spans") > 0).select("blob", "spans")
+    # Two runs at once may both have scanned a blob.
+    hits = ledger_rows.filter(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     return paths.join(hits, "blob", "left").select(
         F.col("id").alias(id_col), "blob", F.coalesce("spans", F.array().cast(FOUND)).alias("spans"))
 
