@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on every row that its predecessor
 kept, and returns the columns of documents; the last one adds those of the mix.
 A stage's result must be written before the next stage is called: that call
-removes the scratch tables of the stages before it.
+removes the scratch tables of the stages before it. ``run`` writes its result
+outside of these, so it stays readable whatever runs later.
 """
 
 from __future__ import annotations
@@ -87,6 +88,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline over documents."""
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stored(step(spark, docs, sf_dir), f"pipeline-{name}-out")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    between: list[str] = []
+    for name, step in STAGES:
+        out = step(spark, docs, sf_dir)
+        with noted(between if name != STAGES[-1][0] else []):
+            docs = stored(out, f"pipeline-{name}-out")
+    remove(spark, _LEFT)
+    remove(spark, between)
+    return docs
