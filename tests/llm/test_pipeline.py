@@ -92,3 +92,10 @@ def test_empty_documents(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         assert docs.count() == 0
+
+
+def test_results_of_two_runs_are_both_readable(spark):
+    sf = "/root/testdata/sf0.001"
+    first = cp.run(spark, sf)
+    second = cp.run(spark, sf)
+    assert sorted(r.doc_id for r in first.collect()) == sorted(r.doc_id for r in second.collect())
