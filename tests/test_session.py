@@ -36,3 +36,15 @@ def test_a_cluster_must_name_a_shared_folder():
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_events_of_a_day_that_has_no_number_are_refused(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+    from ticklake.sources.bindings import Warehouse
+    for name in ("region", "nation", "customer", "supplier"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(5)
+    ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 400 DAYS")).write.parquet(str(tmp_path / "events.parquet"))
+    with pytest.raises(Exception, match="events outside of 366 days"):
+        Warehouse(spark, str(tmp_path)).session.collect()

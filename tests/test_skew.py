@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ticklake.operators.pairs import co_presence, pair_proximity
+from ticklake.operators.pairs import co_presence, pair_proximity, proximity_candidates
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -73,6 +73,35 @@ def test_hot_cell_is_split_by_aqe(spark, skew_conf):
     assert n == pair_proximity(ev, radius=50, grid=False).count() > 0
 
 
+def _candidates(ev, radius, crowd):
+    return proximity_candidates(ev, ["id_partida", "tic"], "id_jugador", ("pos_x", "pos_y", "pos_z"), radius * 10 ** 4, True, 2, 4, [], 3, crowd)
+
+
+def test_points_over_each_other_are_no_candidates(spark):
+    """A third of the rows in one plane cell, spread over the height: candidates follow the near pairs."""
+    rnd = random.Random(8)
+    rows = [(1, 0, p, Decimal(rnd.randint(0, 290)) / 10, Decimal(rnd.randint(0, 290)) / 10, Decimal(rnd.randint(-20000, 20000)) / 10)
+            for p in range(900)]
+    rows += [(2 + i % 40, i % 30, 10000 + i, Decimal(rnd.randint(0, 4000)) / 10, Decimal(rnd.randint(0, 4000)) / 10, Decimal(0)) for i in range(1800)]
+    ev = spark.createDataFrame(rows, "id_partida int, tic int, id_jugador long, pos_x decimal(12,4), pos_y decimal(12,4), pos_z decimal(12,4)")
+    brute = sorted(pair_proximity(ev, radius=10, grid=False).collect())
+    for crowd in (0, 5, 256, 10 ** 6):
+        assert sorted(pair_proximity(ev, radius=10, crowd=crowd).collect()) == brute
+    near = sum(r.id_partida == 1 for r in brute)
+    whole, cut = (_candidates(ev, 10, c).filter("id_partida = 1").count() for c in (10 ** 6, 256))
+    assert whole == 900 * 899 // 2 and cut < 20 * near < whole / 5
+
+
+def test_crowded_cells_at_random(spark):
+    rnd = random.Random(9)
+    rows = [(1, t, p, *(Decimal(rnd.randint(-900, 900)) / 10 for _ in range(3))) for t in range(3) for p in range(150)]
+    ev = spark.createDataFrame(rows, "id_partida int, tic int, id_jugador long, pos_x decimal(12,4), pos_y decimal(12,4), pos_z decimal(12,4)")
+    brute = sorted(pair_proximity(ev, radius=20, grid=False).collect())
+    for crowd in (0, 8):
+        got = sorted(pair_proximity(ev, radius=20, crowd=crowd).collect())
+        assert got == brute and len(got) > 100
+
+
 def test_hot_place_copresence_is_split(spark, skew_conf):
     ev = _hot_events(spark)
     pairs = co_presence(ev)

@@ -9,7 +9,11 @@ meet. Each point is sent to its own cell and to those "forward" neighbours
 unordered pair exactly once: pairs inside one cell are oriented by ``a < b``,
 pairs across cells are oriented afterwards. The grid covers the first
 ``grid_axes`` coordinates (2 = the map plane, 3 = full space); the exact 3-D
-test runs on every candidate.
+test runs on every candidate. In a plane grid a cell of more than CROWD points
+is cut along the height too, with a border strip of its own: points over each
+other are no candidates. Then candidates are in proportion to near pairs
+however crowded a cell is: a cell of 3 x 3 x 3 radii has 6^3 parts whose points
+are all near each other, so n points have some n^2 / 432 near pairs at least.
 
 Distances are tested exactly: positions are scaled to integer units of the
 decimal scale and squared in 64-bit integers, guarded so no square is formed
@@ -43,6 +47,10 @@ def forward_offsets(axes: int) -> list[tuple[int, ...]]:
     return [o for o in product((-1, 0, 1), repeat=axes) if o >= (0,) * axes]
 
 
+# Points of a plane cell from which on it is cut along the height.
+CROWD = 256
+
+
 def _units(c: str, scale: int) -> Column:
     """Exact integer value of a DECIMAL(p<=15, scale) column in units of 10^-scale.
 
@@ -55,7 +63,7 @@ def _units(c: str, scale: int) -> Column:
 def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),
                    entity: str = "id_jugador", pos: Sequence[str] = ("pos_x", "pos_y", "pos_z"),
                    radius=50, grid: bool = True, grid_axes: int = 2, scale: int = 4,
-                   carry: Sequence[str] = (), cell_factor: int = 3) -> DataFrame:
+                   carry: Sequence[str] = (), cell_factor: int = 3, crowd: int = CROWD) -> DataFrame:
     """Rows (instant..., a, b, dist, carried a_*/b_* columns) for a < b within ``radius``.
 
     ``scale`` is the decimal scale of the position columns; ``carry`` lists
@@ -68,6 +76,27 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
     """
     instant, carry = list(instant), list(carry)
     r_units = int(Decimal(str(radius)) * (10 ** scale))
+    j = proximity_candidates(events, instant, entity, pos, r_units, grid, grid_axes, scale, carry, cell_factor, crowd)
+    # Exact test in integer units; no square is formed for a gap > radius.
+    gaps = [F.col(f"b{i}") - F.col(f"a{i}") for i in range(3)]
+    close = F.abs(gaps[0]) <= r_units
+    for g in gaps[1:]:
+        close = close & (F.abs(g) <= r_units)
+    sq = F.when(close, gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
+    swap = F.col("e1") > F.col("e2")
+    out = j.select(*instant,
+                   F.least("e1", "e2").alias("a"), F.greatest("e1", "e2").alias("b"),
+                   *[F.when(swap, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias(f"a_{c}") for c in carry],
+                   *[F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}") for c in carry],
+                   sq.alias("sq_units"))
+    return (out.filter(F.col("sq_units") <= F.lit(r_units * r_units))
+            .withColumn("dist", F.sqrt(F.col("sq_units").cast("double") / F.lit(float(10 ** (2 * scale)))).cast(STEP))
+            .drop("sq_units"))
+
+
+def proximity_candidates(events: DataFrame, instant: list[str], entity: str, pos: Sequence[str], r_units: int, grid: bool,
+                         grid_axes: int, scale: int, carry: list[str], cell_factor: int, crowd: int) -> DataFrame:
+    """Pairs (e1, e2) of an instant that may be within the radius, each once, with their positions in units."""
     base = events.select(*instant, entity, *carry,
                          *[_units(p, scale).alias(f"u{i}") for i, p in enumerate(pos)])
     base = base.filter(F.col("u0").isNotNull() & F.col("u1").isNotNull() & F.col("u2").isNotNull())
@@ -102,27 +131,37 @@ def pair_proximity(events: DataFrame, instant: Sequence[str] = ("id_partida", "t
                      F.expr(" AND ".join(f"o.d{i} = 0" for i in range(grid_axes))).alias("same")))
         b = pts.select("*", *[F.col(f"c{i}").alias(f"k{i}") for i in range(grid_axes)])
         keys = [f"k{i}" for i in range(grid_axes)]
+        if grid_axes == 2:
+            a, b = _cut_by_height(a, b, [*instant, *keys], size, r_units, crowd)
+            keys.append("kz")
         sa = a.select(*instant, F.col(entity).alias("e1"), *[F.col(c).alias(f"a_{c}") for c in carry],
                       *[F.col(f"u{i}").alias(f"a{i}") for i in range(3)], *keys, "same")
         sb = b.select(*instant, F.col(entity).alias("e2"), *[F.col(c).alias(f"b_{c}") for c in carry],
                       *[F.col(f"u{i}").alias(f"b{i}") for i in range(3)], *keys)
         j = (sa.join(sb, on=[*instant, *keys])
              .filter((~F.col("same") & (F.col("e1") != F.col("e2"))) | (F.col("e1") < F.col("e2"))))
-    # Exact test in integer units; no square is formed for a gap > radius.
-    gaps = [F.col(f"b{i}") - F.col(f"a{i}") for i in range(3)]
-    close = F.abs(gaps[0]) <= r_units
-    for g in gaps[1:]:
-        close = close & (F.abs(g) <= r_units)
-    sq = F.when(close, gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2])
-    swap = F.col("e1") > F.col("e2")
-    out = j.select(*instant,
-                   F.least("e1", "e2").alias("a"), F.greatest("e1", "e2").alias("b"),
-                   *[F.when(swap, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias(f"a_{c}") for c in carry],
-                   *[F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}") for c in carry],
-                   sq.alias("sq_units"))
-    return (out.filter(F.col("sq_units") <= F.lit(r_units * r_units))
-            .withColumn("dist", F.sqrt(F.col("sq_units").cast("double") / F.lit(float(10 ** (2 * scale)))).cast(STEP))
-            .drop("sq_units"))
+    return j
+
+
+def _cut_by_height(a: DataFrame, b: DataFrame, cell: list[str], size: int, r_units: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``kz``: the height cell where a plane cell is crowded, else 0.
+
+    A point goes to a neighbouring height cell only within one radius of its
+    border: upwards from its own plane cell, so that a pair meets once, and both
+    ways in the others.
+    """
+    # Looked up by a hash of the cell: rows so joined are dealt anew for the join of
+    # both sides, where a hot cell can be split. Cells of one hash count together.
+    a, b = (x.withColumn("cell", F.xxhash64(*cell)) for x in (a, b))
+    crowded = b.groupBy("cell").count().filter(F.col("count") > crowd).select("cell", F.lit(True).alias("dense"))
+    height = F.floor(F.col("u2") / F.lit(size)).cast("long")
+    inside = F.col("u2") - height * F.lit(size)
+    up, down = F.when(inside >= size - r_units, F.lit(1)), F.when((inside < r_units) & ~F.col("same"), F.lit(-1))
+    steps = F.when(F.col("dense"), F.filter(F.array(F.lit(0), up, down), lambda s: s.isNotNull())).otherwise(F.array(F.lit(0)))
+    kz = F.when(F.col("dense"), height).otherwise(F.lit(0))
+    a = (a.join(crowded, "cell", "left").withColumn("step", F.explode(steps))
+         .withColumn("kz", kz + F.col("step")).withColumn("same", F.col("same") & (F.col("step") == 0)).drop("dense", "step"))
+    return a, b.join(crowded, "cell", "left").withColumn("kz", kz).drop("dense")
 
 
 def co_presence(events: DataFrame, instant: Sequence[str] = ("id_partida", "tic"),

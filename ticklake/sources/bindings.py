@@ -106,9 +106,12 @@ class Warehouse:
     def events(self) -> DataFrame:
         ev = self.read("events")
         day = F.datediff(F.to_date("ts"), F.to_date(F.lit(EPOCH_DAY))).cast("int")
+        # A later day would be numbered into the next room's sessions: better no table than a wrong one.
+        numbered = F.when(day.between(0, DAYS - 1), day).otherwise(
+            F.raise_error(F.lit(f"events outside of {DAYS} days from {EPOCH_DAY}")).cast("int"))
         return ev.select(
             "event_id", "ts", "user_id", "event_type", "value", day.alias("day"),
-            (F.floor(F.col("user_id") / ROOM) * DAYS + day).cast("int").alias("partida"),
+            (F.floor(F.col("user_id") / ROOM) * DAYS + numbered).cast("int").alias("partida"),
             (F.hour("ts") * 6 + F.floor(F.minute("ts") / 10)).cast("int").alias("tic"),
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
