@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import re
 
 import pytest
@@ -75,3 +76,96 @@ def test_phones_of_any_area_and_exchange(spark):
     assert len({a for a, _ in new}) == len(phones)
     # Numbers under 200 and the others stay among themselves, so the permutation is whole.
     assert all((a[4:7] < "200") == (p[4:7] < "200") and (a[9:12] < "200") == (p[9:12] < "200") for (a, _), p in zip(new, phones))
+
+
+class Plain:
+    """Pseudonyms by plain Python, from the statement of the method."""
+
+    def __init__(self, key=pii.KEY):
+        self.key = key
+
+    def permuted(self, kind, x, y, a, b):
+        def half(r, v):
+            return int(hashlib.sha256(f"{self.key}:{kind}:{r}:{a}:{b}:{v}".encode()).hexdigest()[:14], 16) % (1 << 52)
+        for r in range(1, pii.ROUNDS // 2 + 1):
+            x = (x + half(2 * r, y)) % a
+            y = (y + half(2 * r + 1, x)) % b
+        return x, y
+
+    def card(self, m):
+        digits = [c for c in m if c.isdigit()]
+        if not luhn(m):
+            return m
+        body = "".join(digits[:-1])
+        h = len(body) // 2
+        x, y = self.permuted("card", int(body[:h]), int(body[h:]), 10 ** h, 10 ** (len(body) - h))
+        new = f"{x:0{h}d}{y:0{len(body) - h}d}"
+        new += next(c for c in "0123456789" if luhn(new + c))
+        left = iter(new)
+        return "".join(next(left) if c.isdigit() else c for c in m)
+
+    def phone(self, m):
+        d = re.sub("[^0-9]", "", m)[1:]
+        area, rest = int(d[:3]), int(d[3:])
+        x0, a = (0, 200) if area < 200 else (200, 800)
+        y0, b = (0, 2_000_000) if rest < 2_000_000 else (2_000_000, 8_000_000)
+        x, y = self.permuted("phone", area - x0, rest - y0, a, b)
+        r = f"{y + y0:07d}"
+        return f"+1 ({x + x0:03d}) {r[:3]}-{r[3:]}"
+
+    def ssn(self, m):
+        area, group, serial = map(int, m.split("-"))
+        areas = [n for n in range(1, 900) if n != 666]
+        if area not in areas or not group or not serial:
+            return m
+        x, y = self.permuted("ssn", areas.index(area), (group - 1) * 9999 + serial - 1, len(areas), 99 * 9999)
+        return f"{areas[x]:03d}-{y // 9999 + 1:02d}-{y % 9999 + 1:04d}"
+
+    def ip(self, m):
+        p = [int(x) for x in m.split(".")]
+        if max(p) > 255:
+            return m
+        x, y = self.permuted("ip", p[0] * 256 + p[1], p[2] * 256 + p[3], 1 << 16, 1 << 16)
+        return f"{x // 256}.{x % 256}.{y // 256}.{y % 256}"
+
+    def date(self, m):
+        form = "%Y-%m-%d" if "-" in m else "%d/%m/%Y" if "/" in m else "%d.%m.%Y"
+        try:
+            n = (dt.datetime.strptime(m, form).date() - dt.date(1900, 1, 1)).days
+        except ValueError:
+            return m
+        x, y = self.permuted("date", n // 4297, n % 4297, 17, 4297)
+        return (dt.date(1900, 1, 1) + dt.timedelta(x * 4297 + y)).strftime(form)
+
+    def email(self, m):
+        return "u" + hashlib.sha256(f"{self.key}:email:{m.lower()}".encode()).hexdigest()[:16] + "@pseudonym.invalid"
+
+    def document(self, text):
+        """(text, counts by kind): the kind of a candidate is that of the alternative that found it."""
+        counts = dict.fromkeys(pii.KINDS, 0)
+
+        def other(m):
+            kind = m.lastgroup
+            new = getattr(self, kind)(m[0])
+            counts[kind] += new != m[0]
+            return new
+        found = re.compile("|".join(f"(?P<{k}>{p})" for k, p in pii.PATTERNS.items()))
+        return (None if text is None else found.sub(other, text)), tuple(counts.values())
+
+
+def test_query_against_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    plain = Plain()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = pii.op7_pii(spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.text, tuple(r[f"n_{k}"] for k in pii.KINDS)) == plain.document(docs[r.doc_id]), r.doc_id
+    assert sum(sum(plain.document(t)[1]) for t in docs.values()) > 50
+
+
+def test_awkward_values_against_plain_python(spark):
+    texts = [*CARDS, *(f"a {c} b {c}." for c in CARDS), "899-99-9999 900-01-0001 665-01-0001 667-01-0001 001-01-0001", "0.0.0.0 255.255.255.255 256.1.1.1",
+             "1900-01-01 2099-12-31 2000-02-29 1900-02-29 31/12/2099 30.02.2000", "+1 (199) 199-9999 +1 (200) 200-0000", "A@B.co a.b+c@d-e.f.org x@y"]
+    for t, r in zip(texts, run(spark, texts)):
+        assert (r.text, tuple(r[f"n_{k}"] for k in pii.KINDS)) == Plain().document(t), t

@@ -180,7 +180,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 
 # The shape of a candidate of each kind, without what surrounds it.
 SHAPES = {"email": "@", "phone": r"^\+1 ", "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})$",
-          "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$", "card": r"^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9 -]+)$"}
+          "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$", "card": r"^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[0-9 -]+)$"}
 
 
 def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY) -> DataFrame:
