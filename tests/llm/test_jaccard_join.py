@@ -68,6 +68,21 @@ def test_against_brute_force(spark, monkeypatch, seed, crowd):
     assert run(spark, rows, crowd=crowd) == brute(rows)
 
 
+@pytest.mark.parametrize("crowd", [jj.CROWD, 150])
+def test_sets_of_shared_names_are_named_anew(spark, crowd):
+    """As if every other set shared its name with a different one."""
+    rows = corpus(5)
+    prefix = jj.sk.Prefix()
+    names = sorted({jj._name(jj.shingles(t, prefix), frozenset()) for _, t in rows})
+    assert run(spark, rows, crowd=crowd, clash=frozenset(names[::2])) == brute(rows)
+
+
+def test_a_name_is_half_of_the_digest():
+    d = bytes(range(16))
+    first, second = (int.from_bytes(x, "little", signed=True) for x in (d[:8], d[8:]))
+    assert jj.named(d, frozenset()) == first and jj.named(d, frozenset([second])) == first and jj.named(d, frozenset([first])) == second
+
+
 def test_empty_table(spark):
     assert jj.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

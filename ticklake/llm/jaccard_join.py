@@ -57,6 +57,8 @@ PARTS = (0.4, 0.7, 1.0)
 #: Sets that are compared at once, and pivots of a region.
 LEAF = 192
 PIVOTS = 8
+#: Names that are found shared at a time.
+MOST_NAMES = 4096
 #: Shingles of a family (or a chunk of one) that one task holds.
 CROWD = 3_000_000
 
@@ -75,9 +77,14 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _name(s: np.ndarray) -> int:
-    """The 64-bit name of a set."""
-    return int.from_bytes(digest(s)[:8], "little", signed=True)
+def named(d: bytes, clash: frozenset[int]) -> int:
+    """The 64-bit name of a set: half of its digest, the other half where different sets share the first."""
+    name = int.from_bytes(d[:8], "little", signed=True)
+    return int.from_bytes(d[8:], "little", signed=True) if name in clash else name
+
+
+def _name(s: np.ndarray, clash: frozenset[int]) -> int:
+    return named(digest(s), clash)
 
 
 def slack(n: int) -> int:
@@ -101,7 +108,7 @@ def part_key(part: int, s: np.ndarray) -> np.ndarray:
     return sk.mix64(s ^ sk.mix64(np.array([part + 1], np.uint64))[0])
 
 
-def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+def _profiles(rows: DataFrame, n: int, clash: frozenset[int]) -> tuple[DataFrame, DataFrame]:
     """(owner, digest, id, n, chosen) of each row with shingles, and (owner, keys) of the selected shingles that other sets have."""
 
     def flush(meta, keys, owners):
@@ -128,7 +135,7 @@ def _profiles(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
                 if not len(s):
                     continue
                 d = digest(s)
-                owner = int.from_bytes(d[:8], "little", signed=True)
+                owner = named(d, clash)
                 parts = selections(s)
                 # Sets with one part only can be set aside by what they do not share of it.
                 meta.append((i, len(s), len(parts[0][1]) if len(parts) == 1 else 0, d, owner))
@@ -318,7 +325,7 @@ def region_join(sets: list[np.ndarray], links: Links, home: np.ndarray | None =
                     _compare(sets, sizes, close, visit, links)
 
 
-def _family_links(members: DataFrame, n: int) -> DataFrame:
+def _family_links(members: DataFrame, n: int, clash: frozenset[int]) -> DataFrame:
     """Edges (a, b) of the families (cluster, owner, text, home): exact links within each cluster's home sets and with its guests."""
 
     def join(block: pa.Table) -> pa.Table:
@@ -332,7 +339,7 @@ def _family_links(members: DataFrame, n: int) -> DataFrame:
             seen = {}
             for r in order[lo:hi]:
                 s = shingles(text[int(r)].as_py(), prefix)
-                if _name(s) == owner[r]:  # rows may share an id
+                if _name(s, clash) == owner[r]:  # rows may share an id
                     seen.setdefault(owner[r], (s, home[r]))
             who, sets, at_home = list(seen), [s for s, _ in seen.values()], np.array([h for _, h in seen.values()], bool)
             if len(who) < 2:
@@ -349,7 +356,7 @@ def _family_links(members: DataFrame, n: int) -> DataFrame:
     return rows.select("bucket", "cluster", "owner", "text", "home").groupBy("bucket").applyInArrow(join, "a long, b long")
 
 
-def _crowded_links(members: DataFrame, sizes: DataFrame, n: int, crowd: int) -> DataFrame:
+def _crowded_links(members: DataFrame, sizes: DataFrame, n: int, crowd: int, clash: frozenset[int]) -> DataFrame:
     """Edges of the families that are too large for a task: pivots, cells, chunks and windows as Spark joins.
 
     ``members``: cluster, owner, n, text; ``sizes``: cluster, shingles.
@@ -407,47 +414,56 @@ def _crowded_links(members: DataFrame, sizes: DataFrame, n: int, crowd: int) ->
     hosts = at_home.join(tables, "cell", "left").select(
         "cell", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("tables"), F.lit(1)) - 1)).alias("table"), "owner", "home")
     where = hosts.unionByName(guests).select(F.xxhash64("cell", "table").alias("cluster"), "owner", "home")
-    return ball.unionByName(_family_links(where.join(members.select("owner", "text"), "owner"), n))
+    return ball.unionByName(_family_links(where.join(members.select("owner", "text"), "owner"), n, clash))
 
 
-def _same_set(members: DataFrame) -> DataFrame:
+def _same_set(members: DataFrame, clash: frozenset[int]) -> DataFrame:
     """One row for each owner, of those whose text has its set (rows may share an id)."""
 
     def own(batches):
         prefix = sk.Prefix()
         for b in batches:
-            fits = [_name(shingles(t, prefix)) == o for o, t in zip(b.column("owner").to_pylist(), b.column("text").to_pylist())]
+            fits = [_name(shingles(t, prefix), clash) == o for o, t in zip(b.column("owner").to_pylist(), b.column("text").to_pylist())]
             yield b.filter(pa.array(fits, pa.bool_()))
 
     return members.mapInArrow(own, members.schema).dropDuplicates(["owner"])
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
-    """(owner, id, n) of the rows with shingles, and edges (a, b) between owners (sets) that span the components."""
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD,
+          clash: frozenset[int] = frozenset()) -> tuple[DataFrame, DataFrame]:
+    """(owner, id, n) of the rows with shingles, and edges (a, b) between owners (sets) that span the components.
+
+    Where different sets share a name of 64 bits, their digests tell: sets of
+    such names (``clash``, some n^2 / 2^65 of n sets) are named anew.
+    """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(sk.NO_ID)).alias("id"), F.col(text_col).alias("text"))
     n = sk.buckets(docs, F.col(text_col))
-    profiles, keys = _profiles(rows, n)
-    nodes = stored(profiles.groupBy("owner").agg(
-        F.min("id").alias("id"), F.min("n").alias("n"), F.min("chosen").alias("chosen"),
-        F.min("digest").alias("least"), F.max("digest").alias("most")), "jaccard-nodes")
-    if not nodes.filter("least <> most").isEmpty():
-        raise ValueError("two different sets share a 64-bit name")
+    while True:
+        profiles, keys = _profiles(rows, n, clash)
+        nodes = stored(profiles.groupBy("owner").agg(
+            F.min("id").alias("id"), F.min("n").alias("n"), F.min("chosen").alias("chosen"),
+            F.min("digest").alias("least"), F.max("digest").alias("most")), "jaccard-nodes")
+        shared = [r.owner for r in nodes.filter("least <> most").select("owner").limit(MOST_NAMES).collect()]
+        if not shared:
+            break
+        clash = clash.union(shared)
     alive = _survivors(nodes.drop("least", "most").join(keys, "owner"))
     family = components(_leaders(alive.select("owner", "keys"), n)).select(F.col("node").alias("owner"), F.col("root").alias("cluster"))
     family = stored(alive.select("owner", "id", "n").join(family, "owner"), "jaccard-families")
     sizes = family.groupBy("cluster").agg(F.sum("n").alias("shingles"))
     crowded = stored(sizes.filter(F.col("shingles") > crowd), "jaccard-crowded")
     small = rows.hint("merge").join(family.join(crowded, "cluster", "left_anti"), "id")
-    edges = _family_links(small.withColumn("home", F.lit(True)), n)
+    edges = _family_links(small.withColumn("home", F.lit(True)), n, clash)
     if not crowded.isEmpty():
         large = rows.join(family.join(crowded, "cluster", "left_semi"), "id").select("cluster", "owner", "n", "text")
-        edges = edges.unionByName(_crowded_links(stored(_same_set(large), "jaccard-members", "zstd"), crowded, n, crowd))
+        edges = edges.unionByName(_crowded_links(stored(_same_set(large, clash), "jaccard-members", "zstd"), crowded, n, crowd, clash))
     return profiles.select("owner", "id", "n"), stored(edges, "jaccard-edges")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD,
+                 clash: frozenset[int] = frozenset()) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links reach) of every row."""
-    rows, edges = links(docs, id_col, text_col, crowd)
+    rows, edges = links(docs, id_col, text_col, crowd, clash)
     roots = components(edges)
     rows = rows.join(roots, rows["owner"] == roots["node"], "left").select("id", "n", F.coalesce("root", "owner").alias("root"))
     least = rows.groupBy("root").agg(F.min("id").alias("component"))
