@@ -123,3 +123,22 @@ def test_a_new_session_finds_the_buckets(spark, job):
     again = BucketedTable(spark, job.paths.fact, job.fact.columns, job.fact.key, job.fact.partition_by, buckets=99)
     assert again.read().count() == 1
     assert spark.sql(f"DESCRIBE EXTENDED {again.name}").filter("col_name = 'Num Buckets'").first().data_type == "8"
+
+
+def test_files_follow_the_rows_not_the_spread_of_the_sessions(spark, job, monkeypatch):
+    monkeypatch.setattr(ing, "RANGE", 1)
+    one, two = {"raw_id_partida": "1"}, {"raw_id_partida": "2", "raw_id_jugador": "3", "raw_id_sector": "3"}
+    rows = [r | {"raw_tic": str(t)} for r in (one, two) for t in range(3)]
+    ranges = lambda batch: spark.read.parquet(job.paths.fact).filter(F.col("id_lote") == batch).select("rango").distinct().count()
+    assert job.run(_rows(spark, *rows), "b1")["accepted"] == 6
+    assert ranges("b1") == 1
+    monkeypatch.setattr(ing, "RANGE_ROWS", 1)                    # the next batch has narrow ranges
+    assert job.run(_rows(spark, *rows, *(r | {"raw_tic": "7"} for r in (one, two))), "b2")["accepted"] == 2
+    assert ranges("b2") == 2
+    # What lies in ranges of either width is found by the next batch, and nothing of other sessions is read.
+    again = _rows(spark, *rows, *(r | {"raw_tic": t} for r in (one, two) for t in ("7", "8")))
+    assert job.run(again, "b3")["accepted"] == 2
+    only = job.current_fact("b4", spark.createDataFrame([(1,)], "id_partida int"))
+    assert sorted((r.id_partida, r.tic) for r in only.filter("tic > 3").collect()) == [(1, 7), (1, 8)]
+    assert job.run(again, "b1")["accepted"] == 6
+    assert spark.read.parquet(job.paths.fact).groupBy("id_partida", "id_jugador", "tic").count().filter("count > 1").count() == 0

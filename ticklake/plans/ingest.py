@@ -9,10 +9,12 @@ replaces the batch's partition as a whole, so a crash or a corrected re-run
 leaves no rows behind. Ids are the rows' places in the written files, and the
 counts of the load are observed while it writes: neither costs a job over rows.
 
-The fact is partitioned by batch and by range of sessions (``RANGE`` ids each)
-and bucketed by its key. The duplicate check reads only the ranges that the
-batch has candidates in, and reads them where they lie: the candidates are
-shuffled to the fact's buckets, not the fact.
+The fact is partitioned by batch and by range of sessions and bucketed by its
+key. A batch's ranges have ``RANGE`` ids each, doubled until they hold
+``RANGE_ROWS`` rows on average: its files follow its rows, not the spread of its
+ids. The duplicate check reads only the ranges that the batch has candidates
+in, and reads them where they lie: the candidates are shuffled to the fact's
+buckets, not the fact.
 
 The ``etl_*`` functions expose each step over the bound driver tables.
 """
@@ -36,9 +38,13 @@ from ticklake.sinks.tables import BATCH_COL, delete_path, path_exists, read_or_e
 from ticklake.sources.bindings import Warehouse
 
 LOG_COLUMNS = ["origen", "linea_raw", "motivo"]
-# Partition column of the fact: ranges of RANGE session ids.
+# Partition column of the fact: ranges of RANGE session ids, or of RANGE doubled some times.
 RANGE_COL = "rango"
 RANGE = 1024
+# Rows that a range of a batch holds on average at least, where the batch has so many.
+RANGE_ROWS = 1 << 20
+# Binary digits of a session id.
+ID_BITS = 31
 # So many ranges are named one by one in the partition filter; more are joined.
 MOST_RANGES = 16384
 # Partition of the load's scratch tables: goes to the log, is a candidate, is accepted.
@@ -46,8 +52,15 @@ KIND = "clase"
 TO_LOG, CANDIDATES, ACCEPTED = "L", "C", "A"
 
 
-def session_range(session):
-    return F.floor(F.col(session) / RANGE).cast("int")
+def session_range(session, doubled: int = 0):
+    """The range of a session id, with RANGE doubled so many times: a number of its own for each width."""
+    narrow = F.floor(F.col(session) / RANGE).cast("int")
+    return narrow if not doubled else widened(narrow, doubled)
+
+
+def widened(narrow, doubled: int):
+    """The wider range that holds a narrow one: below zero, numbered through as nodes of a binary tree."""
+    return (F.lit(-(1 << (ID_BITS - doubled))) - F.shiftright(narrow, doubled)).cast("int") if doubled else narrow
 
 
 def classified(w: Warehouse) -> DataFrame:
@@ -161,13 +174,31 @@ class IngestJob:
         """
         fact = self.stored_fact(exclude_batch)
         ranges = candidates.select(session_range("id_partida").alias(RANGE_COL)).distinct()
-        named = [x[0] for x in ranges.limit(MOST_RANGES + 1).collect()]
-        if len(named) > MOST_RANGES:
-            fact = fact.join(ranges, RANGE_COL, "left_semi")
+        narrow = ranges.limit(MOST_RANGES + 1)
+        # The batches' ranges of each width that hold the narrow ones.
+        widths = [widened(F.col(RANGE_COL), k) for k in sorted({0, *self._widths()})]
+        if narrow.count() > MOST_RANGES:
+            fact = fact.join(ranges.select(F.explode(F.array(*widths)).alias(RANGE_COL)).distinct(), RANGE_COL, "left_semi")
         else:
-            fact = fact.filter(F.col(RANGE_COL).isin(named))
+            named = narrow.select(F.explode(F.array(*widths)).alias(RANGE_COL)).distinct()
+            fact = fact.filter(F.col(RANGE_COL).isin([x[0] for x in named.collect()]))
         return fact.select(*C.FACT_KEY)
 
+    def _widths(self) -> list[int]:
+        """How often RANGE was doubled, of all batches so far: from the list beside the fact."""
+        noted = read_or_empty(self.spark, f"{self.paths.fact}/_anchos", S.T.StructType.fromDDL("doblado int"))
+        return [x[0] for x in noted.distinct().collect()]
+
+    def _width(self, accepted: DataFrame, n: int) -> int:
+        """How often to double RANGE for ``n`` accepted rows, noted beside the fact."""
+        widest = ID_BITS - (RANGE.bit_length() - 1)
+        narrow = accepted.select(session_range("id_partida").alias(RANGE_COL)).distinct()
+        ranges = narrow.agg(*[F.approx_count_distinct(F.shiftright(RANGE_COL, k)) for k in range(widest)]).head()
+        doubled = next((k for k, m in enumerate(ranges) if m <= 1 or n >= m * RANGE_ROWS), widest)
+        if doubled not in self._widths():
+            self.spark.range(1).select(F.lit(doubled).alias("doblado")).coalesce(1).write.mode("append").parquet(f"{self.paths.fact}/_anchos")
+        return doubled
+
     def _largest(self, path: str, table: DataFrame, name: str, batch_id: str) -> int:
         """The largest id given to other batches: from the list beside the table, or from a table without one."""
         if path_exists(self.spark, f"{path}/_ultimos"):
@@ -209,8 +240,10 @@ class IngestJob:
         if self.seed_fact is not None and "id_evento" in self.seed_fact.columns:
             top = max(top, self.seed_fact.agg(F.max("id_evento")).head()[0] or 0)
         self._note_largest(self.paths.fact, top + kept["accepted"], batch_id)
-        accepted = row_numbers(checked_rows.filter(F.col(KIND) == ACCEPTED), "id_evento", top)
-        self.fact.write_batch(with_batch(accepted.withColumn(RANGE_COL, session_range("id_partida")), batch_id), batch_id)
+        accepted_rows = checked_rows.filter(F.col(KIND) == ACCEPTED)
+        in_range = session_range("id_partida", self._width(accepted_rows, kept["accepted"]))
+        accepted = row_numbers(accepted_rows, "id_evento", top)
+        self.fact.write_batch(with_batch(accepted.withColumn(RANGE_COL, in_range), batch_id), batch_id)
         delete_path(self.spark, root)
         out = {"batch": batch_id}
         return out | {"staging": found["rows"], "accepted": kept["accepted"],
