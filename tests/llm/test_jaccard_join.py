@@ -124,3 +124,55 @@ def test_components(spark):
                 up[k] = both
     assert got == {k: min(v) for k, v in up.items() if len(v) > 1}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def families(spark, monkeypatch, rows, **kw):
+    """Sizes of the families of ``rows``, the largest last, and the result."""
+    tables, stored = {}, jj.stored
+    monkeypatch.setattr(jj, "stored", lambda df, name, *a: tables.setdefault(name, stored(df, name, *a)))
+    got = run(spark, rows, **kw)
+    return sorted(r["count"] for r in tables["jaccard-families"].groupBy("cluster").count().collect()), got
+
+
+def test_common_lines_do_not_chain_documents(spark, monkeypatch):
+    """Two thirds of each text is one of a few lines: over a fifth of it is its own, so it has no partner."""
+    rnd = random.Random(3)
+    lines = [" ".join(f"l{k}w{j}" for j in range(20)) for k in range(3)]
+    rows = [(k, rnd.choice(lines) + "".join(f" d{k}w{j}" for j in range(8))) for k in range(150)]
+    rows.append((200, rows[0][1] + " more"))
+    sizes, got = families(spark, monkeypatch, rows)
+    assert sizes == [2]
+    assert got == brute(rows)
+
+
+def test_texts_within_others_do_not_chain(spark, monkeypatch):
+    """Each text is the start of one twice as long: they share all their shingles, but their sizes differ too much."""
+    words = [f"w{k}" for k in range(1300)]
+    rows = [(k, " ".join(words[:40 * 2**k])) for k in range(6)]
+    rows.append((10, " ".join(words[:350])))
+    sizes, got = families(spark, monkeypatch, rows)
+    assert sizes == [2]
+    assert got == brute(rows)
+
+
+def test_similar_sets_share_a_key_of_their_sizes():
+    """Over all pairs of sizes, and nested sets and sets that differ both ways."""
+    lo, rnd, order = jj.bands(10_000), random.Random(4), np.arange(3000, dtype=np.uint64)
+    assert all(b * jj.THRESHOLD > 100 * a for a, b in zip(lo, lo[1:]))
+    for _ in range(1500):
+        m = rnd.randrange(1, 300)
+        n = rnd.randrange(m, m * 5 // 4 + 1)
+        c = -(-80 * (n + m) // 180)
+        if c > m:
+            continue
+        places = rnd.sample(range(n + m - c), n + m - c)  # of the rarest first
+        if rnd.random() < 0.5:
+            places.sort(reverse=True)  # what differs comes first
+        common, own, other = places[:c], places[c:n], places[n:]
+        keys = [np.sort(order[common + own]), np.sort(order[common + other])]
+        kept = []
+        for s, alone in zip(keys, (own, other)):  # those that no other set has take places
+            first = s[:jj.slack(len(s)) + 1]
+            kept.append(first[~np.isin(first, order[alone])])
+        at, k = jj.sized_keys(np.array([n, m]), np.concatenate(kept), np.array([len(x) for x in kept]))
+        assert np.intersect1d(k[at == 0], k[at == 1]).size, (n, m, c)

@@ -7,10 +7,13 @@ by an exact bound. A fixed part of the hash space selects shingles; a shingle
 selected in one set is selected in every set that has it. If more of x's selected
 shingles occur nowhere else than a similar pair may have in difference, x has
 no partner. The few sets with too few selected shingles for the bound select
-with a larger part, among themselves too. Of the rest, a similar pair must
-share one of the rarest selected shingles of each (as many as may differ, and
-one more; rarest by exact counts over what is left, one order for all). Sets
-linked through those are a family; similar sets are in one family.
+with a larger part, among themselves too. The rest is read again with all
+shingles: the bound then holds for whole sets, among the rest. Of what is left,
+a similar pair must share one of the rarest shingles of each (as many as may
+differ, and one more; rarest by exact counts over what is left, one order for
+all), and its sizes are in one band or in two adjacent ones, which limits how
+many may differ. Sets linked through those are a family; similar sets are in one
+family. A line that many documents have makes no family of them by itself.
 
 A family is a region. A region of more than LEAF sets takes pivots; each set
 goes to the Voronoi cell of its nearest pivot, and also to every cell whose
@@ -167,40 +170,91 @@ def _profiles(rows: DataFrame, n: int, clash: frozenset[int]) -> tuple[DataFrame
     found = rows.mapInArrow(blocks, schema).groupBy("bucket").applyInArrow(
         resolve, "owner long, keys array<long>, id long, n long, chosen long, digest binary")
     found = stored(found, "jaccard-profiles")
-    keys = found.filter("keys is not null").groupBy("owner").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    # A pair that its batch has answered may be answered by its bucket too.
+    keys = found.filter("keys is not null").groupBy("owner").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
     return found.filter("keys is null").select("owner", "digest", "id", "n", "chosen"), keys
 
 
-def _survivors(sets: DataFrame) -> DataFrame:
-    """(owner, id, n, chosen, keys): sets that may have a partner, with the selected shingles that can prove it.
+def _whole(members: DataFrame, n: int, clash: frozenset[int]) -> DataFrame:
+    """(owner, keys): all shingles of the sets of ``members`` that other sets there have."""
+
+    def keys_of(batch):
+        prefix = sk.Prefix()
+        for owner, text in zip(batch.column("owner").to_pylist(), batch.column("text").to_pylist()):
+            s = shingles(text, prefix)
+            if _name(s, clash) == owner:  # rows may share an id
+                yield owner, s
 
-    Sets that keep too many selected shingles to themselves go. Those that stay
-    keep their rarest ones: if x may lack s of its shingles in a similar set, then
-    one of any s + 1 selected ones is shared, and with one order for all sets
-    one is among the s + 1 first of both. Shingles that no other set has come
-    first in that order, so they take places but need not be kept.
+    found = sk.shared(members.select("owner", "text"), keys_of, sk.SHARED, n)
+    return found.select("owner", F.array_distinct("keys").alias("keys"))
+
+
+def _survivors(sets: DataFrame) -> DataFrame:
+    """(owner, id, n, keys): sets that may have a partner, with the shingles that can prove it.
+
+    ``sets`` has the shingles that are in other sets too. Sets that keep too many
+    to themselves go. Those that stay keep their rarest ones: if x may lack s of
+    its shingles in a similar set, then one of any s + 1 is shared, and with one
+    order for all sets one is among the s + 1 first of both. Shingles that no
+    other set has come first in that order, so they take places but need not be
+    kept.
     """
     slack = f"n * {100 - THRESHOLD} div 100"
-    sets = stored(sets.filter(f"chosen - size(keys) <= {slack}"), "jaccard-sets")
+    sets = stored(sets.filter(f"n - size(keys) <= {slack}"), "jaccard-sets")
     rows = sets.select("owner", F.explode("keys").alias("key"))
     # Counts are combined before the shuffle; a key of many sets stays spread in the join.
     many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     ranked = rows.join(many, "key").groupBy("owner").agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("keys"))
-    alive = sets.drop("keys").join(ranked, "owner").filter(f"chosen - size(keys) <= {slack}")
-    first = F.expr(f"if(chosen = 0, size(keys), int({slack} + 1 - (chosen - size(keys))))")
+    alive = sets.drop("keys").join(ranked, "owner").filter(f"n - size(keys) <= {slack}")
+    first = F.expr(f"int({slack} + 1 - (n - size(keys)))")
     keys = F.transform(F.slice("keys", F.lit(1), first), lambda k: k["key"])
     return stored(alive.withColumn("keys", keys), "jaccard-alive")
 
 
+def bands(most: int) -> np.ndarray:
+    """Least sizes of the bands up to ``most``; similar sets are in one band or in two adjacent ones."""
+    lo = [1]
+    while lo[-1] <= most:
+        lo.append(lo[-1] * 100 // THRESHOLD + 1)
+    return np.array(lo, np.int64)
+
+
+def sized_keys(n: np.ndarray, keys: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the set, key) for each pair of size bands that a set of n shingles may meet a partner in.
+
+    ``keys`` are the ``lengths`` kept rarest ones of each set, in their order. A
+    partner of m shingles at least shares THRESHOLD / (100 + THRESHOLD) of n + m;
+    fewer than the slack may differ if it is not much smaller, so fewer keys count.
+    """
+    lo = bands(int(n.max(initial=0)) * 100 // THRESHOLD)
+    own = n * (100 - THRESHOLD) // 100 + 1 - lengths  # shingles that no other set has: they come first
+    band = np.searchsorted(lo, n, "right") - 1
+    row = np.repeat(np.arange(len(n)), lengths)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    rows, out = [], []
+    for d in (-1, 0, 1):
+        other = np.clip(band + d, 0, len(lo) - 2)
+        least = np.maximum(lo[other], -(-n * THRESHOLD // 100))
+        meets = (other == band + d) & (least < lo[other + 1]) & (least <= n * 100 // THRESHOLD)
+        lacks = n + (-THRESHOLD * (n + least) // (100 + THRESHOLD))
+        count = np.where(meets, np.maximum(0, lacks + 1 - own), 0)
+        take = place < count[row]
+        kind = sk.mix64((2 * np.minimum(band, other) + abs(d) + 1).astype(np.uint64))
+        rows.append(row[take])
+        out.append(sk.mix64(keys[take] ^ kind[row[take]]))
+    return np.concatenate(rows), np.concatenate(out)
+
+
 def _leaders(sets: DataFrame, n: int) -> DataFrame:
-    """Edges (a, b) from each set to the least set with the same selected shingle, one row a pair."""
+    """Edges (a, b) from each set to the least set of its size bands with the same key, one row a pair."""
 
     def blocks(batches):
         for b in batches:
             owners, keys = b.column("owner").to_pylist(), sk.lists(b.column("keys"))
             if owners:
-                k = np.concatenate(keys).view(np.uint64)
-                o = np.repeat(np.array(owners, np.int64), [len(x) for x in keys])
+                lengths = np.array([len(x) for x in keys], np.int64)
+                at, k = sized_keys(b.column("n").to_numpy(), np.concatenate(keys).view(np.uint64), lengths)
+                o = np.array(owners, np.int64)[at]
                 order = np.lexsort((o, k))
                 k, o = k[order], o[order]
                 first = np.append(True, k[1:] != k[:-1])[:len(k)]
@@ -447,16 +501,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd
         if not shared:
             break
         clash = clash.union(shared)
-    alive = _survivors(nodes.drop("least", "most").join(keys, "owner"))
-    family = components(_leaders(alive.select("owner", "keys"), n)).select(F.col("node").alias("owner"), F.col("root").alias("cluster"))
+    # By the selected shingles most sets go; only the texts of the others are read again, and whole.
+    near = nodes.drop("least", "most").join(keys, "owner").filter(f"chosen - size(keys) <= n * {100 - THRESHOLD} div 100")
+    near = near.select("owner", "id", "n")
+    members = stored(rows.hint("merge").join(near, "id").select("owner", "id", "n", "text"), "jaccard-members", "zstd")
+    alive = _survivors(members.select("owner", "id", "n").distinct().join(_whole(members, n, clash), "owner"))
+    family = components(_leaders(alive.select("owner", "n", "keys"), n)).select(F.col("node").alias("owner"), F.col("root").alias("cluster"))
     family = stored(alive.select("owner", "id", "n").join(family, "owner"), "jaccard-families")
     sizes = family.groupBy("cluster").agg(F.sum("n").alias("shingles"))
     crowded = stored(sizes.filter(F.col("shingles") > crowd), "jaccard-crowded")
-    small = rows.hint("merge").join(family.join(crowded, "cluster", "left_anti"), "id")
+    texts = members.select("owner", "text").hint("merge")
+    small = texts.join(family.join(crowded, "cluster", "left_anti"), "owner")
     edges = _family_links(small.withColumn("home", F.lit(True)), n, clash)
     if not crowded.isEmpty():
-        large = rows.join(family.join(crowded, "cluster", "left_semi"), "id").select("cluster", "owner", "n", "text")
-        edges = edges.unionByName(_crowded_links(stored(_same_set(large, clash), "jaccard-members", "zstd"), crowded, n, crowd, clash))
+        large = texts.join(family.join(crowded, "cluster", "left_semi"), "owner").select("cluster", "owner", "n", "text")
+        edges = edges.unionByName(_crowded_links(stored(_same_set(large, clash), "jaccard-crowd", "zstd"), crowded, n, crowd, clash))
     return profiles.select("owner", "id", "n"), stored(edges, "jaccard-edges")
 
 
