@@ -62,6 +62,8 @@ LEAF = 192
 PIVOTS = 8
 #: Names that are found shared at a time.
 MOST_NAMES = 4096
+#: Shingles of whole sets that a task gathers before it sends them: most are answered there, which takes more memory.
+GATHER = sk.GATHER // 2
 #: Shingles of a family (or a chunk of one) that one task holds.
 CROWD = 3_000_000
 
@@ -176,17 +178,42 @@ def _profiles(rows: DataFrame, n: int, clash: frozenset[int]) -> tuple[DataFrame
 
 
 def _whole(members: DataFrame, n: int, clash: frozenset[int]) -> DataFrame:
-    """(owner, keys): all shingles of the sets of ``members`` that other sets there have."""
+    """(owner, keys): all shingles of the sets of ``members`` that other sets there have.
 
-    def keys_of(batch):
+    What a bucket of keys finds goes on in one block for each bucket of owners, not
+    in a row for each owner.
+    """
+
+    def blocks(batches):
         prefix = sk.Prefix()
-        for owner, text in zip(batch.column("owner").to_pylist(), batch.column("text").to_pylist()):
-            s = shingles(text, prefix)
-            if _name(s, clash) == owner:  # rows may share an id
-                yield owner, s
+        keys, owners, size = [], [], 0
+        for b in batches:
+            for owner, text in zip(b.column("owner").to_pylist(), b.column("text").to_pylist()):
+                s = shingles(text, prefix)
+                if _name(s, clash) != owner:  # rows may share an id
+                    continue
+                keys.append(s)
+                owners.append(np.full(len(s), owner, np.int64))
+                size += len(s)
+                if size >= GATHER:
+                    yield sk.send(np.concatenate(keys), np.concatenate(owners), sk.SHARED, n)
+                    keys, owners, size = [], [], 0
+        if size:
+            yield sk.send(np.concatenate(keys), np.concatenate(owners), sk.SHARED, n)
+
+    def resolve(block: pa.Table) -> pa.Table:
+        k, o, answered = sk.settle(sk.unpack(block["ask_0"], np.uint64), sk.unpack(block["ask_1"], np.int64), sk.SHARED)
+        k = np.concatenate([k[answered], sk.unpack(block["done_0"], np.uint64)])
+        o = np.concatenate([o[answered], sk.unpack(block["done_1"], np.int64)])
+        return pa.Table.from_batches([sk.pack({"own": (sk.bucket_of(o, n), (k, o))})])
+
+    def gather(block: pa.Table) -> pa.Table:
+        # A pair that its batch has answered may be answered by its bucket too.
+        return sk.by_owner(*sk.distinct_pairs(sk.unpack(block["own_0"], np.uint64), sk.unpack(block["own_1"], np.int64)))
 
-    found = sk.shared(members.select("owner", "text"), keys_of, sk.SHARED, n)
-    return found.select("owner", F.array_distinct("keys").alias("keys"))
+    sent = members.select("owner", "text").mapInArrow(blocks, sk.packed(ask=2, done=2))
+    found = sent.groupBy("bucket").applyInArrow(resolve, sk.packed(own=2))
+    return found.groupBy("bucket").applyInArrow(gather, "owner long, keys array<long>")
 
 
 def _survivors(sets: DataFrame) -> DataFrame:
